@@ -44,6 +44,15 @@ class Warehouse:
     def runs(self, venue) -> DataFrame:
         return self.tables[f"{venue.name}_runs"]
 
+    def move_stats(self, venue, as_of) -> DataFrame:
+        """The stored move-statistics table when the warehouse has one,
+        else M1/M2 computed from the snapshots as of ``as_of``."""
+        name = f"{venue.name}_move_stats"
+        if name in self.tables:
+            return self.tables[name]
+        from pricescope.operators.stats import move_stats
+        return move_stats(self.snapshots(venue), venue, as_of)
+
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Derive every stored table from the driver's test parquet (lazy)."""
@@ -85,13 +94,17 @@ PARTITIONED = {"tick_snapshots": "snap_ts", "prob_snapshots": "snap_ts",
                "tick_series": "snap_ts", "prob_event_snapshots": "snap_ts"}
 
 
-def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite") -> None:
+def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None) -> Warehouse:
     """Materialise a warehouse as Parquet (snapshot tables partitioned by
     ``snap_date``, clustered by time within a partition)."""
     from pyspark.sql import functions as F
     root = root.rstrip("/")
-    for name in TABLES:
-        df = wh.tables[name]
+    tables = dict(wh.tables)
+    if as_of is not None:
+        from pricescope.venues import PROB, TICK
+        for v in (TICK, PROB):
+            tables[f"{v.name}_move_stats"] = wh.move_stats(v, as_of)
+    for name, df in tables.items():
         w = df
         if name in PARTITIONED:
             w = (df.withColumn("snap_date", F.to_date(F.col(PARTITIONED[name])))
@@ -100,3 +113,4 @@ def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite") -> None:
         else:
             w = df.write
         w.mode(mode).parquet(f"{root}/{name}")
+    return Warehouse(wh.spark, {n: wh.spark.read.parquet(f"{root}/{n}") for n in tables})
