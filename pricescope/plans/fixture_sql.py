@@ -160,6 +160,55 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
+CTES.update({
+    "tick_feed": (["tick_u"], """
+        SELECT t.market_ticker, t.series_ticker, concat('Market ', t.user_id) AS title,
+               CASE WHEN (t.user_id + t.run_id) % 10 = 0 THEN 'closed' ELSE 'active' END AS status,
+               TIMESTAMP '2024-01-01 00:00:00' AS open_time,
+               CASE WHEN t.user_id % 11 = 0 THEN NULL ELSE t.expiration_time END AS close_time,
+               t.expiration_time, t.yes_bid, t.yes_ask, CAST(100 - t.yes_ask AS INTEGER) AS no_bid,
+               CAST(100 - t.yes_bid AS INTEGER) AS no_ask, t.volume, t.open_interest,
+               CASE WHEN t.user_id % 19 = 0 THEN NULL ELSE t.series_ticker END AS raw_event_ticker,
+               strftime(t.snap_ts, '%Y-%m-%dT%H:%M:%SZ') AS page_ts, t.snap_ts AS page_time,
+               t.user_id // 25 AS page_no,
+               CAST(row_number() OVER (PARTITION BY t.snap_ts, t.user_id // 25
+                                       ORDER BY t.user_id % 25) - 1 AS INTEGER) AS pos
+        FROM tick_u t
+        WHERE t.snap_ts >= (SELECT max(snap_ts) FROM tick_u) - INTERVAL 18 HOUR"""),
+    "prob_feed": (["prob_u"], """
+        SELECT g.*, CAST(row_number() OVER (PARTITION BY g.snap_ts, g.page_no, g.event_id
+                                            ORDER BY g.user_id % 25) - 1 AS INTEGER) AS pos,
+               CAST(dense_rank() OVER (PARTITION BY g.snap_ts, g.page_no ORDER BY g.first_u) - 1
+                    AS INTEGER) AS ev_pos
+        FROM (SELECT p.*, n.n_name AS event_title, p.user_id // 25 AS page_no,
+                     min(p.user_id) OVER (PARTITION BY p.snap_ts, p.user_id // 25, p.event_id) AS first_u,
+                     first(p.category ORDER BY p.user_id) OVER (PARTITION BY p.snap_ts, p.user_id // 25,
+                           p.event_id) AS ev_category,
+                     max(p.end_date) OVER (PARTITION BY p.snap_ts, p.user_id // 25, p.event_id) AS ev_end,
+                     strftime(p.snap_ts, '%Y-%m-%dT%H:%M:%SZ') AS page_ts
+              FROM prob_u p LEFT JOIN nation n ON concat('V', n.n_nationkey) = p.event_id
+              WHERE p.snap_ts >= (SELECT max(snap_ts) FROM prob_u) - INTERVAL 18 HOUR) g"""),
+    "prob_flat": (["prob_feed"], """
+        SELECT CAST(user_id AS VARCHAR) AS market_id,
+               CASE WHEN user_id % 23 = 0 THEN '' ELSE condition_id END AS condition_id,
+               CASE WHEN user_id % 4 = 0 THEN lower(event_title) ELSE concat('m-', user_id) END AS slug,
+               concat('Market ', user_id) AS question,
+               CASE WHEN user_id % 6 = 0 THEN ev_category ELSE category END AS category,
+               '2024-01-01T00:00:00Z' AS start_date,
+               strftime(CASE WHEN user_id % 8 = 0 THEN ev_end ELSE end_date END, '%Y-%m-%dT%H:%M:%SZ')
+                   AS end_date,
+               liquidity, volume, volume_24hr,
+               CASE WHEN outcome_yes_price IS NULL OR user_id % 8 IN (3, 4) THEN NULL
+                    WHEN user_id % 8 = 2 THEN 3 ELSE 2 END AS n_outcomes,
+               CASE WHEN user_id % 8 IN (3, 4) THEN NULL ELSE outcome_yes_price END AS outcome_yes_price,
+               CASE WHEN user_id % 8 IN (3, 4) THEN NULL ELSE round(outcome_no_price, 3) END
+                   AS outcome_no_price,
+               event_id, lower(event_title) AS event_slug, event_title, ev_category AS event_category,
+               ev_end AS event_end, page_ts, snap_ts AS page_time, page_no, ev_pos, pos, user_id
+        FROM prob_feed"""),
+})
+
+
 def with_fixtures(names: list[str], body: str) -> str:
     """``WITH <needed fixture CTEs> <body>``; ``body`` may start with more
     CTEs (", x AS (...)") or directly with SELECT."""

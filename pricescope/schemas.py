@@ -88,6 +88,7 @@ PROB_FEED_MARKET = _st(("id", S), ("conditionId", S), ("slug", S), ("question",
                        ("volume24hr", S), ("outcomes", S), ("outcomePrices", S))
 PROB_FEED_EVENT = T.StructType([
     T.StructField("id", S, True), T.StructField("slug", S, True),
+    T.StructField("active", B, True), T.StructField("closed", B, True),
     T.StructField("title", S, True), T.StructField("category", S, True),
     T.StructField("startDate", S, True), T.StructField("endDate", S, True),
     T.StructField("markets", T.ArrayType(PROB_FEED_MARKET), True),
@@ -97,3 +98,11 @@ PROB_FEED_PAGE = T.StructType([
     T.StructField("page_no", L, True),
     T.StructField("events", T.ArrayType(PROB_FEED_EVENT), True),
 ])
+
+
+# Page envelopes as parsed by the feed readers: market elements are kept as
+# their source JSON text (``raw``) and parsed one level down.
+TICK_PAGE_ENVELOPE = "struct<page_ts:string, page_no:bigint, cursor:string, markets:array<string>>"
+PROB_PAGE_ENVELOPE = ("struct<page_ts:string, page_no:bigint, events:array<struct<id:string, "
+                      "slug:string, title:string, category:string, startDate:string, endDate:string, "
+                      "active:boolean, closed:boolean, markets:array<string>>>>")

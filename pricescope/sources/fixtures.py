@@ -244,3 +244,113 @@ def alerts(events: DataFrame, as_of=AS_OF_WALL) -> DataFrame:
         (u % 11 != 0).alias("is_active"),
         _ts(OPEN_TIME).alias("created_at"),
         last.alias("last_triggered_at"))
+
+
+# ------------------------------------------------------------ B10 feed pages
+PAGE_SIZE = 25
+PAGE_WINDOW_H = 18       # pages of the runs within 18 h of the latest snapshot
+
+
+def _iso(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def _recent(rows: DataFrame) -> DataFrame:
+    latest = rows.agg(F.max("snap_ts")).scalar()
+    return rows.where(F.col("snap_ts") >= latest - F.make_dt_interval(hours=F.lit(PAGE_WINDOW_H)))
+
+
+def tick_pages(tick_u: DataFrame) -> DataFrame:
+    """B10, tick venue: one JSON page per (run, user div 25) for the runs of
+    the last 18 h, markets ordered by ``user % 25``.  Variations by user id:
+    u%7=0 empty ``ticker`` (key in ``market_ticker``), u%19=0 empty
+    ``event_ticker``, u%11=0 empty ``close_time``; status closed when
+    (u + run_id) % 10 = 0."""
+    u = F.col("user_id")
+    r = _recent(tick_u)
+    elem = F.struct(
+        F.when(u % 7 == 0, F.lit("")).otherwise(F.col("market_ticker")).alias("ticker"),
+        F.col("market_ticker").alias("market_ticker"),
+        F.col("series_ticker").alias("series_ticker"),
+        F.when(u % 19 == 0, F.lit("")).otherwise(F.col("series_ticker")).alias("event_ticker"),
+        F.concat(F.lit("Market "), _str(u)).alias("title"),
+        F.when((u + F.col("run_id")) % 10 == 0, F.lit("closed")).otherwise(F.lit("active")).alias("status"),
+        F.lit("2024-01-01T00:00:00Z").alias("open_time"),
+        F.when(u % 11 == 0, F.lit("")).otherwise(_iso(F.col("expiration_time"))).alias("close_time"),
+        _iso(F.col("expiration_time")).alias("expiration_time"),
+        "yes_bid", "yes_ask",
+        (100 - F.col("yes_ask")).cast("int").alias("no_bid"),
+        (100 - F.col("yes_bid")).cast("int").alias("no_ask"),
+        "volume", "open_interest")
+    g = (r.withColumn("page_no", (u / PAGE_SIZE).cast("long"))
+         .groupBy("snap_ts", "page_no")
+         .agg(F.array_sort(F.collect_list(F.struct((u % PAGE_SIZE).alias("o"), elem.alias("m"))))
+              .alias("ms")))
+    page = F.struct(_iso(F.col("snap_ts")).alias("page_ts"), "page_no",
+                    F.concat(F.lit("c"), _str(F.col("page_no") + 1)).alias("cursor"),
+                    F.transform("ms", lambda x: x["m"]).alias("markets"))
+    return g.select(F.to_json(page).alias("value"))
+
+
+OUTCOME_SHAPES = 8
+
+
+def prob_pages(prob_u: DataFrame, nation: DataFrame) -> DataFrame:
+    """B10, probability venue: one page per (run, user div 25) holding the
+    events of its markets.  Variations by user id: u%23=0 empty
+    ``conditionId`` (skipped), u%4=0 empty market slug, u%6=0 empty market
+    category, u%8=0 empty ``endDate`` (all inherit the event's); outcome
+    lists by u%8: 0 ``["YES","no"]``, 1 ``["No","Maybe"]``, 2 three
+    outcomes, 3 a non-numeric price, 4 unequal lengths; 5-7 plain
+    ``["Yes","No"]``.  Prices are 3-decimal text; a missing yes price gives
+    no ``outcomePrices``."""
+    u = F.col("user_id")
+    r = _recent(prob_u).join(
+        nation.select(F.concat(F.lit("V"), _str(F.col("n_nationkey"))).alias("event_id"),
+                      F.col("n_name").alias("event_title")), "event_id", "left")
+    yes = F.format_string("%.3f", F.col("outcome_yes_price"))
+    no = F.format_string("%.3f", F.col("outcome_no_price"))
+    shape = u % OUTCOME_SHAPES
+    outcomes = (F.when(shape == 0, F.lit('["YES","no"]'))
+                .when(shape == 1, F.lit('["No","Maybe"]'))
+                .when(shape == 2, F.lit('["Yes","No","Maybe"]'))
+                .otherwise(F.lit('["Yes","No"]')))
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    prices = (F.when(F.col("outcome_yes_price").isNull(), F.lit(None))
+              .when(shape == 2, F.concat(F.lit("["), q(yes), F.lit(","), q(no), F.lit(',"0.000"]')))
+              .when(shape == 3, F.concat(F.lit("["), q(yes), F.lit(',"n/a"]')))
+              .when(shape == 4, F.concat(F.lit("["), q(yes), F.lit("]")))
+              .otherwise(F.concat(F.lit("["), q(yes), F.lit(","), q(no), F.lit("]"))))
+    elem = F.struct(
+        _str(u).alias("id"),
+        F.when(u % 23 == 0, F.lit("")).otherwise(F.col("condition_id")).alias("conditionId"),
+        F.when(u % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("m-"), _str(u))).alias("slug"),
+        F.concat(F.lit("Market "), _str(u)).alias("question"),
+        F.when(u % 6 == 0, F.lit("")).otherwise(F.col("category")).alias("category"),
+        F.lit(True).alias("active"), F.lit(False).alias("closed"), F.lit(True).alias("enableOrderBook"),
+        F.lit("2024-01-01T00:00:00Z").alias("startDate"),
+        F.when(u % 8 == 0, F.lit("")).otherwise(_iso(F.col("end_date"))).alias("endDate"),
+        _str(F.col("liquidity")).alias("liquidity"),
+        F.col("volume").alias("volume"),
+        _str(F.col("volume_24hr")).alias("volume24hr"),
+        outcomes.alias("outcomes"), prices.alias("outcomePrices"))
+    per_event = (r.withColumn("page_no", (u / PAGE_SIZE).cast("long"))
+                 .groupBy("snap_ts", "page_no", "event_id")
+                 .agg(F.min("user_id").alias("first_u"),
+                      F.min_by("category", "user_id").alias("ev_category"),
+                      F.first("event_title").alias("event_title"),
+                      F.max("end_date").alias("ev_end"),
+                      F.array_sort(F.collect_list(F.struct((u % PAGE_SIZE).alias("o"), elem.alias("m"))))
+                      .alias("ms")))
+    ev = F.struct(
+        F.col("event_id").alias("id"), F.lower(F.col("event_title")).alias("slug"),
+        F.col("event_title").alias("title"), F.col("ev_category").alias("category"),
+        F.lit("2024-01-01T00:00:00Z").alias("startDate"), _iso(F.col("ev_end")).alias("endDate"),
+        F.lit(True).alias("active"), F.lit(False).alias("closed"),
+        F.transform("ms", lambda x: x["m"]).alias("markets"))
+    g = (per_event.groupBy("snap_ts", "page_no")
+         .agg(F.array_sort(F.collect_list(F.struct(F.col("first_u").alias("o"), ev.alias("e"))))
+              .alias("evs")))
+    page = F.struct(_iso(F.col("snap_ts")).alias("page_ts"), "page_no",
+                    F.transform("evs", lambda x: x["e"]).alias("events"))
+    return g.select(F.to_json(page).alias("value"))

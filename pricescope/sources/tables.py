@@ -78,6 +78,8 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
         "prob_events": fx.prob_events_dim(prob_u, nation),
         "alerts": fx.alerts(events),
         "ingest_log": fx.ingest_log(events),
+        "tick_pages": fx.tick_pages(tick_u),
+        "prob_pages": fx.prob_pages(prob_u, nation),
     }
     return Warehouse(spark, t)
 
