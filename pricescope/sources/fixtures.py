@@ -265,7 +265,10 @@ def tick_pages(tick_u: DataFrame) -> DataFrame:
     the last 18 h, markets ordered by ``user % 25``.  Variations by user id:
     u%7=0 empty ``ticker`` (key in ``market_ticker``), u%19=0 empty
     ``event_ticker``, u%11=0 empty ``close_time``; status closed when
-    (u + run_id) % 10 = 0."""
+    (u + run_id) % 10 = 0.  Overview fields: ``series_id`` = series ticker
+    (absent for u%13=0), ``event_id`` = 'EV' || u%4 (so one event id spans
+    several series; absent for u%17=0), ``event_title`` = 'Event ' || u%4
+    || '/' || u%3 (titles differ inside an event), ``close_ts``."""
     u = F.col("user_id")
     r = _recent(tick_u)
     elem = F.struct(
@@ -281,7 +284,11 @@ def tick_pages(tick_u: DataFrame) -> DataFrame:
         "yes_bid", "yes_ask",
         (100 - F.col("yes_ask")).cast("int").alias("no_bid"),
         (100 - F.col("yes_bid")).cast("int").alias("no_ask"),
-        "volume", "open_interest")
+        "volume", "open_interest",
+        F.when(u % 13 != 0, F.col("series_ticker")).alias("series_id"),
+        F.when(u % 17 != 0, F.concat(F.lit("EV"), _str(u % 4))).alias("event_id"),
+        F.concat(F.lit("Event "), _str(u % 4), F.lit("/"), _str(u % 3)).alias("event_title"),
+        _iso(F.col("expiration_time")).alias("close_ts"))
     g = (r.withColumn("page_no", (u / PAGE_SIZE).cast("long"))
          .groupBy("snap_ts", "page_no")
          .agg(F.array_sort(F.collect_list(F.struct((u % PAGE_SIZE).alias("o"), elem.alias("m"))))
