@@ -159,28 +159,33 @@ def event_rows(flat: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ K1/K2/K3 upsert
 def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: list[str], run_ts,
-           run_rank: int = 1) -> DataFrame:
+           run_rank: int = 1, keep_version: bool = False) -> DataFrame:
     """K1/K2/K3: keyed upsert, later row wins.
 
     ``incoming`` rows carry their page order in ``order``; the latest one
     per key replaces the stored row, whose ``updated_at`` becomes
     ``run_ts``.  Stored keys absent from ``incoming`` stay as they are.
-    Returns the complete new state with ``existing``'s columns.
+
+    Without a stored version, every stored row ranks below every incoming
+    row.  With ``keep_version=True`` the result keeps the winning version
+    in ``_v`` and a stored ``_v`` is compared with the incoming one, so
+    applying pages in any batch split or order converges to the same state.
     """
-    cols = [c for c in existing.columns]
+    cols = [c for c in existing.columns if c != "_v"]
     payload = [c for c in cols if c not in (key, "updated_at")]
-    new = incoming.select(key, *payload, ts_lit(run_ts).alias("updated_at"),
-                          F.struct(F.lit(run_rank).alias("_run"),
-                                   *[F.col(c).cast("string").alias(f"_o{i}") if c == "page_ts"
-                                     else F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-                          .alias("_v"))
-    old = existing.select(key, *payload, "updated_at",
-                          F.struct(F.lit(0).alias("_run"),
-                                   *[F.lit(None).cast(new.schema["_v"].dataType[f"_o{i}"].dataType)
-                                     .alias(f"_o{i}") for i, _ in enumerate(order)]).alias("_v"))
+    vtype = "struct<_run:int, _o0:string, _o1:bigint, _o2:int, _o3:int>"
+    new_v = F.struct(F.lit(run_rank).alias("_run"),
+                     *[(F.col(c).cast("string") if i == 0 else F.col(c).cast("bigint" if i == 1 else "int"))
+                       .alias(f"_o{i}") for i, c in enumerate(order)],
+                     *[F.lit(None).cast("int").alias(f"_o{i}") for i in range(len(order), 4)])
+    new = incoming.select(key, *payload, ts_lit(run_ts).alias("updated_at"), new_v.cast(vtype).alias("_v"))
+    zero = F.struct(F.lit(0).alias("_run"), *[F.lit(None).alias(f"_o{i}") for i in range(4)]).cast(vtype)
+    old_v = F.coalesce(F.col("_v").cast(vtype), zero) if "_v" in existing.columns else zero
+    old = existing.select(key, *payload, "updated_at", old_v.alias("_v"))
     both = old.unionByName(new)
-    g = both.groupBy(key).agg(F.max_by(F.struct(*payload, "updated_at"), "_v").alias("r"))
-    return g.select(key, *[F.col(f"r.{c}").alias(c) for c in payload + ["updated_at"]]).select(*cols)
+    g = both.groupBy(key).agg(F.max_by(F.struct(*payload, "updated_at", "_v"), "_v").alias("r"))
+    out = g.select(key, *[F.col(f"r.{c}").alias(c) for c in payload + ["updated_at", "_v"]])
+    return out.select(*cols, "_v") if keep_version else out.select(*cols)
 
 
 # ------------------------------------------------------------------ K4, K11
