@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricescope.functions.exprs import epoch_micros, hours, ts_lit
+from pricescope.operators import lookback as lb
 from pricescope.operators.ranked import top
 
 RAW_FIELDS = ["event_ticker", "market_type", "response_price_units", "rules_primary", "rules_secondary"]
@@ -27,7 +28,7 @@ def recent_markets(state: DataFrame, limit: int = 50) -> DataFrame:
 
 def market_by_key(state: DataFrame, key: str, key_col: str = "market_ticker") -> DataFrame:
     """One market by key (all columns)."""
-    return state.where(F.col(key_col) == key)
+    return state.where(F.col(key_col) == key).drop("snap_date")
 
 
 def raw_pretty(state: DataFrame, key: str, key_col: str = "market_ticker") -> DataFrame:
@@ -113,8 +114,7 @@ def market_series(snaps: DataFrame, key: str, key_col: str = "market_ticker") ->
 
 def widest_spreads(snaps: DataFrame, limit: int = 50) -> DataFrame:
     """Widest spreads at the latest snapshot (Postgres DESC: nulls first)."""
-    latest = snaps.agg(F.max("snap_ts")).scalar()
-    d = snaps.where(F.col("snap_ts") == latest).select(
+    d = lb.latest_rows(snaps).select(
         "market_ticker", "snap_ts", "spread_ticks", "mid", "volume", "open_interest")
     return top(d, limit, F.col("spread_ticks").desc_nulls_first(), F.col("market_ticker"))
 
@@ -154,7 +154,10 @@ def retain(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
     date-partitioned tables the predicate on the partition column prunes
     whole directories, so rewriting the kept data (or dropping the expired
     partitions it names) never scans the expired ones."""
-    return df.where(F.col(ts_col) >= ts_lit(as_of) - F.make_dt_interval(days=F.lit(int(days))))
+    cut = ts_lit(as_of) - F.make_dt_interval(days=F.lit(int(days)))
+    if "snap_date" in df.columns:
+        df = df.where(F.col("snap_date") >= F.to_date(cut))
+    return df.where(F.col(ts_col) >= cut).drop("snap_date")
 
 
 def expired_partitions(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:

@@ -7,10 +7,10 @@ Both are uncorrelated scalar subqueries over the distinct snapshot times,
 so Spark evaluates each once and pushes ``snap_ts = <subquery>`` into the
 Parquet scan (partition pruning on date-partitioned tables).
 
-The pair operator replaces the reference's self-join: one scan filtered to
-the two snapshot times, one hash shuffle on the market key, a max-of-struct
-per side.  Each key has at most two rows (``(snap_ts, key)`` is unique), so
-no key can be hot here, whatever its share of history.
+The pair operator joins two single-snapshot scans on the market key.
+Each side has at most one row per key (``(snap_ts, key)`` is unique), so no
+key can be hot here, whatever its share of history; and a snapshot is
+bounded per run, so AQE can broadcast it after checking its runtime size.
 """
 
 from __future__ import annotations
@@ -51,30 +51,39 @@ def window_start_ts(snaps: DataFrame, window_hours: int = 24) -> Column:
             .agg(F.min("snap_ts")).scalar())
 
 
+def at_time(snaps: DataFrame, ts: Column) -> DataFrame:
+    """Rows of one snapshot time.  On date-partitioned tables the same
+    scalar subquery also filters ``snap_date``, which Spark evaluates
+    before listing files, so only that date's directory is read."""
+    d = snaps.where(F.col("snap_ts") == ts)
+    if "snap_date" in snaps.columns:
+        d = d.where(F.col("snap_date") == F.to_date(ts))
+    return d
+
+
 def pair(snaps: DataFrame, key: str, now_ts: Column, prev_ts: Column, cols: list[str]) -> DataFrame:
     """Rows present at both ``now_ts`` and ``prev_ts``: key plus
     ``<c>_now``/``<c>_prev`` for every column in ``cols``, plus the two times.
 
-    ``now_ts`` may equal ``prev_ts`` (the top-changes base can be latest);
-    the same row then feeds both sides.
+    An inner equi-join of two single-snapshot scans on the key.  A
+    snapshot holds one row per picked market (bounded per run by the
+    pick cap), so AQE broadcasts a side when its runtime size is under the
+    broadcast threshold and falls back to a sort-merge join above it.
+    ``now_ts`` may equal ``prev_ts`` (the top-changes base can be latest).
     """
-    tagged = (snaps.select("snap_ts", key, *cols)
-              .where((F.col("snap_ts") == now_ts) | (F.col("snap_ts") == prev_ts))
-              .withColumn("_now", F.col("snap_ts") == now_ts)
-              .withColumn("_prev", F.col("snap_ts") == prev_ts))
-    body = F.struct("snap_ts", *cols)
-    g = tagged.groupBy(key).agg(F.max(F.when(F.col("_now"), body)).alias("n"),
-                                F.max(F.when(F.col("_prev"), body)).alias("p"))
-    g = g.where(F.col("n").isNotNull() & F.col("p").isNotNull())
-    out = [key, F.col("n.snap_ts").alias("snap_ts_now"), F.col("p.snap_ts").alias("snap_ts_prev")]
+    cur = at_time(snaps, now_ts).select(key, F.col("snap_ts").alias("snap_ts_now"),
+                                        *[F.col(c).alias(f"{c}_now") for c in cols])
+    prev = at_time(snaps, prev_ts).select(key, F.col("snap_ts").alias("snap_ts_prev"),
+                                          *[F.col(c).alias(f"{c}_prev") for c in cols])
+    out = [key, "snap_ts_now", "snap_ts_prev"]
     for c in cols:
-        out += [F.col(f"n.{c}").alias(f"{c}_now"), F.col(f"p.{c}").alias(f"{c}_prev")]
-    return g.select(*out)
+        out += [f"{c}_now", f"{c}_prev"]
+    return cur.join(prev, key, "inner").select(*out)
 
 
 def latest_rows(snaps: DataFrame) -> DataFrame:
     """Rows of the latest snapshot (pushed down as ``snap_ts = subquery``)."""
-    return snaps.where(F.col("snap_ts") == latest_ts(snaps))
+    return at_time(snaps, latest_ts(snaps))
 
 
 def base_table(snaps: DataFrame, hours_list: list[int]) -> DataFrame:

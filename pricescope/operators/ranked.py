@@ -33,7 +33,9 @@ def attach(topk: DataFrame, dim: DataFrame, key: str, cols: list[str], order: li
            select: list) -> DataFrame:
     """Left-join display columns of ``dim`` onto an already-limited frame.
     The key set is broadcast (bounded by the limit) as a semi-join filter
-    so only matching dimension rows leave the scan."""
+    so only matching dimension rows leave the scan.  The limited frame is
+    cached (at most ``limit`` rows) so the ranking runs once for both uses."""
+    topk = topk.cache()
     wanted = dim.select(key, *cols).join(F.broadcast(topk.select(key)), key, "left_semi")
     return topk.join(wanted, key, "left").orderBy(*order).select(*select)
 
@@ -160,7 +162,7 @@ def screener_tick(state: DataFrame, limit: int = 50, scan: int | None = None, mi
 
 
 def _latest_of(df: DataFrame) -> DataFrame:
-    return df.where(F.col("snap_ts") == df.agg(F.max("snap_ts")).scalar())
+    return lb.latest_rows(df)
 
 
 def top_events_tick(series: DataFrame, by: str = "total_open_interest", limit: int = 50) -> DataFrame:

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pricescope.sources import fixtures as fx
 from pricescope.operators import snapshots as snap
 
+import os
+import threading
+import uuid
+
 TABLES = ["tick_snapshots", "tick_state", "tick_global", "tick_series", "tick_runs",
           "prob_snapshots", "prob_state", "prob_global", "prob_event_snapshots", "prob_runs",
           "prob_events", "alerts", "ingest_log"]
@@ -97,8 +101,9 @@ PARTITIONED = {"tick_snapshots": "snap_ts", "prob_snapshots": "snap_ts",
 
 
 def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None) -> Warehouse:
-    """Materialise a warehouse as Parquet (snapshot tables partitioned by
-    ``snap_date``, clustered by time within a partition)."""
+    """Materialise a warehouse as Parquet and return it read back: snapshot
+    tables partitioned by ``snap_date`` (the retention and pruning unit),
+    optionally with move statistics stored as of ``as_of``."""
     from pyspark.sql import functions as F
     root = root.rstrip("/")
     tables = dict(wh.tables)
@@ -116,3 +121,24 @@ def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None)
             w = df.write
         w.mode(mode).parquet(f"{root}/{name}")
     return Warehouse(wh.spark, {n: wh.spark.read.parquet(f"{root}/{n}") for n in tables})
+
+
+_MATERIALISED: dict = {}
+_LOCK = threading.Lock()
+
+
+def materialised(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The test-data warehouse written once per Spark application and test
+    directory to Parquet under the session's checkpoint folder, then read
+    back.  Queries then plan against stored tables -- short lineage, date
+    partitions to prune, lost executors recompute from files -- exactly as
+    they would against the exporter's tables."""
+    from pricescope.session import checkpoint_root
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        wh = _MATERIALISED.get(key)
+        if wh is None:
+            root = f"{checkpoint_root(spark)}/warehouse-{uuid.uuid4().hex[:12]}"
+            wh = write_parquet(from_testdata(spark, sf_dir), root)
+            _MATERIALISED[key] = wh
+    return wh
