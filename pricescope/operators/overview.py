@@ -58,12 +58,14 @@ def overview_flat(tick_rows: DataFrame) -> DataFrame:
 
 
 def overview_metadata(flat: DataFrame, generated_at) -> DataFrame:
-    """K8 metadata: market, event (per series) and series counts."""
+    """K8 metadata: market, event (per series) and series counts.  A null
+    key is a key of its own, as in the reference's dictionaries, so the
+    distinct counts run over structs (which are never null)."""
     return flat.agg(
         ts_lit(generated_at).alias("generated_at"),
         F.count(F.lit(1)).alias("market_count"),
-        F.count_distinct(F.col("series_id"), F.col("event_id")).alias("event_count"),
-        F.count_distinct(F.col("series_id")).alias("series_count"))
+        F.count_distinct(F.struct("series_id", "event_id")).alias("event_count"),
+        F.count_distinct(F.struct("series_id")).alias("series_count"))
 
 
 def overview_chunks(flat: DataFrame, pages_per_chunk: int = 4) -> DataFrame:
