@@ -45,7 +45,7 @@ def main() -> None:
     root = f"{checkpoint_root(spark)}/bench-{uuid.uuid4().hex[:8]}"
 
     t0 = time.time()
-    wh = write_parquet(from_testdata(spark, sf_dir), root, as_of=AS_OF)
+    wh = write_parquet(from_testdata(spark, sf_dir, persist=True), root, as_of=AS_OF)
     build = time.time() - t0
 
     cold, warm, failed = {}, {}, {}

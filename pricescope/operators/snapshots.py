@@ -185,10 +185,22 @@ def append_if_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> Da
     """K5 (``on conflict do nothing``): the table after appending the rows of
     ``new`` whose key is not yet present.  A left-anti join on the key
     columns; returns the complete table (old rows + admitted new rows)."""
-    admitted = new.join(existing.select(*keys), on=keys, how="left_anti")
-    return existing.unionByName(admitted.select(*existing.columns))
+    admitted = admitted_rows(existing, new, keys)
+    cols = [c for c in existing.columns if c != "snap_date"]
+    return existing.select(*cols).unionByName(admitted.select(*cols))
 
 
 def admitted_rows(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """K5, the rows an append would add (what ``rowcount`` reports)."""
-    return new.join(existing.select(*keys), on=keys, how="left_anti")
+    """K5, the rows an append would add (what ``rowcount`` reports).
+
+    When the key includes ``snap_ts`` and the stored table is partitioned
+    by ``snap_date``, the stored side is bounded to the new rows' time range
+    (scalar subqueries), so a run's dedupe reads that run's date partition,
+    not the whole history."""
+    old = existing
+    if "snap_ts" in keys and "snap_date" in existing.columns:
+        lo = new.agg(F.min("snap_ts")).scalar()
+        hi = new.agg(F.max("snap_ts")).scalar()
+        old = old.where((F.col("snap_date") >= F.to_date(lo)) & (F.col("snap_date") <= F.to_date(hi))
+                        & (F.col("snap_ts") >= lo) & (F.col("snap_ts") <= hi))
+    return new.join(old.select(*keys), on=keys, how="left_anti")

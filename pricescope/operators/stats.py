@@ -29,10 +29,20 @@ from pricescope.venues import Venue
 LOOKBACK_DAYS = 7
 
 
+def recent_rows(snaps: DataFrame, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """Snapshot rows with ``snap_ts > as_of - lookback`` (strict).  On
+    date-partitioned tables the matching ``snap_date`` bound prunes every
+    older partition before any file is opened."""
+    cut = ts_lit(as_of) - F.make_dt_interval(days=F.lit(lookback_days))
+    if "snap_date" in snaps.columns:
+        snaps = snaps.where(F.col("snap_date") >= F.to_date(cut))
+    return snaps.where(F.col("snap_ts") > cut)
+
+
 def moves(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Per (market, snapshot): abs price move from the previous global
     snapshot time, for markets priced at both."""
-    recent = snaps.where(F.col("snap_ts") > ts_lit(as_of) - F.make_dt_interval(days=F.lit(lookback_days)))
+    recent = recent_rows(snaps, as_of, lookback_days)
     times = recent.select("snap_ts").distinct()
     times = times.withColumn("i", F.row_number().over(Window.orderBy("snap_ts")))
     w = Window.partitionBy(venue.key).orderBy("i")
@@ -48,7 +58,7 @@ def moves(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_D
 def move_stats(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """M1/M2: key, avg_move_24h, avg_move_7d, std_move_24h, volatility_score,
     updated_at (= as_of)."""
-    recent = snaps.where(F.col("snap_ts") > ts_lit(as_of) - F.make_dt_interval(days=F.lit(lookback_days)))
+    recent = recent_rows(snaps, as_of, lookback_days)
     latest = recent.agg(F.max("snap_ts")).scalar()
     m = moves(snaps, venue, as_of, lookback_days)
     in_24h = F.col("snap_ts") > latest - hours(24)

@@ -38,6 +38,9 @@ def vol_index(snaps: DataFrame, venue: Venue, points: int = 50, min_weight: floa
     times = times.withColumn("i", F.row_number().over(Window.orderBy("snap_ts")))
     w = Window.partitionBy(venue.key).orderBy("i")
     p = F.col(venue.price) / float(price_scale)
+    if "snap_date" in snaps.columns:
+        # prune to the dates of the selected times (scalar subquery bound)
+        snaps = snaps.where(F.col("snap_date") >= F.to_date(times.agg(F.min("snap_ts")).scalar()))
     rows = (snaps.select("snap_ts", venue.key, p.alias("px"), F.col(venue.weight).alias("w"))
             .join(F.broadcast(times), "snap_ts")
             .withColumn("prev_px", F.lag("px").over(w))

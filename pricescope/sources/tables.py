@@ -36,6 +36,10 @@ class Warehouse:
             return t[name]
         raise AttributeError(name)
 
+    def release(self) -> None:
+        for df in self.__dict__.get("held", []):
+            df.unpersist()
+
     def snapshots(self, venue) -> DataFrame:
         return self.tables[f"{venue.name}_snapshots"]
 
@@ -58,14 +62,23 @@ class Warehouse:
         return move_stats(self.snapshots(venue), venue, as_of)
 
 
-def from_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Derive every stored table from the driver's test parquet (lazy)."""
+def from_testdata(spark: SparkSession, sf_dir: str, persist: bool = False) -> Warehouse:
+    """Derive every stored table from the driver's test parquet (lazy).
+    ``persist=True`` keeps the shared intermediates (observations and the
+    two per-user snapshot frames) in memory-and-disk while a caller writes
+    several tables from them; ``Warehouse.release()`` drops them."""
     events = fx.read_table(spark, sf_dir, "events")
     customer = fx.read_table(spark, sf_dir, "customer")
     nation = fx.read_table(spark, sf_dir, "nation")
     obs = fx.observations(events)
     tick_u = fx.tick_snapshots_with_user(obs)
     prob_u = fx.prob_snapshots_with_user(obs, customer)
+    held = []
+    if persist:
+        from pyspark import StorageLevel
+        tick_u = tick_u.persist(StorageLevel.MEMORY_AND_DISK)
+        prob_u = prob_u.persist(StorageLevel.MEMORY_AND_DISK)
+        held = [tick_u, prob_u]
     tick_snaps = tick_u.drop("user_id")
     prob_snaps = prob_u.drop("user_id")
     t = {
@@ -85,7 +98,9 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
         "tick_pages": fx.tick_pages(tick_u),
         "prob_pages": fx.prob_pages(prob_u, nation),
     }
-    return Warehouse(spark, t)
+    wh = Warehouse(spark, t)
+    wh.__dict__["held"] = held
+    return wh
 
 
 def from_parquet(spark: SparkSession, root: str) -> Warehouse:
@@ -120,6 +135,7 @@ def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None)
         else:
             w = df.write
         w.mode(mode).parquet(f"{root}/{name}")
+    wh.release()
     return Warehouse(wh.spark, {n: wh.spark.read.parquet(f"{root}/{n}") for n in tables})
 
 
@@ -139,6 +155,6 @@ def materialised(spark: SparkSession, sf_dir: str) -> Warehouse:
         wh = _MATERIALISED.get(key)
         if wh is None:
             root = f"{checkpoint_root(spark)}/warehouse-{uuid.uuid4().hex[:12]}"
-            wh = write_parquet(from_testdata(spark, sf_dir), root)
+            wh = write_parquet(from_testdata(spark, sf_dir, persist=True), root)
             _MATERIALISED[key] = wh
     return wh

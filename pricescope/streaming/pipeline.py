@@ -51,14 +51,17 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
 
 
 def append_partitioned(df: DataFrame, path: str, ts_col: str = "snap_ts") -> None:
-    (df.withColumn("snap_date", F.to_date(F.col(ts_col)))
+    (df.drop("snap_date").withColumn("snap_date", F.to_date(F.col(ts_col)))
        .write.mode("append").partitionBy("snap_date").parquet(path))
 
 
 def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
     """An append-only table, read with its declared schema (it may still
-    be empty, in which case there is no footer to infer from)."""
-    return spark.read.schema(schema).parquet(path).drop("snap_date")
+    be empty, in which case there is no footer to infer from).  The
+    ``snap_date`` partition column is kept so predicates can prune."""
+    from pyspark.sql import types as T
+    full = T.StructType(list(schema.fields) + [T.StructField("snap_date", T.DateType(), True)])
+    return spark.read.schema(full).parquet(path)
 
 
 class TickStore:
