@@ -150,3 +150,76 @@ def land_pages(pages: DataFrame, landing: str) -> list[str]:
         (pages.where(F.get_json_object("value", "$.page_ts") == t).coalesce(1)
          .write.mode("append").text(landing))
     return runs
+
+
+# ------------------------------------------------------- probability venue
+class ProbStore(TickStore):
+    """Paths of the probability venue's stored tables under ``root``."""
+
+    def initialise(self, spark: SparkSession, state: DataFrame, events: DataFrame,
+                   alerts: DataFrame) -> None:
+        from pricescope.schemas import PROB_EVENT_SNAPSHOT, PROB_GLOBAL, PROB_SNAPSHOT
+        none = F.lit(None).cast(STATE_VERSION_TYPE)
+        write_version(state.withColumn("_v", none), self.state, 0)
+        write_version(events.withColumn("_v", none), self.events, 0)
+        write_version(alerts, self.alerts, 0)
+        for schema, path in ((PROB_SNAPSHOT, self.snapshots), (PROB_GLOBAL, self.global_snap),
+                             (PROB_EVENT_SNAPSHOT, self.event_snaps)):
+            append_partitioned(spark.createDataFrame([], schema), path)
+        spark.createDataFrame([], ALERT_HISTORY).write.mode("append").parquet(self.history)
+
+
+def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int = 0,
+               market_snapshot: bool = True, alerts: bool = True) -> None:
+    """R1 + R2 + R3 for one micro-batch of landed probability pages:
+    flatten (I4/I7) and normalise (I2/I9), upsert markets (K2) and events
+    with first-wins inside the run (K3), append N2/N4/N6 snapshots if
+    absent, then M2 statistics and alerts."""
+    from pricescope.schemas import PROB_EVENT_SNAPSHOT, PROB_GLOBAL, PROB_SNAPSHOT
+    from pricescope.venues import PROB
+    spark = pages.sparkSession
+    flat = ig.flatten_prob(feeds.prob_market_elements(feeds.prob_events(pages)))
+    rows = ig.normalize_prob(flat)
+    snap_ts = flat.agg(F.max(ig.parse_ts(F.col("page_ts")))).scalar()
+    run_id = run_base + batch_id + 1
+    order = ["page_ts", "page_no", "ev_pos", "pos"]
+
+    state = read_current(spark, store.state)
+    write_version(ig.upsert(state, rows, "condition_id", order, snap_ts, keep_version=True),
+                  store.state, batch_id + 1)
+    events = read_current(spark, store.events)
+    write_version(ig.upsert(events, ig.event_rows(flat), "event_id", order, snap_ts, keep_version=True),
+                  store.events, batch_id + 1)
+    cur = read_current(spark, store.state).drop("_v")
+
+    g = sn.snapshot_global_prob(cur, snap_ts, run_id)
+    append_partitioned(sn.admitted_rows(read_partitioned(spark, store.global_snap, PROB_GLOBAL), g,
+                                        ["run_id"]), store.global_snap)
+    e = sn.snapshot_events_prob(cur, snap_ts, run_id)
+    append_partitioned(sn.admitted_rows(read_partitioned(spark, store.event_snaps, PROB_EVENT_SNAPSHOT), e,
+                                        ["snap_ts", "event_id"]), store.event_snaps)
+    if market_snapshot:
+        m = sn.pick_markets_prob(cur, snap_ts, run_id)
+        append_partitioned(sn.admitted_rows(read_partitioned(spark, store.snapshots, PROB_SNAPSHOT), m,
+                                            ["snap_ts", "condition_id"]), store.snapshots)
+    if not alerts:
+        return
+    snaps = read_partitioned(spark, store.snapshots, PROB_SNAPSHOT)
+    stats = st.move_stats(snaps, PROB, snap_ts)
+    movers = al.all_movers({PROB.name: al.movers(snaps, cur, stats, PROB)})
+    alerts_now = read_current(spark, store.alerts)
+    fired = al.evaluate(alerts_now, movers, snap_ts)
+    history = spark.read.schema(ALERT_HISTORY).parquet(store.history)
+    al.append_history(history.limit(0), fired).join(history.select("history_id"), "history_id",
+                                                      "left_anti").write.mode("append").parquet(store.history)
+    write_version(al.stamp_alerts(alerts_now, fired), store.alerts, batch_id + 1)
+
+
+def start_prob_stream(spark: SparkSession, landing: str, store: ProbStore, checkpoint: str,
+                      files_per_batch: int | None = 1, available_now: bool = True, **kw):
+    """Start the probability-venue R1-R3 stream over ``landing``."""
+    pages = feeds.stream_pages(spark, landing, files_per_batch)
+    w = (pages.writeStream.foreachBatch(lambda df, bid: prob_batch(df, bid, store, **kw))
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
