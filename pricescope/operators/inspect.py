@@ -112,9 +112,9 @@ def market_series(snaps: DataFrame, key: str, key_col: str = "market_ticker") ->
         "snap_ts", "yes_bid", "yes_ask", "mid", "volume", "open_interest").orderBy("snap_ts")
 
 
-def widest_spreads(snaps: DataFrame, limit: int = 50) -> DataFrame:
+def widest_spreads(snaps: DataFrame, limit: int = 50, times: DataFrame | None = None) -> DataFrame:
     """Widest spreads at the latest snapshot (Postgres DESC: nulls first)."""
-    d = lb.latest_rows(snaps).select(
+    d = lb.latest_rows(snaps, times).select(
         "market_ticker", "snap_ts", "spread_ticks", "mid", "volume", "open_interest")
     return top(d, limit, F.col("spread_ticks").desc_nulls_first(), F.col("market_ticker"))
 

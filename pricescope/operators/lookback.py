@@ -21,20 +21,27 @@ from pyspark.sql import functions as F
 from pricescope.functions.exprs import hours
 
 
-def snapshot_times(snaps: DataFrame) -> DataFrame:
+def snapshot_times(snaps: DataFrame, times: DataFrame | None = None) -> DataFrame:
+    """The distinct snapshot times.  ``times`` is the per-run times table
+    the snapshot writer maintains (one row per snapshot time): reading it
+    costs one row per run instead of the ``snap_ts`` column of every file
+    of the history.  Without it the times are taken from the snapshots."""
+    if times is not None:
+        return times.select("snap_ts")
     return snaps.select("snap_ts").distinct()
 
 
-def latest_ts(snaps: DataFrame) -> Column:
+def latest_ts(snaps: DataFrame, times: DataFrame | None = None) -> Column:
     """Scalar subquery: max(snap_ts)."""
-    return snaps.agg(F.max("snap_ts")).scalar()
+    return snapshot_times(snaps, times).agg(F.max("snap_ts")).scalar()
 
 
-def base_ts(snaps: DataFrame, lookback_hours: int, fallback: bool = True) -> Column:
+def base_ts(snaps: DataFrame, lookback_hours: int, fallback: bool = True,
+            times: DataFrame | None = None) -> Column:
     """B: newest snap_ts <= latest - h; else newest < latest; else null.
     ``fallback=False`` gives the cookbook's variant without the second step."""
-    t = snapshot_times(snaps)
-    latest = latest_ts(snaps)
+    t = snapshot_times(snaps, times)
+    latest = latest_ts(snaps, times)
     first = t.where(F.col("snap_ts") <= latest - hours(lookback_hours)).agg(F.max("snap_ts")).scalar()
     if not fallback:
         return first
@@ -42,11 +49,12 @@ def base_ts(snaps: DataFrame, lookback_hours: int, fallback: bool = True) -> Col
     return F.coalesce(first, second)
 
 
-def window_start_ts(snaps: DataFrame, window_hours: int = 24) -> Column:
+def window_start_ts(snaps: DataFrame, window_hours: int = 24,
+                    times: DataFrame | None = None) -> Column:
     """Base of the top-changes queries: the oldest snapshot inside
     [latest - window, latest] (possibly latest itself)."""
-    latest = latest_ts(snaps)
-    return (snapshot_times(snaps)
+    latest = latest_ts(snaps, times)
+    return (snapshot_times(snaps, times)
             .where((F.col("snap_ts") >= latest - hours(window_hours)) & (F.col("snap_ts") <= latest))
             .agg(F.min("snap_ts")).scalar())
 
@@ -81,16 +89,16 @@ def pair(snaps: DataFrame, key: str, now_ts: Column, prev_ts: Column, cols: list
     return cur.join(prev, key, "inner").select(*out)
 
 
-def latest_rows(snaps: DataFrame) -> DataFrame:
+def latest_rows(snaps: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """Rows of the latest snapshot (pushed down as ``snap_ts = subquery``)."""
-    return at_time(snaps, latest_ts(snaps))
+    return at_time(snaps, latest_ts(snaps, times))
 
 
-def base_table(snaps: DataFrame, hours_list: list[int]) -> DataFrame:
+def base_table(snaps: DataFrame, hours_list: list[int], times: DataFrame | None = None) -> DataFrame:
     """B as a table: one row per lookback (lookback_hours, latest_ts,
     base_ts, used_fallback).  Aggregates the distinct times once; the
     latest time is a scalar subquery in the projection below."""
-    t = snapshot_times(snaps).withColumn("_latest", latest_ts(snaps))
+    t = snapshot_times(snaps, times).withColumn("_latest", latest_ts(snaps, times))
     ts, latest = F.col("snap_ts"), F.col("_latest")
     aggs = [F.max("_latest").alias("latest_ts"), F.max(F.when(ts < latest, ts)).alias("_prev")]
     for h in hours_list:

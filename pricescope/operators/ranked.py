@@ -194,7 +194,8 @@ def _pair_cols(venue: Venue) -> list[str]:
 
 
 def biggest_moves(snaps: DataFrame, state: DataFrame, stats: DataFrame, venue: Venue,
-                  limit: int = 50, lookback_hours: int = 1, min_volume=0) -> DataFrame:
+                  limit: int = 50, lookback_hours: int = 1, min_volume=0,
+                  times: DataFrame | None = None) -> DataFrame:
     """Latest vs base snapshot (B); move_score = |move| /
     avg_move_24h (4 digits) when the baseline is positive; ordered by
     move_score desc nulls last, then |move| desc.
@@ -204,7 +205,7 @@ def biggest_moves(snaps: DataFrame, state: DataFrame, stats: DataFrame, venue: V
     limit = clamp(limit, 1, 200)
     h = clamp(lookback_hours, 1, 168)
     key, px = venue.key, venue.price
-    latest, base = lb.latest_ts(snaps), lb.base_ts(snaps, h)
+    latest, base = lb.latest_ts(snaps, times), lb.base_ts(snaps, h, times=times)
     p = lb.pair(snaps, key, latest, base, _pair_cols(venue))
     p = p.where(F.col(f"{px}_now").isNotNull() & F.col(f"{px}_prev").isNotNull())
     if venue is TICK:
@@ -232,10 +233,12 @@ def biggest_moves(snaps: DataFrame, state: DataFrame, stats: DataFrame, venue: V
                    "move_score", "avg_move_24h", "volume", "liquidity"])
 
 
-def market_movers_tick(snaps: DataFrame, limit: int = 100, min_diff: int = 25) -> DataFrame:
+def market_movers_tick(snaps: DataFrame, limit: int = 100, min_diff: int = 25,
+                       times: DataFrame | None = None) -> DataFrame:
     """|mid move| >= min_diff ticks versus ~24 h ago (B, 24 h)."""
     limit, min_diff = clamp(limit, 1, 500), max(1, int(min_diff))
-    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps), lb.base_ts(snaps, 24), ["mid"])
+    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps, times), lb.base_ts(snaps, 24, times=times),
+                ["mid"])
     d = p.select("market_ticker", F.col("mid_prev").alias("old_price"),
                  F.col("mid_now").alias("new_price"),
                  F.abs(F.col("mid_now") - F.col("mid_prev")).alias("price_diff"))
@@ -243,10 +246,11 @@ def market_movers_tick(snaps: DataFrame, limit: int = 100, min_diff: int = 25) -
                F.col("market_ticker"))
 
 
-def spread_blowouts_tick(snaps: DataFrame, lookback_hours: int = 24, limit: int = 100) -> DataFrame:
+def spread_blowouts_tick(snaps: DataFrame, lookback_hours: int = 24, limit: int = 100,
+                         times: DataFrame | None = None) -> DataFrame:
     """Spread change latest vs base; Postgres DESC puts nulls first."""
     h, limit = clamp(lookback_hours, 1, 168), clamp(limit, 1, 500)
-    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps), lb.base_ts(snaps, h),
+    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps, times), lb.base_ts(snaps, h, times=times),
                 ["spread_ticks", "mid", "series_ticker"])
     d = p.select("market_ticker", F.col("series_ticker_now").alias("event_ticker"),
                  F.col("spread_ticks_now").alias("spread_now"),
@@ -256,11 +260,12 @@ def spread_blowouts_tick(snaps: DataFrame, lookback_hours: int = 24, limit: int
     return top(d, limit, F.col("d_spread").desc_nulls_first(), F.col("market_ticker"))
 
 
-def expiring_tick(snaps: DataFrame, as_of, lookback_hours: int = 48, limit: int = 50) -> DataFrame:
+def expiring_tick(snaps: DataFrame, as_of, lookback_hours: int = 48, limit: int = 50,
+                  times: DataFrame | None = None) -> DataFrame:
     """Latest-snapshot markets expiring by as_of + h (no lower bound),
     by open interest desc nulls last."""
     h, limit = clamp(lookback_hours, 1, 336), clamp(limit, 1, 200)
-    d = lb.latest_rows(snaps).where(F.col("expiration_time").isNotNull()
+    d = lb.latest_rows(snaps, times).where(F.col("expiration_time").isNotNull()
                                     & (F.col("expiration_time") <= ts_lit(as_of) + hours(h)))
     d = d.select("market_ticker", F.col("series_ticker").alias("event_ticker"), "expiration_time",
                  "open_interest", "volume", "spread_ticks", "mid")
@@ -268,12 +273,12 @@ def expiring_tick(snaps: DataFrame, as_of, lookback_hours: int = 48, limit: int
 
 
 def mid_moves(snaps: DataFrame, state: DataFrame, venue: Venue, lookback_hours: int = 24,
-              limit: int = 100) -> DataFrame:
+              limit: int = 100, times: DataFrame | None = None) -> DataFrame:
     """T14 (tick: |d_mid| desc nulls first, with spread change) / P13 (prob:
     both prices known, |move| desc)."""
     h, limit = clamp(lookback_hours, 1, 168), clamp(limit, 1, 500)
     key = venue.key
-    p = lb.pair(snaps, key, lb.latest_ts(snaps), lb.base_ts(snaps, h), _pair_cols(venue))
+    p = lb.pair(snaps, key, lb.latest_ts(snaps, times), lb.base_ts(snaps, h, times=times), _pair_cols(venue))
     if venue is TICK:
         d = p.select(key, F.col("series_ticker_now").alias("event_ticker"), "mid_now", "mid_prev",
                      (F.col("mid_now") - F.col("mid_prev")).alias("d_mid"),
@@ -307,7 +312,7 @@ INTEGER_METRICS = {"volume", "open_interest", "spread_ticks"}
 
 def top_changes(snaps: DataFrame, state: DataFrame, venue: Venue, metric: str = "volume",
                 limit: int = 50, min_prev_value: float = 0.0, window_hours: int = 24,
-                exact_pct: bool = False) -> DataFrame:
+                exact_pct: bool = False, times: DataFrame | None = None) -> DataFrame:
     """Change of ``metric`` from the oldest snapshot in the last
     ``window_hours`` to the latest.  On the tick venue the integer metrics
     divide as integers (truncating) before x100, as the reference's int
@@ -322,7 +327,7 @@ def top_changes(snaps: DataFrame, state: DataFrame, venue: Venue, metric: str =
         raise ValueError("Unsupported metric. Use one of: "
                          + ", ".join(sorted(set(TOP_CHANGE_METRICS[venue.name].values()))))
     key = venue.key
-    latest, base = lb.latest_ts(snaps), lb.window_start_ts(snaps, window_hours)
+    latest, base = lb.latest_ts(snaps, times), lb.window_start_ts(snaps, window_hours, times)
     cols = list(dict.fromkeys([m, "volume"] + (["open_interest", "series_ticker"] if venue is TICK
                                                 else ["event_id"])))
     p = lb.pair(snaps, key, latest, base, cols)

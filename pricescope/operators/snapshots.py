@@ -204,3 +204,11 @@ def admitted_rows(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataF
         old = old.where((F.col("snap_date") >= F.to_date(lo)) & (F.col("snap_date") <= F.to_date(hi))
                         & (F.col("snap_ts") >= lo) & (F.col("snap_ts") <= hi))
     return new.join(old.select(*keys), on=keys, how="left_anti")
+
+
+def snapshot_times_of(market_rows: DataFrame) -> DataFrame:
+    """The per-run times table: one row per snapshot time of the market
+    snapshot rows (snap_ts, run_id, n_markets).  Written next to the market
+    snapshots so time lookups read one row per run."""
+    return market_rows.groupBy("snap_ts").agg(F.max("run_id").alias("run_id"),
+                                              F.count(F.lit(1)).alias("n_markets"))

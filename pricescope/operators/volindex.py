@@ -31,10 +31,11 @@ HOURS_PER_YEAR = 24.0 * 365.0
 
 
 def vol_index(snaps: DataFrame, venue: Venue, points: int = 50, min_weight: float = 100.0,
-              price_scale: float = 1.0) -> DataFrame:
+              price_scale: float = 1.0, times: DataFrame | None = None) -> DataFrame:
+    from pricescope.operators.lookback import snapshot_times
     points = clamp(points, 1, 200)
     min_w = max(0.0, float(min_weight))
-    times = (snaps.select("snap_ts").distinct().orderBy(F.col("snap_ts").desc()).limit(points + 1))
+    times = snapshot_times(snaps, times).orderBy(F.col("snap_ts").desc()).limit(points + 1)
     times = times.withColumn("i", F.row_number().over(Window.orderBy("snap_ts")))
     w = Window.partitionBy(venue.key).orderBy("i")
     p = F.col(venue.price) / float(price_scale)

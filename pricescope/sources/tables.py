@@ -20,7 +20,7 @@ import os
 import threading
 import uuid
 
-TABLES = ["tick_snapshots", "tick_state", "tick_global", "tick_series", "tick_runs",
+TABLES = ["tick_snapshots", "tick_snapshot_times", "prob_snapshot_times", "tick_state", "tick_global", "tick_series", "tick_runs",
           "prob_snapshots", "prob_state", "prob_global", "prob_event_snapshots", "prob_runs",
           "prob_events", "alerts", "ingest_log"]
 
@@ -43,6 +43,10 @@ class Warehouse:
     def snapshots(self, venue) -> DataFrame:
         return self.tables[f"{venue.name}_snapshots"]
 
+    def times(self, venue) -> DataFrame | None:
+        """The per-run snapshot-times table, when the warehouse has one."""
+        return self.tables.get(f"{venue.name}_snapshot_times")
+
     def state(self, venue) -> DataFrame:
         return self.tables[f"{venue.name}_state"]
 
@@ -84,6 +88,8 @@ def from_testdata(spark: SparkSession, sf_dir: str, persist: bool = False) -> Wa
     t = {
         "tick_snapshots": tick_snaps,
         "tick_state": fx.tick_state(tick_u, events),
+        "tick_snapshot_times": snap.snapshot_times_of(tick_snaps),
+        "prob_snapshot_times": snap.snapshot_times_of(prob_snaps),
         "tick_global": snap.tick_global_by_time(tick_snaps),
         "tick_series": snap.tick_series_by_time(tick_snaps),
         "tick_runs": fx.export_runs(tick_snaps),

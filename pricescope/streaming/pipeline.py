@@ -34,6 +34,7 @@ from pricescope.schemas import ALERT_HISTORY, TICK_GLOBAL, TICK_SERIES, TICK_SNA
 from pricescope.sources import feeds
 from pricescope.venues import TICK
 
+TIMES = "snap_ts timestamp_ntz, run_id long, n_markets long"
 STATE_VERSION_TYPE = "struct<_run:int, _o0:string, _o1:bigint, _o2:int, _o3:int>"
 
 
@@ -83,6 +84,18 @@ class TickStore:
                              (TICK_SERIES, self.series)):
             append_partitioned(spark.createDataFrame([], schema), path)
         spark.createDataFrame([], ALERT_HISTORY).write.mode("append").parquet(self.history)
+        spark.createDataFrame([], TIMES).write.mode("append").parquet(self.times)
+
+
+def record_times(spark: SparkSession, store, schema, key: str) -> None:
+    """Append the per-run times row(s) of snapshot times not yet recorded
+    (idempotent: a replay finds its time already present).  Only the
+    newest date partition of the snapshots is read."""
+    snaps = read_partitioned(spark, store.snapshots, schema)
+    newest = snaps.where(F.col("snap_date") == snaps.agg(F.max("snap_date")).scalar())
+    recorded = spark.read.schema(TIMES).parquet(store.times)
+    sn.snapshot_times_of(newest).join(recorded.select("snap_ts"), "snap_ts", "left_anti") \
+        .write.mode("append").parquet(store.times)
 
 
 # ------------------------------------------------------------------ one batch
@@ -112,13 +125,15 @@ def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int
         existing_m = read_partitioned(spark, store.snapshots, TICK_SNAPSHOT)
         m = sn.pick_markets_tick(cur, snap_ts, run_id)
         append_partitioned(sn.admitted_rows(existing_m, m, ["snap_ts", "market_ticker"]), store.snapshots)
+        record_times(spark, store, TICK_SNAPSHOT, "market_ticker")
 
     if not alerts:
         return
     # M1 + R3: statistics over the history, alerts with cooldown.
     snaps = read_partitioned(spark, store.snapshots, TICK_SNAPSHOT)
+    times = spark.read.schema(TIMES).parquet(store.times)
     stats = st.move_stats(snaps, TICK, snap_ts)
-    movers = al.all_movers({TICK.name: al.movers(snaps, cur, stats, TICK)})
+    movers = al.all_movers({TICK.name: al.movers(snaps, cur, stats, TICK, times=times)})
     alerts_now = read_current(spark, store.alerts)
     fired = al.evaluate(alerts_now, movers, snap_ts)
     history = spark.read.schema(ALERT_HISTORY).parquet(store.history)
@@ -167,6 +182,7 @@ class ProbStore(TickStore):
                              (PROB_EVENT_SNAPSHOT, self.event_snaps)):
             append_partitioned(spark.createDataFrame([], schema), path)
         spark.createDataFrame([], ALERT_HISTORY).write.mode("append").parquet(self.history)
+        spark.createDataFrame([], TIMES).write.mode("append").parquet(self.times)
 
 
 def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int = 0,
@@ -202,11 +218,13 @@ def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int
         m = sn.pick_markets_prob(cur, snap_ts, run_id)
         append_partitioned(sn.admitted_rows(read_partitioned(spark, store.snapshots, PROB_SNAPSHOT), m,
                                             ["snap_ts", "condition_id"]), store.snapshots)
+        record_times(spark, store, PROB_SNAPSHOT, "condition_id")
     if not alerts:
         return
     snaps = read_partitioned(spark, store.snapshots, PROB_SNAPSHOT)
+    times = spark.read.schema(TIMES).parquet(store.times)
     stats = st.move_stats(snaps, PROB, snap_ts)
-    movers = al.all_movers({PROB.name: al.movers(snaps, cur, stats, PROB)})
+    movers = al.all_movers({PROB.name: al.movers(snaps, cur, stats, PROB, times=times)})
     alerts_now = read_current(spark, store.alerts)
     fired = al.evaluate(alerts_now, movers, snap_ts)
     history = spark.read.schema(ALERT_HISTORY).parquet(store.history)
