@@ -67,13 +67,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the
     operator (a shared filesystem path).  Only when it is unset -- local
-    runs and tests -- a private scratch folder is created and registered.
+    runs and tests -- a per-user folder under the local temp directory is
+    registered (stable across sessions, so materialised test tables can be
+    reused).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="pricescope-ckpt-")
+        d = os.path.join(tempfile.gettempdir(), f"pricescope-ckpt-{os.getuid()}")
+        os.makedirs(d, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

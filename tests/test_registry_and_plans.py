@@ -55,3 +55,14 @@ def test_market_rows_never_single_partition(spark):
         # unpartitioned windows only over the distinct-times frame (one row per run)
         for m in re.finditer(r"Window \[(.*?)\], \[\]", text):
             assert "snap_ts" in m.group(0) or "row_number" in m.group(0) or "dense_rank" in m.group(0)
+
+
+@needs_data
+def test_sql_views_over_the_warehouse(spark):
+    from pricescope.sources.tables import materialised
+    wh = materialised(spark, SF)
+    views = wh.register_views("t_")
+    assert "t_tick_snapshots" in views
+    n = spark.sql("SELECT count(*) AS n FROM t_tick_snapshots WHERE snap_ts = "
+                  "(SELECT max(snap_ts) FROM t_tick_snapshot_times)").first().n
+    assert n > 0
