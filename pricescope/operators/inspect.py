@@ -146,7 +146,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 # ----------------------------------------------------------------- K7
-RETENTION_DAYS = {"market_snapshots": 90, "series_snapshots": 30, "export_runs": 365}
+from pricescope.constants import RETENTION_DAYS  # noqa: E402,F401
 
 
 def retain(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:

@@ -25,9 +25,8 @@ from pyspark.sql import functions as F
 
 from pricescope.functions.exprs import ts_lit
 
-UNKNOWN_SERIES = "UNKNOWN_SERIES"
-UNKNOWN_EVENT = "UNKNOWN_EVENT"
-MARKET_FIELDS = ["ticker", "title", "status", "yes_ask", "no_ask", "volume", "open_interest", "close_ts"]
+from pricescope.constants import OVERVIEW_MARKET_FIELDS as MARKET_FIELDS  # noqa: E402
+from pricescope.constants import UNKNOWN_EVENT, UNKNOWN_SERIES  # noqa: E402
 
 
 def _key_or_default(field: str, default: str):

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from pricescope.functions.exprs import clamp, hours, hours_between, safe_div, ts_lit
 from pricescope.operators import lookback as lb
+from pricescope.constants import (HEAT_MIN_OPEN_INTEREST, INTEGER_METRICS, MOVERS_BASE_HOURS,
+                                  SCREENER_SORT_PROB, SCREENER_SORT_TICK, SECOND_TERM_WEIGHT,
+                                  TOP_CHANGE_METRICS)
 from pricescope.venues import PROB, TICK, Venue
 
 
@@ -87,7 +90,7 @@ def tradability_tick(state: DataFrame, limit: int = 100, scan: int | None = None
         "market_ticker", "title", _f(vol).alias("volume"), _f(oi).alias("open_interest"),
         _f("yes_bid").alias("yes_bid"), _f("yes_ask").alias("yes_ask"),
         _f(spread).alias("spread_ticks"),
-        F.round((F.log1p(vol) + 0.7 * F.log1p(oi)) / spread.cast("double"), 4).alias("tradability_score"),
+        F.round((F.log1p(vol) + SECOND_TERM_WEIGHT * F.log1p(oi)) / spread.cast("double"), 4).alias("tradability_score"),
         "updated_at")
     return top(d, limit, F.col("tradability_score").desc(), F.col("updated_at").desc_nulls_last(),
                F.col("market_ticker"))
@@ -107,7 +110,7 @@ def opportunity_gap_tick(state: DataFrame, limit: int = 20, scan: int | None = N
 def market_heat_tick(state: DataFrame, limit: int = 200, scan: int | None = None) -> DataFrame:
     """T5: churn = volume / OI (2 digits) where OI > 100 and volume known."""
     d = _scan(state.where(F.col("status") == "active"), scan, "market_ticker", 5000)
-    d = d.where((F.col("open_interest") > 100) & F.col("volume").isNotNull()).select(
+    d = d.where((F.col("open_interest") > HEAT_MIN_OPEN_INTEREST) & F.col("volume").isNotNull()).select(
         "market_ticker", "title",
         F.round(F.col("volume").cast("double") / F.col("open_interest"), 2).alias("churn_rate"),
         "updated_at")
@@ -115,16 +118,6 @@ def market_heat_tick(state: DataFrame, limit: int = 200, scan: int | None = None
                F.col("market_ticker")).select("market_ticker", "title", "churn_rate")
 
 
-SCREENER_SORT_TICK = {
-    "spread_ticks": ("spread_ticks", True),
-    "volume": ("volume", False),
-    "open_interest": ("open_interest", False),
-    "oi": ("open_interest", False),
-    "churn": ("churn_rate", False),
-    "churn_rate": ("churn_rate", False),
-}
-
-
 def screener_tick(state: DataFrame, limit: int = 50, scan: int | None = None, min_volume=None,
                   min_open_interest=None, max_spread_ticks=None,
                   sort_by: str = "tradability_score") -> DataFrame:
@@ -151,7 +144,7 @@ def screener_tick(state: DataFrame, limit: int = 50, scan: int | None = None, mi
         "market_ticker", "title", vol.alias("volume"), oi.alias("open_interest"),
         bid.cast("double").alias("yes_bid"), ask.cast("double").alias("yes_ask"),
         spread.alias("spread_ticks"),
-        F.round((F.log1p(vol) + 0.7 * F.log1p(oi)) / F.when(spread != 0, spread).otherwise(1.0), 4)
+        F.round((F.log1p(vol) + SECOND_TERM_WEIGHT * F.log1p(oi)) / F.when(spread != 0, spread).otherwise(1.0), 4)
         .alias("tradability_score"),
         F.round(safe_div(vol, oi), 4).alias("churn_rate"),
         "updated_at")
@@ -237,7 +230,7 @@ def market_movers_tick(snaps: DataFrame, limit: int = 100, min_diff: int = 25,
                        times: DataFrame | None = None) -> DataFrame:
     """|mid move| >= min_diff ticks versus ~24 h ago (B, 24 h)."""
     limit, min_diff = clamp(limit, 1, 500), max(1, int(min_diff))
-    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps, times), lb.base_ts(snaps, 24, times=times),
+    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps, times), lb.base_ts(snaps, MOVERS_BASE_HOURS, times=times),
                 ["mid"])
     d = p.select("market_ticker", F.col("mid_prev").alias("old_price"),
                  F.col("mid_now").alias("new_price"),
@@ -301,15 +294,6 @@ def mid_moves(snaps: DataFrame, state: DataFrame, venue: Venue, lookback_hours:
                    "volume", "liquidity"])
 
 
-TOP_CHANGE_METRICS = {
-    "tick": {"volume": "volume", "open_interest": "open_interest", "oi": "open_interest",
-             "mid": "mid", "spread_ticks": "spread_ticks", "spread": "spread_ticks"},
-    "prob": {"volume": "volume", "volume_24hr": "volume_24hr", "liquidity": "liquidity",
-             "outcome_yes_price": "outcome_yes_price", "yes_price": "outcome_yes_price"},
-}
-INTEGER_METRICS = {"volume", "open_interest", "spread_ticks"}
-
-
 def top_changes(snaps: DataFrame, state: DataFrame, venue: Venue, metric: str = "volume",
                 limit: int = 50, min_prev_value: float = 0.0, window_hours: int = 24,
                 exact_pct: bool = False, times: DataFrame | None = None) -> DataFrame:
@@ -395,7 +379,7 @@ def tradability_prob(state: DataFrame, limit: int = 100, scan: int | None = None
     d = d.where(liq >= float(min_liquidity)).select(
         "condition_id", "question", "category", vol.alias("volume"), liq.alias("liquidity"),
         "outcome_yes_price",
-        F.round(F.log1p(vol) + 0.7 * F.log1p(liq), 4).alias("tradability_score"), "updated_at")
+        F.round(F.log1p(vol) + SECOND_TERM_WEIGHT * F.log1p(liq), 4).alias("tradability_score"), "updated_at")
     return top(d, clamp(limit, 1, 200), F.col("tradability_score").desc(),
                F.col("updated_at").desc_nulls_last(), F.col("condition_id"))
 
@@ -429,13 +413,6 @@ def opportunity_prob(state: DataFrame, limit: int = 50, scan: int | None = None)
                F.col("updated_at").desc_nulls_last(), F.col("condition_id")).drop("updated_at")
 
 
-SCREENER_SORT_PROB = {
-    "tradability_score": "tradability_score", "volume": "volume", "volume_24hr": "volume_24hr",
-    "liquidity": "liquidity", "churn": "churn_rate", "churn_rate": "churn_rate",
-    "uncertainty": "uncertainty",
-}
-
-
 def screener_prob(state: DataFrame, limit: int = 50, scan: int | None = None, min_volume=None,
                   min_liquidity=None, category: str | None = None,
                   sort_by: str = "tradability_score") -> DataFrame:
@@ -454,7 +431,7 @@ def screener_prob(state: DataFrame, limit: int = 50, scan: int | None = None, mi
     d = d.select(
         "condition_id", "question", "category", vol.alias("volume"), v24.alias("volume_24hr"),
         liq.alias("liquidity"), yes.alias("outcome_yes_price"),
-        F.round(F.log1p(vol) + 0.7 * F.log1p(liq), 4).alias("tradability_score"),
+        F.round(F.log1p(vol) + SECOND_TERM_WEIGHT * F.log1p(liq), 4).alias("tradability_score"),
         F.when(v24.isNotNull() & (v24 != 0) & (vol > 0), F.round(v24 / vol, 4)).alias("churn_rate"),
         F.when(yes.isNotNull() & (yes > 0) & (yes < 1), F.round(_uncertainty(yes), 4)).alias("uncertainty"),
         "updated_at")

@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 
 from pricescope.functions.exprs import event_from_raw, ts_lit
 
-WIDE_SPREAD = 10          # spread in ticks counted as "wide"
-PICK_CAP = 20000          # rows per selection criterion in market snapshots
-EXPIRY_HORIZON_H = 48     # hours ahead for the "expiring" criterion
+from pricescope.constants import EXPIRY_HORIZON_H, PICK_CAP, WIDE_SPREAD  # noqa: E402
 
 
 def _priced(bid="yes_bid", ask="yes_ask") -> Column:

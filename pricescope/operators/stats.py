@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pricescope.functions.exprs import hours, safe_div, ts_lit
 from pricescope.venues import Venue
 
-LOOKBACK_DAYS = 7
+from pricescope.constants import MOVE_LOOKBACK_DAYS as LOOKBACK_DAYS  # noqa: E402
+from pricescope.constants import MOVE_RECENT_HOURS, SCORE_DIGITS  # noqa: E402
 
 
 def recent_rows(snaps: DataFrame, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -61,7 +62,7 @@ def move_stats(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKB
     recent = recent_rows(snaps, as_of, lookback_days)
     latest = recent.agg(F.max("snap_ts")).scalar()
     m = moves(snaps, venue, as_of, lookback_days)
-    in_24h = F.col("snap_ts") > latest - hours(24)
+    in_24h = F.col("snap_ts") > latest - hours(MOVE_RECENT_HOURS)
     g = m.groupBy(venue.key).agg(
         F.avg(F.when(in_24h, F.col("abs_move"))).alias("a24"),
         F.avg("abs_move").alias("a7"),
@@ -72,7 +73,7 @@ def move_stats(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKB
         F.round("a24", d).alias("avg_move_24h"),
         F.round("a7", d).alias("avg_move_7d"),
         F.round("s24", d).alias("std_move_24h"),
-        F.round(safe_div(F.col("s24"), F.col("a24")), 4).alias("volatility_score"),
+        F.round(safe_div(F.col("s24"), F.col("a24")), SCORE_DIGITS).alias("volatility_score"),
         ts_lit(as_of).alias("updated_at"))
 
 

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pricescope.functions.exprs import clamp, hours_between, log_odds
 from pricescope.venues import Venue
 
-HOURS_PER_YEAR = 24.0 * 365.0
+from pricescope.constants import (HOURS_PER_YEAR, VOL_INDEX_SCALE, VOL_PRICE_HIGH,  # noqa: E402
+                                  VOL_PRICE_LOW)
 
 
 def vol_index(snaps: DataFrame, venue: Venue, points: int = 50, min_weight: float = 100.0,
@@ -47,7 +48,7 @@ def vol_index(snaps: DataFrame, venue: Venue, points: int = 50, min_weight: floa
             .withColumn("prev_px", F.lag("px").over(w))
             .withColumn("prev_i", F.lag("i").over(w))
             .withColumn("prev_ts", F.lag("snap_ts").over(w)))
-    inside = lambda c: (c > 0.01) & (c < 0.99)
+    inside = lambda c: (c > VOL_PRICE_LOW) & (c < VOL_PRICE_HIGH)
     rows = rows.where((F.col("prev_i") == F.col("i") - 1) & (F.col("w") >= min_w)
                       & inside(F.col("px")) & inside(F.col("prev_px")))
     rows = rows.withColumn("dt_hours", hours_between(F.col("prev_ts"), F.col("snap_ts")))
@@ -61,7 +62,7 @@ def vol_index(snaps: DataFrame, venue: Venue, points: int = 50, min_weight: floa
     return stats.select(
         "snap_ts", F.round("dt_hours", 6).alias("dt_hours"),
         F.round("rv", 10).alias("realised_variance"),
-        F.round(F.when(ann > 0, 100.0 * F.sqrt(ann)).otherwise(0.0), 4).alias("vol_index")
+        F.round(F.when(ann > 0, VOL_INDEX_SCALE * F.sqrt(ann)).otherwise(0.0), 4).alias("vol_index")
     ).orderBy(F.col("snap_ts").desc())
 
 

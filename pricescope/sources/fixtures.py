@@ -18,13 +18,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricescope.constants import ALERT_TYPES
+
 # Fixed values of the fixture specification.
 BUCKET = "6 hours"
 EXPIRY_BASE = "2024-01-30 00:00:00"
 OPEN_TIME = "2024-01-01 00:00:00"
 AS_OF = dt.datetime(2024, 1, 30, 18, 0, 0)        # latest snapshot, every sf
 AS_OF_WALL = dt.datetime(2024, 1, 31, 0, 0, 0)    # staleness and alert clock
-ALERT_TYPES = ["PRICE_MOVE", "VOLATILITY_SPIKE", "VOLUME_SURGE"]
 # (low, high) thresholds per alert type and venue
 ALERT_THRESHOLDS = {
     ("tick", "PRICE_MOVE"): (1.0, 40.0),

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pricescope.constants import PROB_STAT_DIGITS, TICK_STAT_DIGITS
+
 
 @dataclass(frozen=True)
 class Venue:
@@ -24,11 +26,11 @@ class Venue:
 
 
 TICK = Venue(name="tick", key="market_ticker", price="mid", weight="open_interest",
-             title="title", event="series_ticker", stat_digits=4,
+             title="title", event="series_ticker", stat_digits=TICK_STAT_DIGITS,
              price_now="mid_now", price_prev="mid_prev")
 
 PROB = Venue(name="prob", key="condition_id", price="outcome_yes_price",
              weight="liquidity", title="question", event="event_id",
-             stat_digits=6, price_now="price_now", price_prev="price_prev")
+             stat_digits=PROB_STAT_DIGITS, price_now="price_now", price_prev="price_prev")
 
 VENUES = {"tick": TICK, "prob": PROB}
