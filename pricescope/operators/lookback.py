@@ -37,11 +37,12 @@ def latest_ts(snaps: DataFrame, times: DataFrame | None = None) -> Column:
 
 
 def base_ts(snaps: DataFrame, lookback_hours: int, fallback: bool = True,
-            times: DataFrame | None = None) -> Column:
+            times: DataFrame | None = None, latest: Column | None = None) -> Column:
     """B: newest snap_ts <= latest - h; else newest < latest; else null.
-    ``fallback=False`` gives the cookbook's variant without the second step."""
+    ``fallback=False`` gives the cookbook's variant without the second step.
+    Pass the caller's ``latest`` so one subquery serves the whole plan."""
     t = snapshot_times(snaps, times)
-    latest = latest_ts(snaps, times)
+    latest = latest_ts(snaps, times) if latest is None else latest
     first = t.where(F.col("snap_ts") <= latest - hours(lookback_hours)).agg(F.max("snap_ts")).scalar()
     if not fallback:
         return first
@@ -50,10 +51,10 @@ def base_ts(snaps: DataFrame, lookback_hours: int, fallback: bool = True,
 
 
 def window_start_ts(snaps: DataFrame, window_hours: int = 24,
-                    times: DataFrame | None = None) -> Column:
+                    times: DataFrame | None = None, latest: Column | None = None) -> Column:
     """Base of the top-changes queries: the oldest snapshot inside
     [latest - window, latest] (possibly latest itself)."""
-    latest = latest_ts(snaps, times)
+    latest = latest_ts(snaps, times) if latest is None else latest
     return (snapshot_times(snaps, times)
             .where((F.col("snap_ts") >= latest - hours(window_hours)) & (F.col("snap_ts") <= latest))
             .agg(F.min("snap_ts")).scalar())

@@ -60,11 +60,10 @@ def export_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
         "run_id", "started_at", "finished_at", "source", "host", "n_markets", "note")
 
 
-def failed_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
+def failed_runs(runs: DataFrame) -> DataFrame:
     """Runs that never finished (finished_at null), newest first."""
-    return top(runs.where(F.col("finished_at").isNull()), clamp(limit, 1, 100),
-               F.col("run_id").desc()).select(
-        "run_id", "started_at", "finished_at", "source", "host", "n_markets", "note")
+    return runs.where(F.col("finished_at").isNull()).orderBy(F.col("run_id").desc()).select(
+        "run_id", "started_at", "finished_at", "n_markets", "note")
 
 
 def active_markets_tick(state: DataFrame, limit: int = 25) -> DataFrame:
@@ -198,7 +197,8 @@ def biggest_moves(snaps: DataFrame, state: DataFrame, stats: DataFrame, venue: V
     limit = clamp(limit, 1, 200)
     h = clamp(lookback_hours, 1, 168)
     key, px = venue.key, venue.price
-    latest, base = lb.latest_ts(snaps, times), lb.base_ts(snaps, h, times=times)
+    latest = lb.latest_ts(snaps, times)
+    base = lb.base_ts(snaps, h, times=times, latest=latest)
     p = lb.pair(snaps, key, latest, base, _pair_cols(venue))
     p = p.where(F.col(f"{px}_now").isNotNull() & F.col(f"{px}_prev").isNotNull())
     if venue is TICK:
@@ -230,8 +230,9 @@ def market_movers_tick(snaps: DataFrame, limit: int = 100, min_diff: int = 25,
                        times: DataFrame | None = None) -> DataFrame:
     """|mid move| >= min_diff ticks versus ~24 h ago (B, 24 h)."""
     limit, min_diff = clamp(limit, 1, 500), max(1, int(min_diff))
-    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps, times), lb.base_ts(snaps, MOVERS_BASE_HOURS, times=times),
-                ["mid"])
+    latest = lb.latest_ts(snaps, times)
+    p = lb.pair(snaps, "market_ticker", latest,
+                lb.base_ts(snaps, MOVERS_BASE_HOURS, times=times, latest=latest), ["mid"])
     d = p.select("market_ticker", F.col("mid_prev").alias("old_price"),
                  F.col("mid_now").alias("new_price"),
                  F.abs(F.col("mid_now") - F.col("mid_prev")).alias("price_diff"))
@@ -243,7 +244,8 @@ def spread_blowouts_tick(snaps: DataFrame, lookback_hours: int = 24, limit: int
                          times: DataFrame | None = None) -> DataFrame:
     """Spread change latest vs base; Postgres DESC puts nulls first."""
     h, limit = clamp(lookback_hours, 1, 168), clamp(limit, 1, 500)
-    p = lb.pair(snaps, "market_ticker", lb.latest_ts(snaps, times), lb.base_ts(snaps, h, times=times),
+    latest = lb.latest_ts(snaps, times)
+    p = lb.pair(snaps, "market_ticker", latest, lb.base_ts(snaps, h, times=times, latest=latest),
                 ["spread_ticks", "mid", "series_ticker"])
     d = p.select("market_ticker", F.col("series_ticker_now").alias("event_ticker"),
                  F.col("spread_ticks_now").alias("spread_now"),
@@ -271,7 +273,8 @@ def mid_moves(snaps: DataFrame, state: DataFrame, venue: Venue, lookback_hours:
     both prices known, |move| desc)."""
     h, limit = clamp(lookback_hours, 1, 168), clamp(limit, 1, 500)
     key = venue.key
-    p = lb.pair(snaps, key, lb.latest_ts(snaps, times), lb.base_ts(snaps, h, times=times), _pair_cols(venue))
+    latest = lb.latest_ts(snaps, times)
+    p = lb.pair(snaps, key, latest, lb.base_ts(snaps, h, times=times, latest=latest), _pair_cols(venue))
     if venue is TICK:
         d = p.select(key, F.col("series_ticker_now").alias("event_ticker"), "mid_now", "mid_prev",
                      (F.col("mid_now") - F.col("mid_prev")).alias("d_mid"),
@@ -311,7 +314,8 @@ def top_changes(snaps: DataFrame, state: DataFrame, venue: Venue, metric: str =
         raise ValueError("Unsupported metric. Use one of: "
                          + ", ".join(sorted(set(TOP_CHANGE_METRICS[venue.name].values()))))
     key = venue.key
-    latest, base = lb.latest_ts(snaps, times), lb.window_start_ts(snaps, window_hours, times)
+    latest = lb.latest_ts(snaps, times)
+    base = lb.window_start_ts(snaps, window_hours, times, latest=latest)
     cols = list(dict.fromkeys([m, "volume"] + (["open_interest", "series_ticker"] if venue is TICK
                                                 else ["event_id"])))
     p = lb.pair(snaps, key, latest, base, cols)
