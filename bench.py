@@ -9,6 +9,9 @@
 2. Every plan of the registry (streaming drivers excepted) runs against
    those tables; each is executed in full through the ``noop`` sink, once
    cold and once warm, and the warm time is reported.
+3. ``streams``: the two venues' Structured Streaming drivers run once end to
+   end (landing, ingest, snapshots, statistics and alerts per micro-batch)
+   over the same pages; reported separately (``BENCH_STREAMS=0`` skips).
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 """
@@ -61,9 +64,25 @@ def main() -> None:
             warm[name] = round(time.time() - t, 3)
         except Exception as e:  # noqa: BLE001
             failed[name] = str(e)[:200]
+    streams = {}
+    if os.environ.get("BENCH_STREAMS", "1") != "0" and not only:
+        from pricescope.plans.registry import _run_stream
+        from pricescope.session import checkpoint_root as _root
+        from pricescope.streaming import pipeline as sp
+        t = time.time()
+        _run_stream(wh, alerts=True)
+        streams["tick_stream_end_to_end"] = round(time.time() - t, 3)
+        t = time.time()
+        store = sp.ProbStore(f"{_root(spark)}/bench-prob-{uuid.uuid4().hex[:8]}/tables")
+        store.initialise(spark, wh.prob_state, wh.prob_events, wh.alerts)
+        land = f"{store.root}/../landing"
+        sp.land_pages(wh.prob_pages, land)
+        sp.start_prob_stream(spark, land, store, f"{store.root}/../checkpoint").awaitTermination()
+        streams["prob_stream_end_to_end"] = round(time.time() - t, 3)
     total = round(sum(warm.values()), 3)
     out = {"metric": "total_warm_query_sec", "value": total, "unit": "sec", "queries": warm,
            "queries_cold": cold, "build_tables_sec": round(build, 3), "n_queries": len(warm),
+           "streams": streams,
            "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus}
     if failed:
         out["failed"] = failed

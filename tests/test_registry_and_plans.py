@@ -66,3 +66,14 @@ def test_sql_views_over_the_warehouse(spark):
     n = spark.sql("SELECT count(*) AS n FROM t_tick_snapshots WHERE snap_ts = "
                   "(SELECT max(snap_ts) FROM t_tick_snapshot_times)").first().n
     assert n > 0
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["upsert_markets", "upsert_prob_markets", "upsert_events_first_wins",
+                                  "snapshot_series_tick", "snapshot_events_prob", "ingest_log_counts",
+                                  "overview_flat", "move_stats_tick"])
+def test_hot_keys_are_pre_aggregated(spark, name):
+    """Groupings that could meet a hot key (a third of all rows on one key)
+    aggregate partially on the map side before their shuffle."""
+    plan = _plan(E.queries()[name](spark, SF))
+    assert re.search(r"partial_(max_by|min_by|max|min|count|sum|avg)", plan), f"{name}: no partial aggregate"
