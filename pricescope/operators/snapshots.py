@@ -78,24 +78,36 @@ def tick_series_by_time(snaps: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- prob, N2/N4
+# Amounts and prices are stored as numeric(18,4) / numeric(8,6) by the
+# reference, so sums and averages are exact decimal arithmetic rounded
+# half-up to the column's scale; summing doubles instead would let the
+# summation order decide ties.
+def _dec_sum(c: str) -> Column:
+    return F.coalesce(F.sum(F.col(c).cast("decimal(18,4)")), F.lit(0)).cast("decimal(24,4)").cast("double")
+
+
+def _dec_avg_price(c: str) -> Column:
+    return F.round(F.avg(F.col(c).cast("decimal(18,6)")), 6).cast("double")
+
+
 def prob_global_aggs() -> list[Column]:
     yes = F.col("outcome_yes_price")
     return [
         F.count_if(F.col("active")).alias("n_active"),
         F.count_if(yes.isNotNull()).alias("n_priced"),
-        F.round(F.coalesce(F.sum("volume"), F.lit(0.0)), 4).alias("total_volume"),
-        F.round(F.coalesce(F.sum("volume_24hr"), F.lit(0.0)), 4).alias("total_volume_24hr"),
-        F.round(F.coalesce(F.sum("liquidity"), F.lit(0.0)), 4).alias("total_liquidity"),
-        F.round(F.avg(yes), 6).alias("avg_yes_price"),
+        _dec_sum("volume").alias("total_volume"),
+        _dec_sum("volume_24hr").alias("total_volume_24hr"),
+        _dec_sum("liquidity").alias("total_liquidity"),
+        _dec_avg_price("outcome_yes_price").alias("avg_yes_price"),
     ]
 
 
 def prob_event_aggs() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n_markets"),
-        F.round(F.coalesce(F.sum("volume"), F.lit(0.0)), 4).alias("total_volume"),
-        F.round(F.coalesce(F.sum("liquidity"), F.lit(0.0)), 4).alias("total_liquidity"),
-        F.round(F.avg("outcome_yes_price"), 6).alias("avg_yes_price"),
+        _dec_sum("volume").alias("total_volume"),
+        _dec_sum("liquidity").alias("total_liquidity"),
+        _dec_avg_price("outcome_yes_price").alias("avg_yes_price"),
     ]
 
 

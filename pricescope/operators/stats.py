@@ -47,7 +47,9 @@ def moves(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_D
     times = recent.select("snap_ts").distinct()
     times = times.withColumn("i", F.row_number().over(Window.orderBy("snap_ts")))
     w = Window.partitionBy(venue.key).orderBy("i")
-    x = (recent.select("snap_ts", venue.key, F.col(venue.price).alias("px"))
+    # Prices are numeric in the reference: moves are exact decimal
+    # differences, so averages round the same way whatever the sum order.
+    x = (recent.select("snap_ts", venue.key, F.col(venue.price).cast("decimal(18,6)").alias("px"))
          .join(times, "snap_ts")
          .withColumn("prev_px", F.lag("px").over(w))
          .withColumn("prev_i", F.lag("i").over(w)))
@@ -70,10 +72,10 @@ def move_stats(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKB
     d = venue.stat_digits
     return g.select(
         venue.key,
-        F.round("a24", d).alias("avg_move_24h"),
-        F.round("a7", d).alias("avg_move_7d"),
-        F.round("s24", d).alias("std_move_24h"),
-        F.round(safe_div(F.col("s24"), F.col("a24")), SCORE_DIGITS).alias("volatility_score"),
+        F.round("a24", d).cast("double").alias("avg_move_24h"),
+        F.round("a7", d).cast("double").alias("avg_move_7d"),
+        F.round("s24", d).cast("double").alias("std_move_24h"),
+        F.round(safe_div(F.col("s24"), F.col("a24").cast("double")), SCORE_DIGITS).alias("volatility_score"),
         ts_lit(as_of).alias("updated_at"))
 
 

@@ -110,16 +110,16 @@ CTES: dict[str, tuple[list[str], str]] = {
     "prob_global": (["prob_snapshots"], """
         SELECT run_id, snap_ts, count(*) AS n_active,
                count(*) FILTER (WHERE outcome_yes_price IS NOT NULL) AS n_priced,
-               round(coalesce(sum(volume), 0), 4) AS total_volume,
-               round(coalesce(sum(volume_24hr), 0), 4) AS total_volume_24hr,
-               round(coalesce(sum(liquidity), 0), 4) AS total_liquidity,
-               round(avg(outcome_yes_price), 6) AS avg_yes_price
+               CAST(coalesce(sum(CAST(volume AS DECIMAL(18,4))), 0) AS DOUBLE) AS total_volume,
+               CAST(coalesce(sum(CAST(volume_24hr AS DECIMAL(18,4))), 0) AS DOUBLE) AS total_volume_24hr,
+               CAST(coalesce(sum(CAST(liquidity AS DECIMAL(18,4))), 0) AS DOUBLE) AS total_liquidity,
+               round(avg(CAST(outcome_yes_price AS DECIMAL(18,6))), 6) AS avg_yes_price
         FROM prob_snapshots GROUP BY run_id, snap_ts"""),
     "prob_event_snapshots": (["prob_snapshots"], """
         SELECT snap_ts, run_id, event_id, count(*) AS n_markets,
-               round(coalesce(sum(volume), 0), 4) AS total_volume,
-               round(coalesce(sum(liquidity), 0), 4) AS total_liquidity,
-               round(avg(outcome_yes_price), 6) AS avg_yes_price
+               CAST(coalesce(sum(CAST(volume AS DECIMAL(18,4))), 0) AS DOUBLE) AS total_volume,
+               CAST(coalesce(sum(CAST(liquidity AS DECIMAL(18,4))), 0) AS DOUBLE) AS total_liquidity,
+               round(avg(CAST(outcome_yes_price AS DECIMAL(18,6))), 6) AS avg_yes_price
         FROM prob_snapshots WHERE event_id IS NOT NULL GROUP BY snap_ts, run_id, event_id"""),
     "tick_runs": (["tick_snapshots"], """
         SELECT run_id, snap_ts AS started_at,
