@@ -146,7 +146,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 # ----------------------------------------------------------------- K7
-from pricescope.constants import RETENTION_DAYS  # noqa: E402,F401
+from pricescope.constants import RETENTION_DAYS  # noqa: E402
 
 
 def retain(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
@@ -165,3 +165,13 @@ def expired_partitions(df: DataFrame, ts_col: str, as_of, days: int) -> DataFram
     cut = ts_lit(as_of) - F.make_dt_interval(days=F.lit(int(days)))
     return (df.where(F.col(ts_col) < cut).select(F.to_date(F.col(ts_col)).alias("snap_date"))
             .distinct().orderBy("snap_date"))
+
+
+def housekeeping(market_snaps: DataFrame, series_snaps: DataFrame, runs: DataFrame, as_of,
+                 days: dict | None = None) -> dict[str, DataFrame]:
+    """K7, the guide's three retentions at once (90 d market snapshots,
+    30 d series snapshots, 365 d runs by default): the kept rows of each."""
+    d = dict(RETENTION_DAYS, **(days or {}))
+    return {"market_snapshots": retain(market_snaps, "snap_ts", as_of, d["market_snapshots"]),
+            "series_snapshots": retain(series_snaps, "snap_ts", as_of, d["series_snapshots"]),
+            "export_runs": retain(runs, "started_at", as_of, d["export_runs"])}
