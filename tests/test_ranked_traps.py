@@ -86,10 +86,10 @@ def test_housekeeping_defaults(spark):
     from pyspark.sql import functions as F
 
     from pricescope.operators import inspect as ins
-    s = tick_snaps(spark, [("2023-09-01 00:00:00", "OLD", 50.0, 2, 1, 1), ("2024-01-30 18:00:00", "NEW", 50.0, 2, 1, 1)])
+    s = tick_snaps(spark, [("2022-12-01 00:00:00", "OLD", 50.0, 2, 1, 1), ("2024-01-30 18:00:00", "NEW", 50.0, 2, 1, 1)])
     runs = s.select(F.col("snap_ts").alias("started_at"))
     kept = ins.housekeeping(s, s, runs, "2024-01-30 18:00:00")
     assert [r.market_ticker for r in kept["market_snapshots"].collect()] == ["NEW"]
     assert kept["export_runs"].count() == 1
-    more = ins.housekeeping(s, s, runs, "2024-01-30 18:00:00", {"export_runs": 400})
+    more = ins.housekeeping(s, s, runs, "2024-01-30 18:00:00", {"export_runs": 800})
     assert more["export_runs"].count() == 2
