@@ -17,7 +17,8 @@ Stored tables live under a root in the shared checkpoint folder.  The
 current-state tables are versioned: version ``batch_id + 1`` is written
 with dynamic partition overwrite, so a replay rewrites the same version,
 no job overwrites a path it reads, and the reader selects the newest
-version with a scalar subquery that prunes the other partitions.
+version with a scalar subquery that prunes the other partitions.  Only
+the newest few versions are kept (``prune_versions``).
 Snapshot and history tables are append-only Parquet partitioned by date.
 """
 
@@ -51,6 +52,36 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
        .partitionBy("version").parquet(path))
 
 
+KEEP_VERSIONS = 3
+
+
+def prune_versions(spark: SparkSession, path: str, keep: int = KEEP_VERSIONS) -> list[int]:
+    """Delete all but the newest ``keep`` version directories of a
+    versioned table (a VACUUM for the upsert's version history).  Keeping
+    at least two lets a replay of the latest batch find its input version.
+    Uses the Hadoop FileSystem of the path, so it works on any shared
+    filesystem the cluster writes to.  Returns the versions removed."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    versions = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("version="):
+            try:
+                versions.append((int(name.split("=", 1)[1]), st.getPath()))
+            except ValueError:
+                continue
+    versions.sort()
+    removed = []
+    for v, p in versions[:-keep] if keep > 0 else []:
+        fs.delete(p, True)
+        removed.append(v)
+    return removed
+
+
 def append_partitioned(df: DataFrame, path: str, ts_col: str = "snap_ts") -> None:
     (df.drop("snap_date").withColumn("snap_date", F.to_date(F.col(ts_col)))
        .write.mode("append").partitionBy("snap_date").parquet(path))
@@ -127,6 +158,7 @@ def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int
         append_partitioned(sn.admitted_rows(existing_m, m, ["snap_ts", "market_ticker"]), store.snapshots)
         record_times(spark, store, TICK_SNAPSHOT, "market_ticker")
 
+    prune_versions(spark, store.state)
     if not alerts:
         return
     # M1 + R3: statistics over the history, alerts with cooldown.
@@ -141,6 +173,7 @@ def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int
     new_hist.join(history.select("history_id"), "history_id", "left_anti") \
         .write.mode("append").parquet(store.history)
     write_version(al.stamp_alerts(alerts_now, fired), store.alerts, batch_id + 1)
+    prune_versions(spark, store.alerts)
 
 
 # ---------------------------------------------------------------- the stream
@@ -219,6 +252,8 @@ def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int
         append_partitioned(sn.admitted_rows(read_partitioned(spark, store.snapshots, PROB_SNAPSHOT), m,
                                             ["snap_ts", "condition_id"]), store.snapshots)
         record_times(spark, store, PROB_SNAPSHOT, "condition_id")
+    prune_versions(spark, store.state)
+    prune_versions(spark, store.events)
     if not alerts:
         return
     snaps = read_partitioned(spark, store.snapshots, PROB_SNAPSHOT)
@@ -231,6 +266,7 @@ def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int
     al.append_history(history.limit(0), fired).join(history.select("history_id"), "history_id",
                                                       "left_anti").write.mode("append").parquet(store.history)
     write_version(al.stamp_alerts(alerts_now, fired), store.alerts, batch_id + 1)
+    prune_versions(spark, store.alerts)
 
 
 def start_prob_stream(spark: SparkSession, landing: str, store: ProbStore, checkpoint: str,

@@ -67,3 +67,15 @@ def test_state_does_not_depend_on_batch_order(spark, tmp_path):
     a = sp.read_current(spark, s1.state).where(F.col("market_ticker") == "A").first()
     b = sp.read_current(spark, s2.state).where(F.col("market_ticker") == "A").first()
     assert a.yes_bid == b.yes_bid == 40
+
+
+def test_old_state_versions_are_pruned(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    for i, hh in enumerate(["00", "06", "12", "18"]):
+        sp.tick_batch(_pages(spark, f"2024-01-30T{hh}:00:00Z", [_m("A", 20 + i)]), i, store, alerts=False)
+    import os
+    versions = sorted(d for d in os.listdir(store.state) if d.startswith("version="))
+    assert versions == ["version=2", "version=3", "version=4"]
+    assert sp.read_current(spark, store.state).where(F.col("market_ticker") == "A").first().yes_bid == 23
+    sp.tick_batch(_pages(spark, "2024-01-30T18:00:00Z", [_m("A", 23)]), 3, store, alerts=False)   # replay
+    assert sp.read_current(spark, store.state).where(F.col("market_ticker") == "A").first().yes_bid == 23
