@@ -158,10 +158,15 @@ def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int
         append_partitioned(sn.admitted_rows(existing_m, m, ["snap_ts", "market_ticker"]), store.snapshots)
         record_times(spark, store, TICK_SNAPSHOT, "market_ticker")
 
+    if alerts:
+        _tick_alerts(spark, store, cur, snap_ts, batch_id)
+    # Old versions go last: every read of this batch is done by now.
     prune_versions(spark, store.state)
-    if not alerts:
-        return
-    # M1 + R3: statistics over the history, alerts with cooldown.
+    prune_versions(spark, store.alerts)
+
+
+def _tick_alerts(spark: SparkSession, store: TickStore, cur: DataFrame, snap_ts, batch_id: int) -> None:
+    """M1 + R3: statistics over the history, alerts with cooldown."""
     snaps = read_partitioned(spark, store.snapshots, TICK_SNAPSHOT)
     times = spark.read.schema(TIMES).parquet(store.times)
     stats = st.move_stats(snaps, TICK, snap_ts)
@@ -173,7 +178,6 @@ def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int
     new_hist.join(history.select("history_id"), "history_id", "left_anti") \
         .write.mode("append").parquet(store.history)
     write_version(al.stamp_alerts(alerts_now, fired), store.alerts, batch_id + 1)
-    prune_versions(spark, store.alerts)
 
 
 # ---------------------------------------------------------------- the stream
@@ -252,10 +256,17 @@ def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int
         append_partitioned(sn.admitted_rows(read_partitioned(spark, store.snapshots, PROB_SNAPSHOT), m,
                                             ["snap_ts", "condition_id"]), store.snapshots)
         record_times(spark, store, PROB_SNAPSHOT, "condition_id")
-    prune_versions(spark, store.state)
-    prune_versions(spark, store.events)
-    if not alerts:
-        return
+    if alerts:
+        _prob_alerts(spark, store, cur, snap_ts, batch_id)
+    # Old versions go last: every read of this batch is done by now.
+    for path in (store.state, store.events, store.alerts):
+        prune_versions(spark, path)
+
+
+def _prob_alerts(spark: SparkSession, store: ProbStore, cur: DataFrame, snap_ts, batch_id: int) -> None:
+    """M2 + R3 for the probability venue."""
+    from pricescope.schemas import PROB_SNAPSHOT
+    from pricescope.venues import PROB
     snaps = read_partitioned(spark, store.snapshots, PROB_SNAPSHOT)
     times = spark.read.schema(TIMES).parquet(store.times)
     stats = st.move_stats(snaps, PROB, snap_ts)
@@ -266,7 +277,6 @@ def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int
     al.append_history(history.limit(0), fired).join(history.select("history_id"), "history_id",
                                                       "left_anti").write.mode("append").parquet(store.history)
     write_version(al.stamp_alerts(alerts_now, fired), store.alerts, batch_id + 1)
-    prune_versions(spark, store.alerts)
 
 
 def start_prob_stream(spark: SparkSession, landing: str, store: ProbStore, checkpoint: str,
