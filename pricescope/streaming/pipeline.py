@@ -61,9 +61,7 @@ def prune_versions(spark: SparkSession, path: str, keep: int = KEEP_VERSIONS) ->
     at least two lets a replay of the latest batch find its input version.
     Uses the Hadoop FileSystem of the path, so it works on any shared
     filesystem the cluster writes to.  Returns the versions removed."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root, _ = _fs(spark, path)
     if not fs.exists(root):
         return []
     versions = []
@@ -82,6 +80,55 @@ def prune_versions(spark: SparkSession, path: str, keep: int = KEEP_VERSIONS) ->
     return removed
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def compact_closed_dates(spark: SparkSession, path: str, schema, key: str, before,
+                         ts_col: str = "snap_ts", min_files: int = 2) -> list[str]:
+    """Rewrite the closed ``snap_date`` partitions (dates < ``before``)
+    that hold at least ``min_files`` files into a few large files.
+
+    Streams append one run per micro-batch, so each date collects one file
+    per run.  One Spark job reads all those dates and writes them to a
+    staging folder range-partitioned on (time, key) -- a busy day is spread
+    over many tasks and comes out sorted by key -- then each date directory
+    is swapped for its staged copy.  The driver handles directory names
+    only.  Run it as maintenance (readers can miss a date during its swap).
+    Returns the compacted dates."""
+    import datetime as _dt
+
+    from pyspark.sql import types as T
+    fs, root, jvm = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    cutoff = str(before)[:10]
+    dates = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("snap_date=") and name[10:] < cutoff:
+            files = [f for f in fs.listStatus(st.getPath()) if f.getPath().getName().endswith(".parquet")]
+            if len(files) >= min_files:
+                dates.append(name[10:])
+    if not dates:
+        return []
+    staging = f"{path.rstrip('/')}/_staging_compaction"
+    full = T.StructType(list(schema.fields) + [T.StructField("snap_date", T.DateType(), True)])
+    wanted = [_dt.date.fromisoformat(d) for d in dates]
+    (spark.read.schema(full).parquet(path).where(F.col("snap_date").isin(wanted))
+     .repartitionByRange(ts_col, key).sortWithinPartitions(ts_col, key)
+     .write.mode("overwrite").partitionBy("snap_date").parquet(staging))
+    for d in dates:
+        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/snap_date={d}")
+        new = jvm.org.apache.hadoop.fs.Path(f"{staging}/snap_date={d}")
+        fs.delete(old, True)
+        fs.rename(new, old)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return dates
+
+
 def append_partitioned(df: DataFrame, path: str, ts_col: str = "snap_ts") -> None:
     (df.drop("snap_date").withColumn("snap_date", F.to_date(F.col(ts_col)))
        .write.mode("append").partitionBy("snap_date").parquet(path))

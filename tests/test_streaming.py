@@ -79,3 +79,22 @@ def test_old_state_versions_are_pruned(spark, tmp_path):
     assert sp.read_current(spark, store.state).where(F.col("market_ticker") == "A").first().yes_bid == 23
     sp.tick_batch(_pages(spark, "2024-01-30T18:00:00Z", [_m("A", 23)]), 3, store, alerts=False)   # replay
     assert sp.read_current(spark, store.state).where(F.col("market_ticker") == "A").first().yes_bid == 23
+
+
+def test_compaction_of_closed_dates(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    for i, hh in enumerate(["00", "06", "12", "18"]):
+        sp.tick_batch(_pages(spark, f"2024-01-30T{hh}:00:00Z", [_m("A", 20 + i), _m("B", 30 + i)]), i, store,
+                      alerts=False)
+    sp.tick_batch(_pages(spark, "2024-01-31T00:00:00Z", [_m("A", 40)]), 4, store, alerts=False)
+    import os
+    day = os.path.join(store.snapshots, "snap_date=2024-01-30")
+    before = sorted(map(tuple, sp.read_partitioned(spark, store.snapshots, sp.TICK_SNAPSHOT).collect()))
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) >= 4
+    done = sp.compact_closed_dates(spark, store.snapshots, sp.TICK_SNAPSHOT, "market_ticker", "2024-01-31")
+    assert done == ["2024-01-30"]
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) < 4
+    after = sorted(map(tuple, sp.read_partitioned(spark, store.snapshots, sp.TICK_SNAPSHOT).collect()))
+    assert after == before
+    assert sp.compact_closed_dates(spark, store.snapshots, sp.TICK_SNAPSHOT, "market_ticker", "2024-01-31",
+                                   min_files=len(os.listdir(day)) + 1) == []
