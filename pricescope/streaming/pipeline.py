@@ -4,14 +4,17 @@ Streaming (R1-R3).
 Landed feed pages (one JSON page per line) are read as a file-source
 stream.  Each micro-batch runs, inside ``foreachBatch``:
 
-1. R1 -- normalise the pages (I1/I8) and upsert them into the current
-   state (K1), keeping each row's page-order version;
+1. R1 -- open the run row (K4), normalise the pages (I1/I8), upsert them
+   into the current state (K1) keeping each row's page-order version, and
+   close the run row with the market count;
 2. R2 -- append the run's global, series and market snapshots (N1, N3,
    N5), idempotently by ``(snap_ts, key)`` (K5): a replayed batch adds
    nothing.  ``snap_ts`` comes from the pages, never from the clock;
 3. move statistics (M1) from the snapshot history, then R3 -- alert
    evaluation with the cooldown (A1-A6), the cooldown state being the
-   alerts table itself.
+   alerts table itself.  As in the reference, a failure in step 3 is
+   logged and tolerated; a failure in steps 1-2 fails the batch (and the
+   stream retries it from its checkpoint).
 
 Stored tables live under a root in the shared checkpoint folder.  The
 current-state tables are versioned: version ``batch_id + 1`` is written
@@ -24,6 +27,8 @@ Snapshot and history tables are append-only Parquet partitioned by date.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,18 +36,25 @@ from pricescope.operators import alerts as al
 from pricescope.operators import ingest as ig
 from pricescope.operators import snapshots as sn
 from pricescope.operators import stats as st
-from pricescope.schemas import ALERT_HISTORY, TICK_GLOBAL, TICK_SERIES, TICK_SNAPSHOT
+from pricescope.schemas import ALERT_HISTORY, EXPORT_RUNS, TICK_GLOBAL, TICK_SERIES, TICK_SNAPSHOT
 from pricescope.sources import feeds
 from pricescope.venues import TICK
 
 TIMES = "snap_ts timestamp_ntz, run_id long, n_markets long"
+log = logging.getLogger(__name__)
 STATE_VERSION_TYPE = "struct<_run:int, _o0:string, _o1:bigint, _o2:int, _o3:int>"
 
 
 # ------------------------------------------------------------ table helpers
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a versioned table."""
-    df = spark.read.parquet(path)
+def read_current(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The newest version of a versioned table (``schema``: the declared
+    columns, for tables whose versions may be empty)."""
+    if schema is not None:
+        from pyspark.sql import types as T
+        full = T.StructType(list(schema.fields) + [T.StructField("version", T.LongType(), True)])
+        df = spark.read.schema(full).parquet(path)
+    else:
+        df = spark.read.parquet(path)
     return df.where(F.col("version") == df.agg(F.max("version")).scalar()).drop("version")
 
 
@@ -158,6 +170,7 @@ class TickStore:
         """Version 0 of the state and alerts, empty append-only tables."""
         write_version(state.withColumn("_v", F.lit(None).cast(STATE_VERSION_TYPE)), self.state, 0)
         write_version(alerts, self.alerts, 0)
+        write_version(spark.createDataFrame([], EXPORT_RUNS), self.runs, 0)
         for schema, path in ((TICK_SNAPSHOT, self.snapshots), (TICK_GLOBAL, self.global_snap),
                              (TICK_SERIES, self.series)):
             append_partitioned(spark.createDataFrame([], schema), path)
@@ -176,6 +189,40 @@ def record_times(spark: SparkSession, store, schema, key: str) -> None:
         .write.mode("append").parquet(store.times)
 
 
+def _run_row(run_id: int, started, finished, n_markets, batch_id: int) -> list:
+    """Columns of one run-log row; ``started`` / ``finished`` are Columns."""
+    return [F.lit(run_id).cast("long").alias("run_id"),
+            started.cast("timestamp_ntz").alias("started_at"),
+            (finished if finished is not None else F.lit(None)).cast("timestamp_ntz").alias("finished_at"),
+            F.lit("stream").alias("source"), F.lit("spark").alias("host"),
+            n_markets.cast("long").alias("n_markets"), F.lit(f"batch {batch_id}").alias("note")]
+
+
+def log_run(spark: SparkSession, store, rows: DataFrame, run_id: int, snap_ts, batch_id: int,
+            finished: bool) -> None:
+    """K4 inside the stream: the run row is written open (no finish time,
+    0 markets) before the upsert and closed after it, each as a new version
+    of the small runs table.  A batch that dies in between leaves the run
+    open -- the failed-runs query (C8) finds it -- until its replay closes
+    it.  Times come from the pages, so a replay writes the same row."""
+    from pricescope.schemas import EXPORT_RUNS
+    runs = read_current(spark, store.runs, EXPORT_RUNS)
+    n = rows.agg(F.count(F.lit(1))).scalar() if finished else F.lit(0)
+    row = rows.agg(F.max(F.lit(1)).alias("_one")).select(
+        *_run_row(run_id, snap_ts, snap_ts if finished else None, n, batch_id))
+    kept = runs.where(F.col("run_id") != run_id)
+    write_version(kept.unionByName(row), store.runs, 2 * batch_id + (2 if finished else 1))
+
+
+def tolerated(step: str, fn, *args) -> None:
+    """Run a step whose failure must not fail the run (statistics and
+    alerts in the reference); the failure is logged and the batch goes on."""
+    try:
+        fn(*args)
+    except Exception as e:  # noqa: BLE001
+        log.warning("%s failed (non-fatal): %s", step, e)
+
+
 # ------------------------------------------------------------------ one batch
 def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int = 0,
                market_snapshot: bool = True, alerts: bool = True) -> None:
@@ -185,11 +232,13 @@ def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int
     snap_ts = rows.agg(F.max(ig.parse_ts(F.col("page_ts")))).scalar()
     run_id = run_base + batch_id + 1
 
+    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=False)
     # Keyed upsert into a new state version.
     state = read_current(spark, store.state)
     new_state = ig.upsert(state, rows, "market_ticker", ["page_ts", "page_no", "pos"], snap_ts,
                           keep_version=True)
     write_version(new_state, store.state, batch_id + 1)
+    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=True)
     cur = read_current(spark, store.state).drop("_v")
 
     # R2: snapshots of the run, appended if absent.
@@ -206,10 +255,10 @@ def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int
         record_times(spark, store, TICK_SNAPSHOT, "market_ticker")
 
     if alerts:
-        _tick_alerts(spark, store, cur, snap_ts, batch_id)
+        tolerated("move statistics and alerts", _tick_alerts, spark, store, cur, snap_ts, batch_id)
     # Old versions go last: every read of this batch is done by now.
-    prune_versions(spark, store.state)
-    prune_versions(spark, store.alerts)
+    for path in (store.state, store.alerts, store.runs):
+        prune_versions(spark, path)
 
 
 def _tick_alerts(spark: SparkSession, store: TickStore, cur: DataFrame, snap_ts, batch_id: int) -> None:
@@ -262,6 +311,7 @@ class ProbStore(TickStore):
         write_version(state.withColumn("_v", none), self.state, 0)
         write_version(events.withColumn("_v", none), self.events, 0)
         write_version(alerts, self.alerts, 0)
+        write_version(spark.createDataFrame([], EXPORT_RUNS), self.runs, 0)
         for schema, path in ((PROB_SNAPSHOT, self.snapshots), (PROB_GLOBAL, self.global_snap),
                              (PROB_EVENT_SNAPSHOT, self.event_snaps)):
             append_partitioned(spark.createDataFrame([], schema), path)
@@ -284,12 +334,14 @@ def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int
     run_id = run_base + batch_id + 1
     order = ["page_ts", "page_no", "ev_pos", "pos"]
 
+    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=False)
     state = read_current(spark, store.state)
     write_version(ig.upsert(state, rows, "condition_id", order, snap_ts, keep_version=True),
                   store.state, batch_id + 1)
     events = read_current(spark, store.events)
     write_version(ig.upsert(events, ig.event_rows(flat), "event_id", order, snap_ts, keep_version=True),
                   store.events, batch_id + 1)
+    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=True)
     cur = read_current(spark, store.state).drop("_v")
 
     g = sn.snapshot_global_prob(cur, snap_ts, run_id)
@@ -304,9 +356,9 @@ def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int
                                             ["snap_ts", "condition_id"]), store.snapshots)
         record_times(spark, store, PROB_SNAPSHOT, "condition_id")
     if alerts:
-        _prob_alerts(spark, store, cur, snap_ts, batch_id)
+        tolerated("move statistics and alerts", _prob_alerts, spark, store, cur, snap_ts, batch_id)
     # Old versions go last: every read of this batch is done by now.
-    for path in (store.state, store.events, store.alerts):
+    for path in (store.state, store.events, store.alerts, store.runs):
         prune_versions(spark, path)
 
 

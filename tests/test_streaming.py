@@ -98,3 +98,20 @@ def test_compaction_of_closed_dates(spark, tmp_path):
     assert after == before
     assert sp.compact_closed_dates(spark, store.snapshots, sp.TICK_SNAPSHOT, "market_ticker", "2024-01-31",
                                    min_files=len(os.listdir(day)) + 1) == []
+
+
+def test_stream_run_log_and_tolerated_alert_failure(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    p0 = _pages(spark, "2024-01-30T12:00:00Z", [_m("A", 20), _m("B", 30)])
+    sp.tick_batch(p0, 0, store)
+    runs = sp.read_current(spark, store.runs, sp.EXPORT_RUNS).collect()
+    assert [(r.run_id, r.n_markets, r.finished_at is not None) for r in runs] == [(1, 2, True)]
+
+    class NoAlerts(sp.TickStore):                # the alert stage will fail: no alerts table here
+        @property
+        def alerts(self):
+            return str(tmp_path / "missing-alerts")
+
+    sp.tick_batch(_pages(spark, "2024-01-30T18:00:00Z", [_m("A", 25)]), 1, NoAlerts(store.root))
+    runs = sorted((r.run_id, r.n_markets) for r in sp.read_current(spark, store.runs, sp.EXPORT_RUNS).collect())
+    assert runs == [(1, 2), (2, 1)]                # the run still completed
