@@ -77,3 +77,15 @@ def test_hot_keys_are_pre_aggregated(spark, name):
     aggregate partially on the map side before their shuffle."""
     plan = _plan(E.queries()[name](spark, SF))
     assert re.search(r"partial_(max_by|min_by|max|min|count|sum|avg)", plan), f"{name}: no partial aggregate"
+
+
+@needs_data
+def test_query_job_writes_a_registered_plan(spark, tmp_path):
+    from pricescope import jobs
+    from pricescope.sources.tables import from_testdata, write_parquet
+    root = str(tmp_path / "tables")
+    write_parquet(from_testdata(spark, SF), root)
+    out = str(tmp_path / "out")
+    assert jobs.main(["query", "top_events_oi", "--root", root, "--out", out]) == 0
+    got = spark.read.parquet(out)
+    assert got.columns[0] == "event_ticker" and got.count() > 0
