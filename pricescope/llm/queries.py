@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricescope.llm import parity_join as pj
+from pricescope.llm import token_files as tf
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +20,14 @@ def op1_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pj.parity_join(table(spark, sf_dir, "documents"), spec)
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written as token files in doc_id order and read back, per document."""
+    return tf.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
 QUERIES = {
     "op1_parity_join": op1_parity_join,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {}
