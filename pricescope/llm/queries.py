@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricescope.llm import parity_join as pj
+from pricescope.llm import secrets
 from pricescope.llm import token_files as tf
 
 
@@ -20,6 +21,11 @@ def op1_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pj.parity_join(table(spark, sf_dir, "documents"), spec)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base spans, owner-specific additions and ownership verdicts."""
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written as token files in doc_id order and read back, per document."""
     return tf.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
@@ -27,7 +33,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_parity_join": op1_parity_join,
+    "op6_secrets": op6_secrets,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_secrets": secrets.oracle(),
+}
