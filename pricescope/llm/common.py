@@ -19,10 +19,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage: work before it is not repeated when a later stage
-    is retried, and an executor lost afterwards costs nothing.
+    is retried, and an executor lost afterwards costs nothing.  The job's
+    shuffle files are of no use then; Spark's cleaner drops them once the
+    driver has collected its garbage, which is asked for here.
     """
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pricescope.llm import line_dedup as ld
 from pricescope.llm import parity_join as pj
 from pricescope.llm import secrets
 from pricescope.llm import token_files as tf
@@ -21,6 +22,11 @@ def op1_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pj.parity_join(table(spark, sf_dir, "documents"), spec)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that match an earlier line of the corpus."""
+    return ld.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans, owner-specific additions and ownership verdicts."""
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
@@ -33,10 +39,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_parity_join": op1_parity_join,
+    "op4_line_dedup": op4_line_dedup,
     "op6_secrets": op6_secrets,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_line_dedup": ld.oracle(),
     "op6_secrets": secrets.oracle(),
 }
