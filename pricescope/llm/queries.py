@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pricescope.llm import decontaminate as dc
 from pricescope.llm import line_dedup as ld
 from pricescope.llm import parity_join as pj
-from pricescope.llm import secrets
+from pricescope.llm import pieces, secrets
 from pricescope.llm import token_files as tf
 
 
@@ -22,6 +23,11 @@ def op1_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pj.parity_join(table(spark, sf_dir, "documents"), spec)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, with the shared and the item's shingles."""
+    return dc.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that match an earlier line of the corpus."""
     return ld.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -32,6 +38,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, decoded again for comparison."""
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written as token files in doc_id order and read back, per document."""
     return tf.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
@@ -39,12 +50,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_parity_join": op1_parity_join,
+    "op2_decontaminate": op2_decontaminate,
     "op4_line_dedup": op4_line_dedup,
     "op6_secrets": op6_secrets,
+    "op8_pieces": op8_pieces,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_decontaminate": dc.oracle(),
     "op4_line_dedup": ld.oracle(),
     "op6_secrets": secrets.oracle(),
 }
