@@ -142,10 +142,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     dtype = width_of(tokenizer, end_id)
     parts = (rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
              .mapInArrow(_writer(folder, tokenizer, end_id, dtype), "part long, docs long, tokens long")
-             .orderBy("part").collect())
+             .collect())
     manifest = {"width": int(dtype[-1]), "shards": []}
     doc_base = token_base = 0
-    for p in parts:
+    for p in sorted(parts):
         manifest["shards"].append({"name": f"part-{p['part']:05d}", "docs": p["docs"], "tokens": p["tokens"],
                                    "doc_base": doc_base, "token_base": token_base})
         doc_base, token_base = doc_base + p["docs"], token_base + p["tokens"]
