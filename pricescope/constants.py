@@ -9,6 +9,9 @@ WIDE_SPREAD = 10                 # spread in ticks counted as "wide"
 PICK_CAP = 20000                 # rows per selection criterion in market snapshots
 EXPIRY_HORIZON_H = 48            # hours ahead for the "expiring" selection criterion
 
+# --- Fixed values: fields of the raw document shown by the cookbook (C4) -------
+RAW_FIELDS = ["event_ticker", "market_type", "response_price_units", "rules_primary", "rules_secondary"]
+
 # --- Fixed values: move statistics -------------------------------------------
 MOVE_LOOKBACK_DAYS = 7           # snapshots strictly newer than as_of - 7 days
 MOVE_RECENT_HOURS = 24           # the recent part, relative to the latest snapshot

@@ -3,7 +3,8 @@
     query    run a registered plan over stored tables; write Parquet or show rows
     init     create a stream store (state, events, alerts) from stored tables
     stream   run a venue's ingest / snapshot / alert stream (once, or every interval)
-    maintain prune old state versions and compact closed snapshot dates
+    maintain prune old state versions
+    retain   delete the snapshot dates older than the retention periods
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     q = sub.add_parser("query")
     q.add_argument("name")
-    q.add_argument("--root", required=True, help="folder of the stored tables")
+    q.add_argument("--root", help="folder of the stored tables")
+    q.add_argument("--tick-store", help="or the stores that the streams write")
+    q.add_argument("--prob-store")
+    q.add_argument("--as-of", help="the time to ask as of (default: the latest snapshot)")
     q.add_argument("--out", help="write the result as Parquet here")
     q.add_argument("--show", type=int, default=20)
     i = sub.add_parser("init")
@@ -38,17 +42,26 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--once", action="store_true", help="process what has landed, then stop")
     s.add_argument("--no-alerts", action="store_true")
+    s.add_argument("--pick-cap", type=int, help="rows of each market list (0: all markets)")
     m = sub.add_parser("maintain")
     m.add_argument("--venue", choices=["tick", "prob"], required=True)
     m.add_argument("--store", required=True)
-    m.add_argument("--compact-before", help="compact snapshot dates before this day (YYYY-MM-DD)")
+    r = sub.add_parser("retain")
+    r.add_argument("--venue", choices=["tick", "prob"], required=True)
+    r.add_argument("--store", required=True)
+    r.add_argument("--as-of", required=True, help="the day to count back from (YYYY-MM-DD)")
     a = p.parse_args(argv)
     spark = build_session()
 
     if a.cmd == "query":
         from pricescope.plans.registry import PLANS
-        from pricescope.sources.tables import from_parquet
-        df = PLANS[a.name](from_parquet(spark, a.root))
+        from pricescope.sources.tables import from_parquet, from_store
+        if a.root:
+            wh = from_parquet(spark, a.root, a.as_of)
+        else:
+            wh = from_store(spark, a.tick_store and _store("tick", a.tick_store),
+                            a.prob_store and _store("prob", a.prob_store), a.as_of)
+        df = PLANS[a.name](wh)
         if a.out:
             df.write.mode("overwrite").parquet(a.out)
         else:
@@ -65,18 +78,23 @@ def main(argv: list[str] | None = None) -> int:
         from pricescope.streaming import pipeline as sp
         start = sp.start_tick_stream if a.venue == "tick" else sp.start_prob_stream
         q_ = start(spark, a.landing, _store(a.venue, a.store), a.checkpoint, available_now=a.once,
-                   alerts=not a.no_alerts)
+                   alerts=not a.no_alerts, **({} if a.pick_cap is None else {"pick_cap": a.pick_cap or None}))
         q_.awaitTermination()
     elif a.cmd == "maintain":
-        from pricescope.schemas import PROB_SNAPSHOT, TICK_SNAPSHOT
         from pricescope.streaming import pipeline as sp
         store = _store(a.venue, a.store)
         for path in ("state", "alerts", "runs") + (("events",) if a.venue == "prob" else ()):
             sp.prune_versions(spark, getattr(store, path))
-        if a.compact_before:
-            schema, key = ((TICK_SNAPSHOT, "market_ticker") if a.venue == "tick"
-                           else (PROB_SNAPSHOT, "condition_id"))
-            print(sp.compact_closed_dates(spark, store.snapshots, schema, key, a.compact_before))
+    elif a.cmd == "retain":
+        import datetime as dt
+
+        from pricescope.constants import RETENTION_DAYS
+        from pricescope.streaming import pipeline as sp
+        store = _store(a.venue, a.store)
+        for kind, name in (("market_snapshots", "snapshots"),
+                           ("series_snapshots", "series" if a.venue == "tick" else "event_snaps")):
+            before = dt.date.fromisoformat(a.as_of) - dt.timedelta(days=RETENTION_DAYS[kind])
+            print(name, sp.drop_dates(spark, getattr(store, name), before.isoformat()))
     return 0
 
 

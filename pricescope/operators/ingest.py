@@ -182,9 +182,13 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: list[str],
     zero = F.struct(F.lit(0).alias("_run"), *[F.lit(None).alias(f"_o{i}") for i in range(4)]).cast(vtype)
     old_v = F.coalesce(F.col("_v").cast(vtype), zero) if "_v" in existing.columns else zero
     old = existing.select(key, *payload, "updated_at", old_v.alias("_v"))
-    both = old.unionByName(new)
+    # Only the incoming rows and the stored rows they touch are reduced; the
+    # rest of the stored table is passed through by an anti-join on the key.
+    touched = new.select(key).distinct()
+    both = old.join(touched, key, "left_semi").unionByName(new)
     g = both.groupBy(key).agg(F.max_by(F.struct(*payload, "updated_at", "_v"), "_v").alias("r"))
-    out = g.select(key, *[F.col(f"r.{c}").alias(c) for c in payload + ["updated_at", "_v"]])
+    out = (g.select(key, *[F.col(f"r.{c}").alias(c) for c in payload + ["updated_at", "_v"]])
+           .unionByName(old.join(touched, key, "left_anti")))
     return out.select(*cols, "_v") if keep_version else out.select(*cols)
 
 
@@ -200,12 +204,12 @@ def open_run(runs: DataFrame, started_at, source: str, host: str, note: str | No
     return runs.unionByName(row)
 
 
-def close_run(runs: DataFrame, n_markets: Column, finished_at) -> DataFrame:
-    """K4 (finish): set the final count and finish time on the newest run.
-    ``n_markets`` is a scalar (e.g. the ``count`` of the ingested rows as a
-    scalar subquery)."""
-    newest = runs.agg(F.max("run_id")).scalar()
-    is_new = F.col("run_id") == newest
+def close_run(runs: DataFrame, n_markets: Column, finished_at, run_id: int | None = None) -> DataFrame:
+    """K4 (finish): set the final count and finish time on run ``run_id``
+    (None: the newest).  ``n_markets`` is a scalar (e.g. the ``count`` of
+    the ingested rows as a scalar subquery)."""
+    closing = runs.agg(F.max("run_id")).scalar() if run_id is None else F.lit(int(run_id))
+    is_new = F.col("run_id") == closing
     return runs.select(
         "run_id", "started_at",
         F.when(is_new, ts_lit(finished_at)).otherwise(F.col("finished_at")).alias("finished_at"),

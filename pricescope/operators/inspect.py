@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricescope.functions.exprs import epoch_micros, hours, ts_lit
+from pricescope.constants import RAW_FIELDS
 from pricescope.operators import lookback as lb
 from pricescope.operators.ranked import top
 
-RAW_FIELDS = ["event_ticker", "market_type", "response_price_units", "rules_primary", "rules_secondary"]
-
 
 def recent_markets(state: DataFrame, limit: int = 50) -> DataFrame:
     """Current markets, most recently updated first."""
@@ -40,9 +39,10 @@ def raw_pretty(state: DataFrame, key: str, key_col: str = "market_ticker") -> Da
 
 
 def random_sample(state: DataFrame, n: int = 3, seed: int = 7, key_col: str = "market_ticker") -> DataFrame:
-    """``n`` random markets (seeded); a top-n on a random key, so the
-    plan is a bounded TakeOrderedAndProject, not a full sort."""
-    return top(state.withColumn("_r", F.rand(seed)), n, F.col("_r")).select(
+    """``n`` markets drawn by a seeded hash of the key: a bounded
+    TakeOrderedAndProject whose draw does not change with the partitioning."""
+    drawn = state.withColumn("_r", F.md5(F.concat(F.col(key_col), F.lit(str(seed)))))
+    return top(drawn, n, F.col("_r"), F.col(key_col)).select(
         key_col, F.col("raw").alias("raw"))
 
 
@@ -163,6 +163,8 @@ def retain(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
 def expired_partitions(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
     """K7: the snapshot dates a retention would drop (partition values)."""
     cut = ts_lit(as_of) - F.make_dt_interval(days=F.lit(int(days)))
+    if "snap_date" in df.columns:   # partition values: all older dates hold expired rows only
+        df = df.where(F.col("snap_date") <= F.to_date(cut))
     return (df.where(F.col(ts_col) < cut).select(F.to_date(F.col(ts_col)).alias("snap_date"))
             .distinct().orderBy("snap_date"))
 

@@ -36,17 +36,17 @@ def attach(topk: DataFrame, dim: DataFrame, key: str, cols: list[str], order: li
            select: list) -> DataFrame:
     """Left-join display columns of ``dim`` onto an already-limited frame.
     The key set is broadcast (bounded by the limit) as a semi-join filter
-    so only matching dimension rows leave the scan.  The limited frame is
-    cached (at most ``limit`` rows) so the ranking runs once for both uses."""
-    topk = topk.cache()
+    so only matching dimension rows leave the scan.  Nothing is cached: a
+    call always sees the tables as they are."""
     wanted = dim.select(key, *cols).join(F.broadcast(topk.select(key)), key, "left_semi")
     return topk.join(wanted, key, "left").orderBy(*order).select(*select)
 
 
-def _scan(state: DataFrame, scan: int | None, key: str, hi: int) -> DataFrame:
+def _scan(state: DataFrame, scan: int | None, key: str) -> DataFrame:
+    """The ``scan`` newest rows, or all of them for None."""
     if scan is None:
         return state
-    return top(state, clamp(scan, 1, hi), F.col("updated_at").desc_nulls_last(), F.col(key))
+    return top(state, max(1, int(scan)), F.col("updated_at").desc_nulls_last(), F.col(key))
 
 
 def _f(c) -> Column:
@@ -82,7 +82,7 @@ def tradability_tick(state: DataFrame, limit: int = 100, scan: int | None = None
     min_spread = max(1, int(min_spread_ticks))
     d = state.where((F.col("status") == "active") & F.col("yes_bid").isNotNull()
                     & F.col("yes_ask").isNotNull())
-    d = _scan(d, scan, "market_ticker", 20000)
+    d = _scan(d, scan, "market_ticker")
     vol, oi = F.coalesce(F.col("volume"), F.lit(0)), F.coalesce(F.col("open_interest"), F.lit(0))
     spread = F.col("yes_ask") - F.col("yes_bid")
     d = d.where(spread >= min_spread).select(
@@ -97,7 +97,7 @@ def tradability_tick(state: DataFrame, limit: int = 100, scan: int | None = None
 
 def opportunity_gap_tick(state: DataFrame, limit: int = 20, scan: int | None = None) -> DataFrame:
     """T4: spread as % of bid (2 digits); bid and ask non-null, non-zero."""
-    d = _scan(state.where(F.col("status") == "active"), scan, "market_ticker", 5000)
+    d = _scan(state.where(F.col("status") == "active"), scan, "market_ticker")
     bid, ask = F.col("yes_bid"), F.col("yes_ask")
     d = d.where(bid.isNotNull() & ask.isNotNull() & (bid != 0) & (ask != 0) & (bid > 0)).select(
         "market_ticker", "title", (ask - bid).alias("spread_points"),
@@ -108,7 +108,7 @@ def opportunity_gap_tick(state: DataFrame, limit: int = 20, scan: int | None = N
 
 def market_heat_tick(state: DataFrame, limit: int = 200, scan: int | None = None) -> DataFrame:
     """T5: churn = volume / OI (2 digits) where OI > 100 and volume known."""
-    d = _scan(state.where(F.col("status") == "active"), scan, "market_ticker", 5000)
+    d = _scan(state.where(F.col("status") == "active"), scan, "market_ticker")
     d = d.where((F.col("open_interest") > HEAT_MIN_OPEN_INTEREST) & F.col("volume").isNotNull()).select(
         "market_ticker", "title",
         F.round(F.col("volume").cast("double") / F.col("open_interest"), 2).alias("churn_rate"),
@@ -124,7 +124,7 @@ def screener_tick(state: DataFrame, limit: int = 50, scan: int | None = None, mi
     A zero spread divides by 1.0; negative spreads are allowed.  Null churn
     sorts last (the reference fails on it)."""
     limit = clamp(limit, 1, 200)
-    d = _scan(state.where(F.col("status") == "active"), scan, "market_ticker", 5000)
+    d = _scan(state.where(F.col("status") == "active"), scan, "market_ticker")
     bid, ask = F.col("yes_bid"), F.col("yes_ask")
     d = d.where(bid.isNotNull() & ask.isNotNull() & (bid > 0))
     vol = F.coalesce(F.col("volume"), F.lit(0)).cast("double")
@@ -154,9 +154,23 @@ def screener_tick(state: DataFrame, limit: int = 50, scan: int | None = None, mi
 
 
 def _latest_of(df: DataFrame) -> DataFrame:
+    """Rows of the latest snapshot; on date-partitioned tables the newest
+    date, a partition value, bounds the search for the latest time."""
+    if "snap_date" in df.columns:
+        df = df.where(F.col("snap_date") == df.agg(F.max("snap_date")).scalar())
     return lb.latest_rows(df)
 
 
+def _run_deltas(glob: DataFrame, cols: dict[str, str], limit: int) -> DataFrame:
+    """Run-over-run differences of the newest ``limit`` runs: the window sees only limit + 1 rows."""
+    from pyspark.sql import Window
+    w = Window.orderBy("snap_ts")
+    newest = top(glob, limit + 1, F.col("snap_ts").desc())
+    g = newest.select("snap_ts", *[(F.col(c) - F.lag(c).over(w)).alias(a) for c, a in cols.items()],
+                      F.lag("total_volume").over(w).alias("_pv"))
+    return top(g.where(F.col("_pv").isNotNull()).drop("_pv"), limit, F.col("snap_ts").desc())
+
+
 def top_events_tick(series: DataFrame, by: str = "total_open_interest", limit: int = 50) -> DataFrame:
     """T7 (by OI) / T8 (by volume) / C12: events at the latest series snapshot."""
     d = _latest_of(series).select(F.col("series_ticker").alias("event_ticker"), "n_markets",
@@ -166,16 +180,10 @@ def top_events_tick(series: DataFrame, by: str = "total_open_interest", limit: i
 
 def global_deltas_tick(glob: DataFrame, limit: int = 9) -> DataFrame:
     """Run-over-run deltas of the global snapshot (previous run, whatever
-    the spacing).  The unpartitioned window runs on the global table -- one
-    row per run -- never on market rows."""
-    from pyspark.sql import Window
-    w = Window.orderBy("snap_ts")
-    cols = {"total_volume": "d_volume_6h", "total_open_interest": "d_oi_6h", "n_priced": "d_priced_6h",
-            "avg_spread_ticks": "d_spread_6h", "n_wide_spread": "d_wide_6h"}
-    g = glob.select("snap_ts", *[(F.col(c) - F.lag(c).over(w)).alias(a) for c, a in cols.items()],
-                    F.lag("total_volume").over(w).alias("_pv"))
-    return top(g.where(F.col("_pv").isNotNull()).drop("_pv"), clamp(limit, 1, 200),
-               F.col("snap_ts").desc())
+    the spacing)."""
+    return _run_deltas(glob, {"total_volume": "d_volume_6h", "total_open_interest": "d_oi_6h",
+                              "n_priced": "d_priced_6h", "avg_spread_ticks": "d_spread_6h",
+                              "n_wide_spread": "d_wide_6h"}, clamp(limit, 1, 200))
 
 
 # ------------------------------------------------------- pair-based, both venues
@@ -311,8 +319,8 @@ def top_changes(snaps: DataFrame, state: DataFrame, venue: Venue, metric: str =
         min_prev = 0.0
     m = TOP_CHANGE_METRICS[venue.name].get((metric or "volume").lower())
     if m is None:
-        raise ValueError("Unsupported metric. Use one of: "
-                         + ", ".join(sorted(set(TOP_CHANGE_METRICS[venue.name].values()))))
+        known = sorted(set(TOP_CHANGE_METRICS[venue.name].values()))
+        raise ValueError(f"no top changes by {metric!r} on the {venue.name} venue; choose from {known}")
     key = venue.key
     latest = lb.latest_ts(snaps, times)
     base = lb.window_start_ts(snaps, window_hours, times, latest=latest)
@@ -377,7 +385,7 @@ def active_markets_prob(state: DataFrame, limit: int = 25) -> DataFrame:
 def tradability_prob(state: DataFrame, limit: int = 100, scan: int | None = None,
                      min_liquidity: float = 0.0) -> DataFrame:
     """ln(1+volume) + 0.7 ln(1+liquidity), liquidity >= min."""
-    d = _scan(state.where(F.col("active")), scan, "condition_id", 20000)
+    d = _scan(state.where(F.col("active")), scan, "condition_id")
     vol = F.coalesce(F.col("volume"), F.lit(0.0))
     liq = F.coalesce(F.col("liquidity"), F.lit(0.0))
     d = d.where(liq >= float(min_liquidity)).select(
@@ -390,7 +398,7 @@ def tradability_prob(state: DataFrame, limit: int = 100, scan: int | None = None
 
 def market_heat_prob(state: DataFrame, limit: int = 200, scan: int | None = None) -> DataFrame:
     """churn = 24h volume / volume (4 digits), both > 0."""
-    d = _scan(state.where(F.col("active")), scan, "condition_id", 20000)
+    d = _scan(state.where(F.col("active")), scan, "condition_id")
     vol = F.coalesce(F.col("volume"), F.lit(0.0))
     v24 = F.col("volume_24hr")
     d = d.where(v24.isNotNull() & (vol > 0) & (v24 > 0)).select(
@@ -406,7 +414,7 @@ def _uncertainty(yes: Column) -> Column:
 
 def opportunity_prob(state: DataFrame, limit: int = 50, scan: int | None = None) -> DataFrame:
     """P5: (1 - 2|p - 0.5|) * ln(1+volume) for 0 < p < 1."""
-    d = _scan(state.where(F.col("active")), scan, "condition_id", 20000)
+    d = _scan(state.where(F.col("active")), scan, "condition_id")
     yes = F.col("outcome_yes_price")
     vol = F.coalesce(F.col("volume"), F.lit(0.0))
     d = d.where(yes.isNotNull() & (yes > 0) & (yes < 1)).select(
@@ -422,7 +430,7 @@ def screener_prob(state: DataFrame, limit: int = 50, scan: int | None = None, mi
                   sort_by: str = "tradability_score") -> DataFrame:
     """Optional volume / liquidity / category (case-insensitive)
     predicates; null sort keys count as 0."""
-    d = _scan(state.where(F.col("active")), scan, "condition_id", 10000)
+    d = _scan(state.where(F.col("active")), scan, "condition_id")
     vol = F.coalesce(F.col("volume"), F.lit(0.0))
     liq = F.coalesce(F.col("liquidity"), F.lit(0.0))
     v24, yes = F.col("volume_24hr"), F.col("outcome_yes_price")
@@ -465,14 +473,8 @@ def global_latest_prob(glob: DataFrame) -> DataFrame:
 
 def global_deltas_prob(glob: DataFrame, limit: int = 9) -> DataFrame:
     """P10: run-over-run deltas (one row per run; see T9)."""
-    from pyspark.sql import Window
-    w = Window.orderBy("snap_ts")
-    cols = {"total_volume": "d_volume", "total_volume_24hr": "d_volume_24hr",
-            "total_liquidity": "d_liquidity", "n_priced": "d_priced"}
-    g = glob.select("snap_ts", *[(F.col(c) - F.lag(c).over(w)).alias(a) for c, a in cols.items()],
-                    F.lag("total_volume").over(w).alias("_pv"))
-    return top(g.where(F.col("_pv").isNotNull()).drop("_pv"), clamp(limit, 1, 200),
-               F.col("snap_ts").desc())
+    return _run_deltas(glob, {"total_volume": "d_volume", "total_volume_24hr": "d_volume_24hr",
+                              "total_liquidity": "d_liquidity", "n_priced": "d_priced"}, clamp(limit, 1, 200))
 
 
 def expiring_prob(state: DataFrame, as_of, lookback_hours: int = 48, limit: int = 50) -> DataFrame:

@@ -137,15 +137,16 @@ def prob_events_by_time(snaps: DataFrame) -> DataFrame:
 def _top(df: DataFrame, cap: int, *order: Column) -> DataFrame:
     # Bounded top-k: Spark plans TakeOrderedAndProject (per-partition top-k,
     # then a merge of at most cap x partitions rows).
-    return df.orderBy(*order).limit(cap)
+    return df.orderBy(*order).limit(int(cap))
 
 
-def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int = PICK_CAP,
+def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int | None = PICK_CAP,
                       wide: int = WIDE_SPREAD, horizon_hours: int = EXPIRY_HORIZON_H) -> DataFrame:
     """The union of four bounded lists of "interesting" priced active
     markets -- top volume, top open interest, widest spreads (>= ``wide``),
     soonest expiry within ``horizon_hours`` of the run (no lower bound, so
-    already-expired markets qualify) -- written as snapshot rows."""
+    already-expired markets qualify) -- written as snapshot rows.  With
+    ``cap=None`` the first list holds every such market."""
     key = F.col("market_ticker")
     c = (state.where((F.col("status") == "active") & _priced())
          .select("market_ticker", event_from_raw("raw").alias("series_ticker"),
@@ -153,7 +154,7 @@ def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int = PICK_CA
                  (F.col("yes_ask") - F.col("yes_bid")).alias("spread_ticks"),
                  ((F.col("yes_bid") + F.col("yes_ask")) / 2.0).alias("mid")))
     horizon = ts_lit(snap_ts) + F.make_dt_interval(hours=F.lit(horizon_hours))
-    lists = [
+    lists = [c] if cap is None else [
         _top(c, cap, F.col("volume").desc_nulls_last(), key),
         _top(c, cap, F.col("open_interest").desc_nulls_last(), key),
         _top(c.where(F.col("spread_ticks") >= wide), cap, F.col("spread_ticks").desc(), key),
@@ -165,20 +166,23 @@ def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int = PICK_CA
         pick = pick.unionByName(other)
     # SQL UNION removes duplicate rows; the key is unique in the input, so
     # de-duplicating by key is the same and also works with map columns.
-    pick = pick.dropDuplicates(["market_ticker"])
+    if len(lists) > 1:
+        pick = pick.dropDuplicates(["market_ticker"])
     return pick.select(ts_lit(snap_ts).alias("snap_ts"), F.lit(run_id).cast("long").alias("run_id"),
                        "market_ticker", "series_ticker", "expiration_time", "yes_bid", "yes_ask",
                        "volume", "open_interest", "spread_ticks", "mid")
 
 
-def pick_markets_prob(state: DataFrame, snap_ts, run_id: int, cap: int = PICK_CAP) -> DataFrame:
+def pick_markets_prob(state: DataFrame, snap_ts, run_id: int, cap: int | None = PICK_CAP) -> DataFrame:
     """Union of the top-``cap`` active markets by volume, liquidity and
-    24h volume (nulls last), as snapshot rows."""
+    24h volume (nulls last), as snapshot rows; all of them with ``cap=None``."""
     key = F.col("condition_id")
     c = state.where(F.col("active"))
-    lists = [_top(c, cap, F.col(m).desc_nulls_last(), key)
-             for m in ("volume", "liquidity", "volume_24hr")]
-    pick = lists[0].unionByName(lists[1]).unionByName(lists[2]).dropDuplicates(["condition_id"])
+    pick = c
+    if cap is not None:
+        lists = [_top(c, cap, F.col(m).desc_nulls_last(), key)
+                 for m in ("volume", "liquidity", "volume_24hr")]
+        pick = lists[0].unionByName(lists[1]).unionByName(lists[2]).dropDuplicates(["condition_id"])
     return pick.select(ts_lit(snap_ts).alias("snap_ts"), F.lit(run_id).cast("long").alias("run_id"),
                        "condition_id", "event_id", "end_date", "volume", "volume_24hr",
                        "liquidity", "outcome_yes_price", "outcome_no_price")
@@ -191,26 +195,27 @@ def snapshot_full_tick(state: DataFrame, snap_ts, run_id: int) -> DataFrame:
                         "volume", "open_interest", "updated_at")
 
 
-def append_if_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def append_if_absent(existing: DataFrame, new: DataFrame, keys: list[str], snap_ts=None) -> DataFrame:
     """K5 (``on conflict do nothing``): the table after appending the rows of
     ``new`` whose key is not yet present.  A left-anti join on the key
     columns; returns the complete table (old rows + admitted new rows)."""
-    admitted = admitted_rows(existing, new, keys)
+    admitted = admitted_rows(existing, new, keys, snap_ts)
     cols = [c for c in existing.columns if c != "snap_date"]
     return existing.select(*cols).unionByName(admitted.select(*cols))
 
 
-def admitted_rows(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def admitted_rows(existing: DataFrame, new: DataFrame, keys: list[str], snap_ts=None) -> DataFrame:
     """K5, the rows an append would add (what ``rowcount`` reports).
 
     When the key includes ``snap_ts`` and the stored table is partitioned
-    by ``snap_date``, the stored side is bounded to the new rows' time range
-    (scalar subqueries), so a run's dedupe reads that run's date partition,
-    not the whole history."""
+    by ``snap_date``, the stored side is bounded to the new rows' time range,
+    so a run's dedupe reads that run's date partition, not the whole
+    history.  Pass ``snap_ts`` when all new rows have that time; else two
+    scalar subqueries find the range."""
     old = existing
     if "snap_ts" in keys and "snap_date" in existing.columns:
-        lo = new.agg(F.min("snap_ts")).scalar()
-        hi = new.agg(F.max("snap_ts")).scalar()
+        lo, hi = ((ts_lit(snap_ts),) * 2 if snap_ts is not None
+                  else (new.agg(F.min("snap_ts")).scalar(), new.agg(F.max("snap_ts")).scalar()))
         old = old.where((F.col("snap_date") >= F.to_date(lo)) & (F.col("snap_date") <= F.to_date(hi))
                         & (F.col("snap_ts") >= lo) & (F.col("snap_ts") <= hi))
     return new.join(old.select(*keys), on=keys, how="left_anti")

@@ -40,30 +40,33 @@ def recent_rows(snaps: DataFrame, as_of, lookback_days: int = LOOKBACK_DAYS) ->
     return snaps.where(F.col("snap_ts") > cut)
 
 
-def moves(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+def moves(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_DAYS,
+          times: DataFrame | None = None) -> DataFrame:
     """Per (market, snapshot): abs price move from the previous global
-    snapshot time, for markets priced at both."""
+    snapshot time, for markets priced at both.  ``times`` is the per-run
+    times table, if there is one: it spares a scan for the times."""
     recent = recent_rows(snaps, as_of, lookback_days)
-    times = recent.select("snap_ts").distinct()
+    times = (recent if times is None else recent_rows(times, as_of, lookback_days)).select("snap_ts").distinct()
     times = times.withColumn("i", F.row_number().over(Window.orderBy("snap_ts")))
     w = Window.partitionBy(venue.key).orderBy("i")
     # Prices are numeric in the reference: moves are exact decimal
     # differences, so averages round the same way whatever the sum order.
+    # Unpriced rows go before the window; the index check sees the gap.
     x = (recent.select("snap_ts", venue.key, F.col(venue.price).cast("decimal(18,6)").alias("px"))
-         .join(times, "snap_ts")
+         .where("px is not null").join(times, "snap_ts")
          .withColumn("prev_px", F.lag("px").over(w))
          .withColumn("prev_i", F.lag("i").over(w)))
-    return (x.where((F.col("prev_i") == F.col("i") - 1) & F.col("px").isNotNull()
-                    & F.col("prev_px").isNotNull())
+    return (x.where(F.col("prev_i") == F.col("i") - 1)
             .select("snap_ts", venue.key, F.abs(F.col("px") - F.col("prev_px")).alias("abs_move")))
 
 
-def move_stats(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+def move_stats(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKBACK_DAYS,
+               times: DataFrame | None = None) -> DataFrame:
     """M1/M2: key, avg_move_24h, avg_move_7d, std_move_24h, volatility_score,
     updated_at (= as_of)."""
     recent = recent_rows(snaps, as_of, lookback_days)
-    latest = recent.agg(F.max("snap_ts")).scalar()
-    m = moves(snaps, venue, as_of, lookback_days)
+    latest = (recent if times is None else recent_rows(times, as_of, lookback_days)).agg(F.max("snap_ts")).scalar()
+    m = moves(snaps, venue, as_of, lookback_days, times)
     in_24h = F.col("snap_ts") > latest - hours(MOVE_RECENT_HOURS)
     g = m.groupBy(venue.key).agg(
         F.avg(F.when(in_24h, F.col("abs_move"))).alias("a24"),

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricescope.functions.exprs import clamp, hours_between, log_odds
+from pricescope.functions.exprs import hours_between, log_odds
 from pricescope.venues import Venue
 
 from pricescope.constants import (HOURS_PER_YEAR, VOL_INDEX_SCALE, VOL_PRICE_HIGH,  # noqa: E402
@@ -34,7 +34,7 @@ from pricescope.constants import (HOURS_PER_YEAR, VOL_INDEX_SCALE, VOL_PRICE_HIG
 def vol_index(snaps: DataFrame, venue: Venue, points: int = 50, min_weight: float = 100.0,
               price_scale: float = 1.0, times: DataFrame | None = None) -> DataFrame:
     from pricescope.operators.lookback import snapshot_times
-    points = clamp(points, 1, 200)
+    points = max(1, int(points))
     min_w = max(0.0, float(min_weight))
     times = snapshot_times(snaps, times).orderBy(F.col("snap_ts").desc()).limit(points + 1)
     times = times.withColumn("i", F.row_number().over(Window.orderBy("snap_ts")))

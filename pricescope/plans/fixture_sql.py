@@ -173,8 +173,7 @@ CTES.update({
                t.user_id // 25 AS page_no,
                CAST(row_number() OVER (PARTITION BY t.snap_ts, t.user_id // 25
                                        ORDER BY t.user_id % 25) - 1 AS INTEGER) AS pos
-        FROM tick_u t
-        WHERE t.snap_ts >= (SELECT max(snap_ts) FROM tick_u) - INTERVAL 18 HOUR"""),
+        FROM tick_u t"""),
     "prob_feed": (["prob_u"], """
         SELECT g.*, CAST(row_number() OVER (PARTITION BY g.snap_ts, g.page_no, g.event_id
                                             ORDER BY g.user_id % 25) - 1 AS INTEGER) AS pos,
@@ -186,8 +185,7 @@ CTES.update({
                            p.event_id) AS ev_category,
                      max(p.end_date) OVER (PARTITION BY p.snap_ts, p.user_id // 25, p.event_id) AS ev_end,
                      strftime(p.snap_ts, '%Y-%m-%dT%H:%M:%SZ') AS page_ts
-              FROM prob_u p LEFT JOIN nation n ON concat('V', n.n_nationkey) = p.event_id
-              WHERE p.snap_ts >= (SELECT max(snap_ts) FROM prob_u) - INTERVAL 18 HOUR) g"""),
+              FROM prob_u p LEFT JOIN nation n ON concat('V', n.n_nationkey) = p.event_id) g"""),
     "prob_flat": (["prob_feed"], """
         SELECT CAST(user_id AS VARCHAR) AS market_id,
                CASE WHEN user_id % 23 = 0 THEN '' ELSE condition_id END AS condition_id,
@@ -206,6 +204,11 @@ CTES.update({
                event_id, lower(event_title) AS event_slug, event_title, ev_category AS event_category,
                ev_end AS event_end, page_ts, snap_ts AS page_time, page_no, ev_pos, pos, user_id
         FROM prob_feed"""),
+    # The newest four runs, which the stream queries land.
+    "tick_landed": (["tick_feed"], """
+        SELECT * FROM tick_feed QUALIFY dense_rank() OVER (ORDER BY page_time DESC) <= 4"""),
+    "prob_landed": (["prob_flat"], """
+        SELECT * FROM prob_flat QUALIFY dense_rank() OVER (ORDER BY page_time DESC) <= 4"""),
 })
 
 

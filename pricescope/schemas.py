@@ -55,6 +55,10 @@ EXPORT_RUNS = _st(("run_id", L), ("started_at", TS), ("finished_at", TS), ("sour
 
 MOVE_STATS_COLS = ["avg_move_24h", "avg_move_7d", "std_move_24h", "volatility_score", "updated_at"]
 
+_MOVES = [("avg_move_24h", D), ("avg_move_7d", D), ("std_move_24h", D), ("volatility_score", D), ("updated_at", TS)]
+MOVE_STATS_TICK = _st(("market_ticker", S), *_MOVES)
+MOVE_STATS_PROB = _st(("condition_id", S), *_MOVES)
+
 ALERTS = _st(("alert_id", L), ("user_email", S), ("platform", S), ("market_key", S),
              ("alert_type", S), ("threshold", D), ("is_active", B), ("created_at", TS),
              ("last_triggered_at", TS))

@@ -249,21 +249,27 @@ def alerts(events: DataFrame, as_of=AS_OF_WALL) -> DataFrame:
 
 # ------------------------------------------------------------ B10 feed pages
 PAGE_SIZE = 25
-PAGE_WINDOW_H = 18       # pages of the runs within 18 h of the latest snapshot
 
 
 def _iso(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def _recent(rows: DataFrame) -> DataFrame:
-    latest = rows.agg(F.max("snap_ts")).scalar()
-    return rows.where(F.col("snap_ts") >= latest - F.make_dt_interval(hours=F.lit(PAGE_WINDOW_H)))
+def _is_last():
+    """Whether no page of the run comes after this one."""
+    from pyspark.sql import Window
+    return F.max("page_no").over(Window.partitionBy("snap_ts")) == F.col("page_no")
+
+
+def newest_runs(pages: DataFrame, n: int) -> DataFrame:
+    """Pages of the ``n`` newest runs, for queries that land a few runs only."""
+    ts = F.get_json_object("value", "$.page_ts")
+    keep = pages.select(ts.alias("_t")).distinct().orderBy(F.col("_t").desc()).limit(n)
+    return pages.withColumn("_t", ts).join(F.broadcast(keep), "_t", "left_semi").drop("_t")
 
 
 def tick_pages(tick_u: DataFrame) -> DataFrame:
-    """B10, tick venue: one JSON page per (run, user div 25) for the runs of
-    the last 18 h, markets ordered by ``user % 25``.  Variations by user id:
+    """B10, tick venue: one JSON page per (run, user div 25) for all runs, markets ordered by ``user % 25``.  Variations by user id:
     u%7=0 empty ``ticker`` (key in ``market_ticker``), u%19=0 empty
     ``event_ticker``, u%11=0 empty ``close_time``; status closed when
     (u + run_id) % 10 = 0.  Overview fields: ``series_id`` = series ticker
@@ -271,7 +277,7 @@ def tick_pages(tick_u: DataFrame) -> DataFrame:
     several series; absent for u%17=0), ``event_title`` = 'Event ' || u%4
     || '/' || u%3 (titles differ inside an event), ``close_ts``."""
     u = F.col("user_id")
-    r = _recent(tick_u)
+    r = tick_u
     elem = F.struct(
         F.when(u % 7 == 0, F.lit("")).otherwise(F.col("market_ticker")).alias("ticker"),
         F.col("market_ticker").alias("market_ticker"),
@@ -294,10 +300,10 @@ def tick_pages(tick_u: DataFrame) -> DataFrame:
          .groupBy("snap_ts", "page_no")
          .agg(F.array_sort(F.collect_list(F.struct((u % PAGE_SIZE).alias("o"), elem.alias("m"))))
               .alias("ms")))
-    page = F.struct(_iso(F.col("snap_ts")).alias("page_ts"), "page_no",
+    page = F.struct(_iso(F.col("snap_ts")).alias("page_ts"), "page_no", _is_last().alias("last"),
                     F.concat(F.lit("c"), _str(F.col("page_no") + 1)).alias("cursor"),
                     F.transform("ms", lambda x: x["m"]).alias("markets"))
-    return g.select(F.to_json(page).alias("value"))
+    return g.select(page.alias("page")).select(F.to_json("page").alias("value"))
 
 
 OUTCOME_SHAPES = 8
@@ -313,7 +319,7 @@ def prob_pages(prob_u: DataFrame, nation: DataFrame) -> DataFrame:
     ``["Yes","No"]``.  Prices are 3-decimal text; a missing yes price gives
     no ``outcomePrices``."""
     u = F.col("user_id")
-    r = _recent(prob_u).join(
+    r = prob_u.join(
         nation.select(F.concat(F.lit("V"), _str(F.col("n_nationkey"))).alias("event_id"),
                       F.col("n_name").alias("event_title")), "event_id", "left")
     yes = F.format_string("%.3f", F.col("outcome_yes_price"))
@@ -359,6 +365,6 @@ def prob_pages(prob_u: DataFrame, nation: DataFrame) -> DataFrame:
     g = (per_event.groupBy("snap_ts", "page_no")
          .agg(F.array_sort(F.collect_list(F.struct(F.col("first_u").alias("o"), ev.alias("e"))))
               .alias("evs")))
-    page = F.struct(_iso(F.col("snap_ts")).alias("page_ts"), "page_no",
+    page = F.struct(_iso(F.col("snap_ts")).alias("page_ts"), "page_no", _is_last().alias("last"),
                     F.transform("evs", lambda x: x["e"]).alias("events"))
-    return g.select(F.to_json(page).alias("value"))
+    return g.select(page.alias("page")).select(F.to_json("page").alias("value"))

@@ -28,6 +28,16 @@ TABLES = ["tick_snapshots", "tick_snapshot_times", "prob_snapshot_times", "tick_
 class Warehouse:
     spark: SparkSession
     tables: dict = field(default_factory=dict)
+    #: The time queries are asked as of; None: the latest tick snapshot (or the latest of the other venue).
+    asked: object = None
+
+    @property
+    def as_of(self):
+        if self.asked is None:
+            for name in ("tick_snapshot_times", "prob_snapshot_times"):
+                if name in self.tables and self.asked is None:
+                    self.asked = self.tables[name].agg({"snap_ts": "max"}).first()[0]
+        return self.asked
 
     def __getattr__(self, name) -> DataFrame:
         t = self.__dict__.get("tables", {})
@@ -68,7 +78,7 @@ class Warehouse:
         if name in self.tables:
             return self.tables[name]
         from pricescope.operators.stats import move_stats
-        return move_stats(self.snapshots(venue), venue, as_of)
+        return move_stats(self.snapshots(venue), venue, as_of, times=self.times(venue))
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, persist: bool = False) -> Warehouse:
@@ -109,15 +119,42 @@ def from_testdata(spark: SparkSession, sf_dir: str, persist: bool = False) -> Wa
         "tick_pages": fx.tick_pages(tick_u),
         "prob_pages": fx.prob_pages(prob_u, nation),
     }
-    wh = Warehouse(spark, t)
+    wh = Warehouse(spark, t, fx.AS_OF)
     wh.__dict__["held"] = held
     return wh
 
 
-def from_parquet(spark: SparkSession, root: str) -> Warehouse:
+def from_parquet(spark: SparkSession, root: str, as_of=None) -> Warehouse:
     """Read the stored tables from ``root/<table>`` Parquet directories."""
     root = root.rstrip("/")
-    return Warehouse(spark, {n: spark.read.parquet(f"{root}/{n}") for n in TABLES})
+    return Warehouse(spark, {n: spark.read.parquet(f"{root}/{n}") for n in TABLES}, as_of)
+
+
+def from_store(spark: SparkSession, tick=None, prob=None, as_of=None) -> Warehouse:
+    """The tables that the streams write, under the names the queries use."""
+    from pricescope import schemas as sc
+    from pricescope.streaming import pipeline as sp
+    t = {}
+    for store, v, group, shapes in (
+            (tick, "tick", ("series", "tick_series"), (sc.TICK_SNAPSHOT, sc.TICK_GLOBAL, sc.TICK_SERIES, sc.MOVE_STATS_TICK)),
+            (prob, "prob", ("event_snaps", "prob_event_snapshots"),
+             (sc.PROB_SNAPSHOT, sc.PROB_GLOBAL, sc.PROB_EVENT_SNAPSHOT, sc.MOVE_STATS_PROB))):
+        if store is None:
+            continue
+        snaps, glob, grouped, moves = shapes
+        t |= {f"{v}_snapshots": sp.read_partitioned(spark, store.snapshots, snaps),
+              f"{v}_snapshot_times": sp.read_times(spark, store),
+              f"{v}_global": sp.read_partitioned(spark, store.global_snap, glob).drop("snap_date"),
+              group[1]: sp.read_partitioned(spark, getattr(store, group[0]), grouped),
+              f"{v}_state": sp.read_current(spark, store.state).drop("_v"),
+              f"{v}_runs": sp.read_current(spark, store.runs, sc.EXPORT_RUNS),
+              f"{v}_move_stats": sp.read_current(spark, store.move_stats, moves)}
+        alerts = sp.read_current(spark, store.alerts).where(f"platform = '{v}'")
+        t["alerts"] = t["alerts"].unionByName(alerts) if "alerts" in t else alerts
+    if prob is not None:
+        t["prob_events"] = sp.read_current(spark, prob.events).drop("_v")
+    t["ingest_log"] = spark.createDataFrame([], sc.INGEST_LOG)
+    return Warehouse(spark, t, as_of)
 
 
 # Tables that are append-only time series and are written partitioned by
@@ -155,25 +192,29 @@ def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None)
             w = df.write
         w.mode(mode).parquet(f"{root}/{name}")
     wh.release()
-    return Warehouse(wh.spark, {n: wh.spark.read.parquet(f"{root}/{n}") for n in tables})
+    return Warehouse(wh.spark, {n: wh.spark.read.parquet(f"{root}/{n}") for n in tables}, wh.as_of)
 
 
 _MATERIALISED: dict = {}
 _LOCK = threading.Lock()
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Identity of a derived warehouse: the source files' sizes and times
     and the source of the derivation code."""
     import hashlib
     import pathlib
 
+    from pricescope import constants
+    from pricescope.functions import exprs
     from pricescope.operators import snapshots as snap_mod
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
     for name in ("events", "customer", "nation"):
-        st = os.stat(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-    for mod in (fx, snap_mod):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        st = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path)
+        at = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime()
+        h.update(f"{name}:{st.getLength()}:{at}".encode())
+    for mod in (fx, snap_mod, constants, exprs):
         h.update(pathlib.Path(mod.__file__).read_bytes())
     h.update(pathlib.Path(__file__).read_bytes())
     return h.hexdigest()[:16]
@@ -181,7 +222,7 @@ def _fingerprint(sf_dir: str) -> str:
 
 def _read_back(spark: SparkSession, root: str) -> Warehouse:
     names = TABLES + ["tick_pages", "prob_pages"]
-    return Warehouse(spark, {n: spark.read.parquet(f"{root}/{n}") for n in names})
+    return Warehouse(spark, {n: spark.read.parquet(f"{root}/{n}") for n in names}, fx.AS_OF)
 
 
 def materialised(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -198,7 +239,7 @@ def materialised(spark: SparkSession, sf_dir: str) -> Warehouse:
     with _LOCK:
         wh = _MATERIALISED.get(key)
         if wh is None:
-            fp = _fingerprint(sf_dir)
+            fp = _fingerprint(spark, sf_dir)
             root = f"{checkpoint_root(spark)}/warehouse-{fp}"
             try:
                 done = spark.read.text(f"{root}/_complete").first()

@@ -2,32 +2,34 @@
 Streaming (R1-R3).
 
 Landed feed pages (one JSON page per line) are read as a file-source
-stream.  Each micro-batch runs, inside ``foreachBatch``:
+stream.  A *run* is what shares a ``page_ts``, however its pages were split
+into files and micro-batches.  Each micro-batch, inside ``foreachBatch``:
 
-1. R1 -- open the run row (K4), normalise the pages (I1/I8), upsert them
+1. R1 -- opens the run row (K4), normalises the pages (I1/I8), upserts them
    into the current state (K1) keeping each row's page-order version, and
-   close the run row with the market count;
-2. R2 -- append the run's global, series and market snapshots (N1, N3,
-   N5), idempotently by ``(snap_ts, key)`` (K5): a replayed batch adds
-   nothing.  ``snap_ts`` comes from the pages, never from the clock;
-3. move statistics (M1) from the snapshot history, then R3 -- alert
-   evaluation with the cooldown (A1-A6), the cooldown state being the
-   alerts table itself.  As in the reference, a failure in step 3 is
-   logged and tolerated; a failure in steps 1-2 fails the batch (and the
-   stream retries it from its checkpoint).
-
-Stored tables live under a root in the shared checkpoint folder.  The
-current-state tables are versioned: version ``batch_id + 1`` is written
-with dynamic partition overwrite, so a replay rewrites the same version,
-no job overwrites a path it reads, and the reader selects the newest
-version with a scalar subquery that prunes the other partitions.  Only
-the newest few versions are kept (``prune_versions``).
-Snapshot and history tables are append-only Parquet partitioned by date.
+   closes the run row with the run's market count;
+2. R2 -- writes the global, series and market snapshots (N1, N3, N5) of
+   every run it holds pages of.  A run's snapshot is one partition that is
+   replaced, so a later page of the run, or a replay, leaves the snapshot
+   of all its pages;
+3. move statistics (M1), stored by key (K6), then R3 -- alert evaluation
+   with the cooldown (A1-A6) -- for runs whose last page has come (a page
+   says ``"last": false`` when more of its run follow).  As in the
+   reference, a failure in step 3 is logged and tolerated; one in steps 1-2
+   fails the batch, and the stream retries it from its checkpoint.
+
+The current-state tables are versioned: batch ``b`` reads the newest version
+up to ``b`` and writes version ``b + 1`` with dynamic partition overwrite, so
+a replay reads what its first attempt read and rewrites the same version.
+Only the newest few versions are kept (``prune_versions``).  Snapshot tables
+are partitioned by date and run, history by run.
 """
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,25 +38,32 @@ from pricescope.operators import alerts as al
 from pricescope.operators import ingest as ig
 from pricescope.operators import snapshots as sn
 from pricescope.operators import stats as st
-from pricescope.schemas import ALERT_HISTORY, EXPORT_RUNS, TICK_GLOBAL, TICK_SERIES, TICK_SNAPSHOT
+from pricescope.constants import PICK_CAP
+from pricescope.schemas import (ALERT_HISTORY, EXPORT_RUNS, MOVE_STATS_PROB, MOVE_STATS_TICK, PROB_EVENT_SNAPSHOT,
+                                PROB_GLOBAL, PROB_SNAPSHOT, TICK_GLOBAL, TICK_SERIES, TICK_SNAPSHOT)
 from pricescope.sources import feeds
-from pricescope.venues import TICK
+from pricescope.venues import PROB, TICK, Venue
 
 TIMES = "snap_ts timestamp_ntz, run_id long, n_markets long"
+#: Runs a micro-batch may hold pages of, which numbers the versions of the runs table.
+MOST_RUNS = 1000
 log = logging.getLogger(__name__)
 STATE_VERSION_TYPE = "struct<_run:int, _o0:string, _o1:bigint, _o2:int, _o3:int>"
 
 
 # ------------------------------------------------------------ table helpers
-def read_current(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """The newest version of a versioned table (``schema``: the declared
-    columns, for tables whose versions may be empty)."""
+def read_current(spark: SparkSession, path: str, schema=None, upto: int | None = None) -> DataFrame:
+    """The newest version of a versioned table, or the newest up to version
+    ``upto`` (``schema``: the declared columns, for tables whose versions
+    may be empty)."""
     if schema is not None:
         from pyspark.sql import types as T
         full = T.StructType(list(schema.fields) + [T.StructField("version", T.LongType(), True)])
         df = spark.read.schema(full).parquet(path)
     else:
         df = spark.read.parquet(path)
+    if upto is not None:
+        df = df.where(F.col("version") <= int(upto))
     return df.where(F.col("version") == df.agg(F.max("version")).scalar()).drop("version")
 
 
@@ -67,6 +76,10 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
 KEEP_VERSIONS = 3
 
 
+def _stats_schema(venue: Venue):
+    return MOVE_STATS_TICK if venue is TICK else MOVE_STATS_PROB
+
+
 def prune_versions(spark: SparkSession, path: str, keep: int = KEEP_VERSIONS) -> list[int]:
     """Delete all but the newest ``keep`` version directories of a
     versioned table (a VACUUM for the upsert's version history).  Keeping
@@ -92,67 +105,48 @@ def prune_versions(spark: SparkSession, path: str, keep: int = KEEP_VERSIONS) ->
     return removed
 
 
+def drop_dates(spark: SparkSession, path: str, before: str) -> list[str]:
+    """K7 on a stored table: delete the ``snap_date`` partitions older than
+    ``before`` (YYYY-MM-DD), whole directories at a time.  Returns the dates."""
+    fs, root, _ = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    gone = []
+    for st_ in fs.listStatus(root):
+        name = st_.getPath().getName()
+        if st_.isDirectory() and name.startswith("snap_date=") and name[10:] < before[:10]:
+            fs.delete(st_.getPath(), True)
+            gone.append(name[10:])
+    return sorted(gone)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def compact_closed_dates(spark: SparkSession, path: str, schema, key: str, before,
-                         ts_col: str = "snap_ts", min_files: int = 2) -> list[str]:
-    """Rewrite the closed ``snap_date`` partitions (dates < ``before``)
-    that hold at least ``min_files`` files into a few large files.
+def write_run(df: DataFrame, path: str, ts_col: str = "snap_ts") -> None:
+    """Write the rows of one or more runs, replacing what is stored of them."""
+    run = F.date_format(F.col(ts_col), "yyyyMMdd'T'HHmmss")
+    (df.drop("snap_date", "snap_run").withColumn("snap_date", F.to_date(F.col(ts_col))).withColumn("snap_run", run)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("snap_date", "snap_run").parquet(path))
 
-    Streams append one run per micro-batch, so each date collects one file
-    per run.  One Spark job reads all those dates and writes them to a
-    staging folder range-partitioned on (time, key) -- a busy day is spread
-    over many tasks and comes out sorted by key -- then each date directory
-    is swapped for its staged copy.  The driver handles directory names
-    only.  Run it as maintenance (readers can miss a date during its swap).
-    Returns the compacted dates."""
-    import datetime as _dt
 
+def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table written by ``write_run``, read with its declared schema (it
+    may still be empty, in which case there is no footer to infer from).
+    The ``snap_date`` partition column is kept so predicates can prune."""
     from pyspark.sql import types as T
-    fs, root, jvm = _fs(spark, path)
-    if not fs.exists(root):
-        return []
-    cutoff = str(before)[:10]
-    dates = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("snap_date=") and name[10:] < cutoff:
-            files = [f for f in fs.listStatus(st.getPath()) if f.getPath().getName().endswith(".parquet")]
-            if len(files) >= min_files:
-                dates.append(name[10:])
-    if not dates:
-        return []
-    staging = f"{path.rstrip('/')}/_staging_compaction"
-    full = T.StructType(list(schema.fields) + [T.StructField("snap_date", T.DateType(), True)])
-    wanted = [_dt.date.fromisoformat(d) for d in dates]
-    (spark.read.schema(full).parquet(path).where(F.col("snap_date").isin(wanted))
-     .repartitionByRange(ts_col, key).sortWithinPartitions(ts_col, key)
-     .write.mode("overwrite").partitionBy("snap_date").parquet(staging))
-    for d in dates:
-        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/snap_date={d}")
-        new = jvm.org.apache.hadoop.fs.Path(f"{staging}/snap_date={d}")
-        fs.delete(old, True)
-        fs.rename(new, old)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    return dates
-
-
-def append_partitioned(df: DataFrame, path: str, ts_col: str = "snap_ts") -> None:
-    (df.drop("snap_date").withColumn("snap_date", F.to_date(F.col(ts_col)))
-       .write.mode("append").partitionBy("snap_date").parquet(path))
+    full = T.StructType([*schema.fields, T.StructField("snap_date", T.DateType(), True),
+                         T.StructField("snap_run", T.StringType(), True)])
+    return spark.read.schema(full).parquet(path).drop("snap_run")
 
 
-def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
-    """An append-only table, read with its declared schema (it may still
-    be empty, in which case there is no footer to infer from).  The
-    ``snap_date`` partition column is kept so predicates can prune."""
-    from pyspark.sql import types as T
-    full = T.StructType(list(schema.fields) + [T.StructField("snap_date", T.DateType(), True)])
-    return spark.read.schema(full).parquet(path)
+def read_history(spark: SparkSession, store) -> DataFrame:
+    """The alert history rows."""
+    return read_partitioned(spark, store.history, ALERT_HISTORY).drop("snap_date")
 
 
 class TickStore:
@@ -173,45 +167,47 @@ class TickStore:
         write_version(spark.createDataFrame([], EXPORT_RUNS), self.runs, 0)
         for schema, path in ((TICK_SNAPSHOT, self.snapshots), (TICK_GLOBAL, self.global_snap),
                              (TICK_SERIES, self.series)):
-            append_partitioned(spark.createDataFrame([], schema), path)
-        spark.createDataFrame([], ALERT_HISTORY).write.mode("append").parquet(self.history)
-        spark.createDataFrame([], TIMES).write.mode("append").parquet(self.times)
+            write_run(spark.createDataFrame([], schema), path)
+        write_run(spark.createDataFrame([], ALERT_HISTORY), self.history, "triggered_at")
+        write_run(spark.createDataFrame([], TIMES), self.times)
+        write_version(spark.createDataFrame([], MOVE_STATS_TICK), self.move_stats, 0)
 
 
-def record_times(spark: SparkSession, store, schema, key: str) -> None:
-    """Append the per-run times row(s) of snapshot times not yet recorded
-    (idempotent: a replay finds its time already present).  Only the
-    newest date partition of the snapshots is read."""
-    snaps = read_partitioned(spark, store.snapshots, schema)
-    newest = snaps.where(F.col("snap_date") == snaps.agg(F.max("snap_date")).scalar())
-    recorded = spark.read.schema(TIMES).parquet(store.times)
-    sn.snapshot_times_of(newest).join(recorded.select("snap_ts"), "snap_ts", "left_anti") \
-        .write.mode("append").parquet(store.times)
+def read_times(spark: SparkSession, store) -> DataFrame:
+    """The per-run times table (snap_ts, run_id, n_markets)."""
+    from pyspark.sql import types as T
+    return read_partitioned(spark, store.times, T.StructType.fromDDL(TIMES)).drop("snap_date")
+
 
+def runs_in(pages: DataFrame) -> list[tuple[str, bool]]:
+    """(page_ts, complete) of the runs a batch holds pages of, oldest first:
+    one row per run, complete if a page of it is not marked ``"last": false``."""
+    p = pages.select(F.from_json("value", "struct<page_ts:string, last:boolean>").alias("p")).select("p.*")
+    got = p.groupBy("page_ts").agg(F.max(F.coalesce("last", F.lit(True))).alias("done")).where("page_ts is not null")
+    return sorted((r["page_ts"], r["done"]) for r in got.collect())
 
-def _run_row(run_id: int, started, finished, n_markets, batch_id: int) -> list:
-    """Columns of one run-log row; ``started`` / ``finished`` are Columns."""
-    return [F.lit(run_id).cast("long").alias("run_id"),
-            started.cast("timestamp_ntz").alias("started_at"),
-            (finished if finished is not None else F.lit(None)).cast("timestamp_ntz").alias("finished_at"),
-            F.lit("stream").alias("source"), F.lit("spark").alias("host"),
-            n_markets.cast("long").alias("n_markets"), F.lit(f"batch {batch_id}").alias("note")]
 
+def run_number(spark: SparkSession, store, schema, snap_ts, base: int) -> int:
+    """The run's number: the stored one if a page of it came before, else one above the greatest."""
+    g = read_partitioned(spark, store.global_snap, schema)
+    r = g.agg(F.max(F.when(F.col("snap_ts") == snap_ts, F.col("run_id"))).alias("own"), F.max("run_id").alias("top")).first()
+    return r["own"] if r["own"] is not None else max(base, r["top"] or 0) + 1
 
-def log_run(spark: SparkSession, store, rows: DataFrame, run_id: int, snap_ts, batch_id: int,
-            finished: bool) -> None:
+
+def log_run(spark: SparkSession, store, run_id: int, snap_ts, batch_id: int, n_markets, version: int) -> None:
     """K4 inside the stream: the run row is written open (no finish time,
     0 markets) before the upsert and closed after it, each as a new version
     of the small runs table.  A batch that dies in between leaves the run
     open -- the failed-runs query (C8) finds it -- until its replay closes
     it.  Times come from the pages, so a replay writes the same row."""
-    from pricescope.schemas import EXPORT_RUNS
-    runs = read_current(spark, store.runs, EXPORT_RUNS)
-    n = rows.agg(F.count(F.lit(1))).scalar() if finished else F.lit(0)
-    row = rows.agg(F.max(F.lit(1)).alias("_one")).select(
-        *_run_row(run_id, snap_ts, snap_ts if finished else None, n, batch_id))
-    kept = runs.where(F.col("run_id") != run_id)
-    write_version(kept.unionByName(row), store.runs, 2 * batch_id + (2 if finished else 1))
+    runs = read_current(spark, store.runs, EXPORT_RUNS, upto=version - 1)
+    done = n_markets is not None
+    row = spark.range(1).select(
+        F.lit(run_id).cast("long").alias("run_id"), snap_ts.cast("timestamp_ntz").alias("started_at"),
+        (snap_ts if done else F.lit(None)).cast("timestamp_ntz").alias("finished_at"),
+        F.lit("stream").alias("source"), F.lit("spark").alias("host"),
+        (n_markets if done else F.lit(0)).cast("long").alias("n_markets"), F.lit(f"batch {batch_id}").alias("note"))
+    write_version(runs.where(F.col("run_id") != run_id).unionByName(row), store.runs, version)
 
 
 def tolerated(step: str, fn, *args) -> None:
@@ -224,56 +220,91 @@ def tolerated(step: str, fn, *args) -> None:
 
 
 # ------------------------------------------------------------------ one batch
-def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int = 0,
-               market_snapshot: bool = True, alerts: bool = True) -> None:
-    """R1 + R2 + R3 for one micro-batch of landed tick pages."""
-    spark = pages.sparkSession
-    rows = ig.normalize_tick(feeds.tick_markets(pages))
-    snap_ts = rows.agg(F.max(ig.parse_ts(F.col("page_ts")))).scalar()
-    run_id = run_base + batch_id + 1
-
-    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=False)
-    # Keyed upsert into a new state version.
-    state = read_current(spark, store.state)
-    new_state = ig.upsert(state, rows, "market_ticker", ["page_ts", "page_no", "pos"], snap_ts,
-                          keep_version=True)
-    write_version(new_state, store.state, batch_id + 1)
-    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=True)
-    cur = read_current(spark, store.state).drop("_v")
-
-    # R2: snapshots of the run, appended if absent.
-    existing_g = read_partitioned(spark, store.global_snap, TICK_GLOBAL)
-    g = sn.snapshot_global_tick(cur, snap_ts, run_id)
-    append_partitioned(sn.admitted_rows(existing_g, g, ["run_id"]), store.global_snap)
-    existing_s = read_partitioned(spark, store.series, TICK_SERIES)
-    s = sn.snapshot_series_tick(cur, snap_ts, run_id)
-    append_partitioned(sn.admitted_rows(existing_s, s, ["snap_ts", "series_ticker"]), store.series)
-    if market_snapshot:
-        existing_m = read_partitioned(spark, store.snapshots, TICK_SNAPSHOT)
-        m = sn.pick_markets_tick(cur, snap_ts, run_id)
-        append_partitioned(sn.admitted_rows(existing_m, m, ["snap_ts", "market_ticker"]), store.snapshots)
-        record_times(spark, store, TICK_SNAPSHOT, "market_ticker")
-
-    if alerts:
-        tolerated("move statistics and alerts", _tick_alerts, spark, store, cur, snap_ts, batch_id)
+@dataclass(frozen=True)
+class VenueJob:
+    """What differs between the venues in one micro-batch."""
+
+    venue: Venue
+    order: list[str]
+    schemas: tuple          # global, group and market snapshot
+    group: str              # store path of the group snapshots
+    take_global: Callable
+    take_group: Callable
+    take_markets: Callable
+
+
+TICK_JOB = VenueJob(TICK, ["page_ts", "page_no", "pos"], (TICK_GLOBAL, TICK_SERIES, TICK_SNAPSHOT), "series",
+                    sn.snapshot_global_tick, sn.snapshot_series_tick, sn.pick_markets_tick)
+PROB_JOB = VenueJob(PROB, ["page_ts", "page_no", "ev_pos", "pos"], (PROB_GLOBAL, PROB_EVENT_SNAPSHOT, PROB_SNAPSHOT),
+                    "event_snaps", sn.snapshot_global_prob, sn.snapshot_events_prob, sn.pick_markets_prob)
+
+
+def _batch(job: VenueJob, store, batch_id: int, rows: DataFrame, runs: list[tuple[str, bool]], upsert_others,
+           run_base: int, market_snapshot: bool, alerts: bool, pick_cap: int | None) -> None:
+    """R1-R3 over the normalised rows of one micro-batch, run by run."""
+    spark, key = rows.sparkSession, job.venue.key
+    rows = rows.persist()
+    try:
+        before = read_current(spark, store.state, upto=batch_id)
+        upsert_others()
+        for i, (page_ts, complete) in enumerate(runs):
+            snap_ts = ig.parse_ts(F.lit(page_ts))
+            run_id = run_number(spark, store, job.schemas[0], snap_ts, run_base)
+            # Versions of the runs table: open and closed row of each run of the batch, below the next batch's.
+            version = (batch_id + 1) * 2 * MOST_RUNS + 2 * i
+            log_run(spark, store, run_id, snap_ts, batch_id, None, version)
+            seen = rows.where(F.col("page_ts") <= page_ts)
+            # Each row's updated_at is its own run's time, also when a batch holds several runs.
+            cur = ig.upsert(before, seen, key, job.order, ig.parse_ts(F.col("page_ts")), keep_version=True)
+            if i == len(runs) - 1:
+                write_version(cur, store.state, batch_id + 1)
+                cur = read_current(spark, store.state, upto=batch_id + 1)
+            mine = cur.where(F.col("_v._o0") == page_ts).agg(F.count(F.lit(1))).scalar()
+            log_run(spark, store, run_id, snap_ts, batch_id, mine, version + 1)
+            cur = cur.drop("_v")
+            write_run(job.take_global(cur, snap_ts, run_id), store.global_snap)
+            write_run(job.take_group(cur, snap_ts, run_id), getattr(store, job.group))
+            if market_snapshot:
+                write_run(job.take_markets(cur, snap_ts, run_id, cap=pick_cap), store.snapshots)
+                taken = read_partitioned(spark, store.snapshots, job.schemas[2]).where(
+                    (F.col("snap_ts") == snap_ts) & (F.col("snap_date") == F.to_date(snap_ts)))
+                write_run(sn.snapshot_times_of(taken), store.times)
+            if alerts and complete:
+                tolerated("move statistics and alerts", _alerts, spark, job, store, cur, snap_ts,
+                          (batch_id + 1) * MOST_RUNS + i)
+    finally:
+        rows.unpersist()
     # Old versions go last: every read of this batch is done by now.
-    for path in (store.state, store.alerts, store.runs):
-        prune_versions(spark, path)
+    for name, own in (("state", 0), ("events", 0), ("alerts", len(runs)), ("move_stats", len(runs)), ("runs", 2 * len(runs))):
+        prune_versions(spark, getattr(store, name), KEEP_VERSIONS + own)
+
+
+def _alerts(spark: SparkSession, job: VenueJob, store, cur: DataFrame, snap_ts, version: int) -> None:
+    """M1/M2 and K6, then R3: statistics over the history, alerts with
+    cooldown; both tables are read below ``version`` and written as it."""
+    venue = job.venue
+    snaps = read_partitioned(spark, store.snapshots, job.schemas[2])
+    times = read_times(spark, store)
+    stored = read_current(spark, store.move_stats, _stats_schema(venue), upto=version - 1)
+    fresh = st.move_stats(snaps, venue, snap_ts, times=times)
+    write_version(st.upsert_move_stats(stored, fresh, venue.key), store.move_stats, version)
+    stats = read_current(spark, store.move_stats, _stats_schema(venue), upto=version)
+    movers = al.all_movers({venue.name: al.movers(snaps, cur, stats, venue, times=times)})
+    alerts_now = read_current(spark, store.alerts, upto=version - 1)
+    fired = al.evaluate(alerts_now, movers, snap_ts).persist()
+    try:
+        write_run(al.append_history(spark.createDataFrame([], ALERT_HISTORY), fired), store.history, "triggered_at")
+        write_version(al.stamp_alerts(alerts_now, fired), store.alerts, version)
+    finally:
+        fired.unpersist()
 
 
-def _tick_alerts(spark: SparkSession, store: TickStore, cur: DataFrame, snap_ts, batch_id: int) -> None:
-    """M1 + R3: statistics over the history, alerts with cooldown."""
-    snaps = read_partitioned(spark, store.snapshots, TICK_SNAPSHOT)
-    times = spark.read.schema(TIMES).parquet(store.times)
-    stats = st.move_stats(snaps, TICK, snap_ts)
-    movers = al.all_movers({TICK.name: al.movers(snaps, cur, stats, TICK, times=times)})
-    alerts_now = read_current(spark, store.alerts)
-    fired = al.evaluate(alerts_now, movers, snap_ts)
-    history = spark.read.schema(ALERT_HISTORY).parquet(store.history)
-    new_hist = al.append_history(history.limit(0), fired)
-    new_hist.join(history.select("history_id"), "history_id", "left_anti") \
-        .write.mode("append").parquet(store.history)
-    write_version(al.stamp_alerts(alerts_now, fired), store.alerts, batch_id + 1)
+def tick_batch(pages: DataFrame, batch_id: int, store: TickStore, run_base: int = 0,
+               market_snapshot: bool = True, alerts: bool = True, pick_cap: int | None = PICK_CAP) -> None:
+    """R1 + R2 + R3 for one micro-batch of landed tick pages.  ``pick_cap``
+    bounds each list of the market snapshot; None takes every market."""
+    _batch(TICK_JOB, store, batch_id, ig.normalize_tick(feeds.tick_markets(pages)), runs_in(pages), lambda: None,
+           run_base, market_snapshot, alerts, pick_cap)
 
 
 # ---------------------------------------------------------------- the stream
@@ -288,14 +319,17 @@ def start_tick_stream(spark: SparkSession, landing: str, store: TickStore, check
     return w.start()
 
 
-def land_pages(pages: DataFrame, landing: str) -> list[str]:
-    """Land a DataFrame of page lines as one text file per run (``page_ts``)
-    in run order, as a feed fetcher would; returns the run times.  The
-    run list is one value per run, bounded by the number of fetches."""
+def land_pages(pages: DataFrame, landing: str, split: int = 1) -> list[str]:
+    """Land a DataFrame of a few runs' page lines as ``split`` text files per
+    run (``page_ts``) in run order, as a feed fetcher would; returns the run
+    times."""
     runs = [r[0] for r in pages.select(F.get_json_object("value", "$.page_ts").alias("t"))
             .distinct().orderBy("t").collect()]
     for t in runs:
-        (pages.where(F.get_json_object("value", "$.page_ts") == t).coalesce(1)
+        mine = pages.where(F.get_json_object("value", "$.page_ts") == t)
+        number = F.get_json_object("value", "$.page_no").cast("long")
+        mine = mine.coalesce(1) if split == 1 else mine.repartitionByRange(split, number)
+        (mine
          .write.mode("append").text(landing))
     return runs
 
@@ -306,7 +340,6 @@ class ProbStore(TickStore):
 
     def initialise(self, spark: SparkSession, state: DataFrame, events: DataFrame,
                    alerts: DataFrame) -> None:
-        from pricescope.schemas import PROB_EVENT_SNAPSHOT, PROB_GLOBAL, PROB_SNAPSHOT
         none = F.lit(None).cast(STATE_VERSION_TYPE)
         write_version(state.withColumn("_v", none), self.state, 0)
         write_version(events.withColumn("_v", none), self.events, 0)
@@ -314,68 +347,28 @@ class ProbStore(TickStore):
         write_version(spark.createDataFrame([], EXPORT_RUNS), self.runs, 0)
         for schema, path in ((PROB_SNAPSHOT, self.snapshots), (PROB_GLOBAL, self.global_snap),
                              (PROB_EVENT_SNAPSHOT, self.event_snaps)):
-            append_partitioned(spark.createDataFrame([], schema), path)
-        spark.createDataFrame([], ALERT_HISTORY).write.mode("append").parquet(self.history)
-        spark.createDataFrame([], TIMES).write.mode("append").parquet(self.times)
+            write_run(spark.createDataFrame([], schema), path)
+        write_run(spark.createDataFrame([], ALERT_HISTORY), self.history, "triggered_at")
+        write_run(spark.createDataFrame([], TIMES), self.times)
+        write_version(spark.createDataFrame([], MOVE_STATS_PROB), self.move_stats, 0)
 
 
 def prob_batch(pages: DataFrame, batch_id: int, store: ProbStore, run_base: int = 0,
-               market_snapshot: bool = True, alerts: bool = True) -> None:
+               market_snapshot: bool = True, alerts: bool = True, pick_cap: int | None = PICK_CAP) -> None:
     """R1 + R2 + R3 for one micro-batch of landed probability pages:
     flatten (I4/I7) and normalise (I2/I9), upsert markets (K2) and events
-    with first-wins inside the run (K3), append N2/N4/N6 snapshots if
-    absent, then M2 statistics and alerts."""
-    from pricescope.schemas import PROB_EVENT_SNAPSHOT, PROB_GLOBAL, PROB_SNAPSHOT
-    from pricescope.venues import PROB
+    with first-wins inside the run (K3), then N2/N4/N6 snapshots, M2
+    statistics and alerts."""
     spark = pages.sparkSession
     flat = ig.flatten_prob(feeds.prob_market_elements(feeds.prob_events(pages)))
-    rows = ig.normalize_prob(flat)
-    snap_ts = flat.agg(F.max(ig.parse_ts(F.col("page_ts")))).scalar()
-    run_id = run_base + batch_id + 1
-    order = ["page_ts", "page_no", "ev_pos", "pos"]
-
-    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=False)
-    state = read_current(spark, store.state)
-    write_version(ig.upsert(state, rows, "condition_id", order, snap_ts, keep_version=True),
-                  store.state, batch_id + 1)
-    events = read_current(spark, store.events)
-    write_version(ig.upsert(events, ig.event_rows(flat), "event_id", order, snap_ts, keep_version=True),
-                  store.events, batch_id + 1)
-    log_run(spark, store, rows, run_id, snap_ts, batch_id, finished=True)
-    cur = read_current(spark, store.state).drop("_v")
-
-    g = sn.snapshot_global_prob(cur, snap_ts, run_id)
-    append_partitioned(sn.admitted_rows(read_partitioned(spark, store.global_snap, PROB_GLOBAL), g,
-                                        ["run_id"]), store.global_snap)
-    e = sn.snapshot_events_prob(cur, snap_ts, run_id)
-    append_partitioned(sn.admitted_rows(read_partitioned(spark, store.event_snaps, PROB_EVENT_SNAPSHOT), e,
-                                        ["snap_ts", "event_id"]), store.event_snaps)
-    if market_snapshot:
-        m = sn.pick_markets_prob(cur, snap_ts, run_id)
-        append_partitioned(sn.admitted_rows(read_partitioned(spark, store.snapshots, PROB_SNAPSHOT), m,
-                                            ["snap_ts", "condition_id"]), store.snapshots)
-        record_times(spark, store, PROB_SNAPSHOT, "condition_id")
-    if alerts:
-        tolerated("move statistics and alerts", _prob_alerts, spark, store, cur, snap_ts, batch_id)
-    # Old versions go last: every read of this batch is done by now.
-    for path in (store.state, store.events, store.alerts, store.runs):
-        prune_versions(spark, path)
-
-
-def _prob_alerts(spark: SparkSession, store: ProbStore, cur: DataFrame, snap_ts, batch_id: int) -> None:
-    """M2 + R3 for the probability venue."""
-    from pricescope.schemas import PROB_SNAPSHOT
-    from pricescope.venues import PROB
-    snaps = read_partitioned(spark, store.snapshots, PROB_SNAPSHOT)
-    times = spark.read.schema(TIMES).parquet(store.times)
-    stats = st.move_stats(snaps, PROB, snap_ts)
-    movers = al.all_movers({PROB.name: al.movers(snaps, cur, stats, PROB, times=times)})
-    alerts_now = read_current(spark, store.alerts)
-    fired = al.evaluate(alerts_now, movers, snap_ts)
-    history = spark.read.schema(ALERT_HISTORY).parquet(store.history)
-    al.append_history(history.limit(0), fired).join(history.select("history_id"), "history_id",
-                                                      "left_anti").write.mode("append").parquet(store.history)
-    write_version(al.stamp_alerts(alerts_now, fired), store.alerts, batch_id + 1)
+
+    def events() -> None:
+        old = read_current(spark, store.events, upto=batch_id)
+        new = ig.upsert(old, ig.event_rows(flat), "event_id", PROB_JOB.order, ig.parse_ts(F.col("page_ts")), keep_version=True)
+        write_version(new, store.events, batch_id + 1)
+
+    _batch(PROB_JOB, store, batch_id, ig.normalize_prob(flat), runs_in(pages), events,
+           run_base, market_snapshot, alerts, pick_cap)
 
 
 def start_prob_stream(spark: SparkSession, landing: str, store: ProbStore, checkpoint: str,

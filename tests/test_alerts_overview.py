@@ -61,10 +61,10 @@ def test_outbox_rendering(spark):
         "price_prev double, move double")
     rows = {r.alert_id: r for r in al.outbox(trig).collect()}
     assert rows[7].subject == "Market alert: " + "x" * 57 + "..."
-    assert "Price Move alert triggered" in rows[7].body
-    assert "Move:      -5 ticks" in rows[7].body and "Current:   55¢" in rows[7].body
+    assert rows[7].body.startswith("Your price move alert on x")
+    assert "a move of -5 ticks" in rows[7].body and "to 55¢" in rows[7].body
     assert rows[8].subject == "Market alert: C1"
-    assert "Current:   46.6%" in rows[8].body and "Move:      +6.6pp" in rows[8].body
+    assert "to 46.6%" in rows[8].body and "a move of +6.6pp" in rows[8].body
 
 
 def test_delivery_write_back(spark):

@@ -30,7 +30,7 @@ def _plan(df):
 
 
 @needs_data
-@pytest.mark.parametrize("name", [n for n in E.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if not n.startswith("stream_")])
 def test_plans_stay_in_the_jvm_and_avoid_cross_products(spark, name):
     df = E.queries()[name](spark, SF)
     plan = _plan(df)

@@ -81,23 +81,78 @@ def test_old_state_versions_are_pruned(spark, tmp_path):
     assert sp.read_current(spark, store.state).where(F.col("market_ticker") == "A").first().yes_bid == 23
 
 
-def test_compaction_of_closed_dates(spark, tmp_path):
+def _tables(spark, store):
+    """Everything the stream leaves for the queries, as sorted rows."""
+    from pricescope.schemas import EXPORT_RUNS
+    got = {n: sp.read_partitioned(spark, getattr(store, n), sch) for n, sch in (
+        ("global_snap", sp.TICK_GLOBAL), ("series", sp.TICK_SERIES), ("snapshots", sp.TICK_SNAPSHOT))}
+    got |= {"times": sp.read_times(spark, store), "history": sp.read_history(spark, store).drop("history_id"),
+            "state": sp.read_current(spark, store.state), "alerts": sp.read_current(spark, store.alerts),
+            "move_stats": sp.read_current(spark, store.move_stats, sp.MOVE_STATS_TICK),
+            "runs": sp.read_current(spark, store.runs, EXPORT_RUNS).drop("note")}
+    return {n: sorted(map(str, df.collect())) for n, df in got.items()}
+
+
+def _page(spark, ts, no, last, markets):
+    return spark.createDataFrame([(json.dumps({"page_ts": ts, "page_no": no, "last": last, "markets": markets}),)], "value string")
+
+
+def test_any_split_of_the_pages_gives_the_same_tables(spark, tmp_path):
+    runs = [[[_m("A", 20), _m("B", 30)], [_m("C", 40)]], [[_m("A", 50)], [_m("B", 70), _m("C", 10)]]]
+    times = ["2024-01-30T12:00:00Z", "2024-01-30T18:00:00Z"]
+    pages = [_page(spark, t_, no, no == 1, ms) for t_, run in zip(times, runs, strict=True) for no, ms in enumerate(run)]
+    want = None
+    for k, groups in enumerate(([[0, 1], [2, 3]], [[0], [1], [2], [3]], [[0, 1, 2, 3]], [[0], [1, 2], [3]])):
+        store = _store(spark, tmp_path / str(k))
+        for b, g in enumerate(groups):
+            batch = pages[g[0]]
+            for j in g[1:]:
+                batch = batch.unionByName(pages[j])
+            sp.tick_batch(batch, b, store)
+        got = _tables(spark, store)
+        want = want or got
+        assert got == want, groups
+    assert any("spread_ticks" in r and "mid=76.0" in r for r in want["snapshots"])
+
+
+def test_late_run_is_recorded_and_a_replay_reads_what_it_read(spark, tmp_path):
     store = _store(spark, tmp_path)
-    for i, hh in enumerate(["00", "06", "12", "18"]):
-        sp.tick_batch(_pages(spark, f"2024-01-30T{hh}:00:00Z", [_m("A", 20 + i), _m("B", 30 + i)]), i, store,
-                      alerts=False)
-    sp.tick_batch(_pages(spark, "2024-01-31T00:00:00Z", [_m("A", 40)]), 4, store, alerts=False)
-    import os
-    day = os.path.join(store.snapshots, "snap_date=2024-01-30")
-    before = sorted(map(tuple, sp.read_partitioned(spark, store.snapshots, sp.TICK_SNAPSHOT).collect()))
-    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) >= 4
-    done = sp.compact_closed_dates(spark, store.snapshots, sp.TICK_SNAPSHOT, "market_ticker", "2024-01-31")
-    assert done == ["2024-01-30"]
-    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) < 4
-    after = sorted(map(tuple, sp.read_partitioned(spark, store.snapshots, sp.TICK_SNAPSHOT).collect()))
-    assert after == before
-    assert sp.compact_closed_dates(spark, store.snapshots, sp.TICK_SNAPSHOT, "market_ticker", "2024-01-31",
-                                   min_files=len(os.listdir(day)) + 1) == []
+    late = _pages(spark, "2024-01-29T18:00:00Z", [_m("A", 15)])
+    sp.tick_batch(_pages(spark, "2024-01-30T18:00:00Z", [_m("A", 40)]), 0, store)
+    sp.tick_batch(late, 1, store)
+    once = _tables(spark, store)
+    assert len(once["times"]) == len(once["global_snap"]) == 2
+    sp.tick_batch(late, 1, store)
+    assert _tables(spark, store) == once
+
+
+def test_queries_read_what_the_stream_wrote(spark, tmp_path):
+    from pricescope.plans import registry
+    from pricescope.sources.tables import from_store
+    store = _store(spark, tmp_path)
+    for i, bid in enumerate((20, 40, 70)):
+        sp.tick_batch(_pages(spark, f"2024-01-30T{6 * i:02d}:00:00Z", [_m("A", bid), _m("B", 30)]), i, store, pick_cap=None)
+    wh = from_store(spark, tick=store)
+    assert wh.as_of == t("2024-01-30 12:00:00")
+    top = registry.PLANS["biggest_moves_tick"](wh).collect()
+    assert (top[0].market_ticker, top[0].mid_prev, top[0].mid_now, top[0].avg_move_24h) == ("A", 46.0, 76.0, 25.0)
+    for name in ("top_changes_tick_mid", "global_deltas_tick", "export_runs_tick", "move_stats_tick", "spread_blowouts",
+                 "mid_moves_tick", "top_events_oi", "alerts_active", "tradability_tick", "vol_index_tick"):
+        assert registry.PLANS[name](wh).collect() is not None
+    # a snapshot appended by another writer is seen at once
+    sp.tick_batch(_pages(spark, "2024-01-30T18:00:00Z", [_m("A", 20), _m("B", 90)]), 3, store, pick_cap=None)
+    again = registry.PLANS["mid_moves_tick"](from_store(spark, tick=store)).collect()
+    assert again[0].market_ticker == "B" and again[0].mid_now == 96.0
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_retention_drops_whole_dates(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    for i, day in enumerate(("2024-01-28", "2024-01-29", "2024-01-30")):
+        sp.tick_batch(_pages(spark, f"{day}T12:00:00Z", [_m("A", 20 + i)]), i, store, alerts=False)
+    assert sp.drop_dates(spark, store.snapshots, "2024-01-29") == ["2024-01-28"]
+    left = sp.read_partitioned(spark, store.snapshots, sp.TICK_SNAPSHOT).select("snap_date").distinct().count()
+    assert left == 2 and sp.drop_dates(spark, store.snapshots, "2024-01-29") == []
 
 
 def test_stream_run_log_and_tolerated_alert_failure(spark, tmp_path):
