@@ -186,6 +186,16 @@ def identify(rows: DataFrame, models: TextModels, settings: Settings = Settings(
                       name("ll").alias("text_lang"), name("prior").alias("prior_lang"))
 
 
+def _documents(docs: DataFrame, key: Column, settings: Settings, text_col: str, declared_col: str, host_col: str) -> DataFrame:
+    """Languages and verdicts of documents under a key of the caller's."""
+    models = fit(docs, text_col, declared_col, settings)
+    host = F.col(f"`{host_col}`").cast("string")
+    rows = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{declared_col}`").alias("declared"),
+                       F.lit(None).cast("string").alias("address"), host.alias("host"), F.substring_index(host, ".", -2).alias("domain"))
+    out = identify(rows, models, settings)
+    return out.withColumn("kept", (F.col("lang") != UND) & (F.col("confidence") >= settings.least))
+
+
 def document_languages(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
                        declared_col: str = "lang", host_col: str = "source") -> DataFrame:
     """doc_id, lang, confidence, text_lang, prior_lang and kept of every document.
@@ -194,14 +204,17 @@ def document_languages(docs: DataFrame, settings: Settings = Settings(), id_col:
     no address.  A document is rejected (``kept`` false) when the posterior
     favours no known language or stays below ``settings.least``.
     """
-    models = fit(docs, text_col, declared_col, settings)
-    none = F.lit(None).cast("string")
-    host = F.col(f"`{host_col}`").cast("string")
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{declared_col}`").alias("declared"),
-                       none.alias("address"), host.alias("host"), F.substring_index(host, ".", -2).alias("domain"))
-    out = identify(rows, models, settings)
-    kept = (F.col("lang") != UND) & (F.col("confidence") >= settings.least)
-    return out.withColumn("kept", kept).withColumnRenamed("id", "doc_id")
+    out = _documents(docs, F.col(f"`{id_col}`"), settings, text_col, declared_col, host_col)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def keep_known(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
+               declared_col: str = "lang", host_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` in a known language, all columns as they are; rows of one id and text stay or go together."""
+    key = F.struct(F.col(f"`{id_col}`").alias("d"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"))
+    out = _documents(docs, key, settings, text_col, declared_col, host_col)
+    lost = cut(out.where("not kept").select(F.col("id.d").alias("_d"), F.col("id.h").alias("_h")).distinct(), "language-rejects")
+    return docs.join(lost, F.col(f"`{id_col}`").eqNullSafe(F.col("_d")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_h")), "left_anti")
 
 
 def _visible(html: Column) -> Column:
