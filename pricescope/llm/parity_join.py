@@ -152,36 +152,43 @@ def _sets(spec: JoinSpec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [shingles(t.as_py(), spec.words) for t in b.column("text")]
-            yield pa.record_batch({"id": b.column("doc_id"), "s": pa.array([s.tobytes() for s in got], pa.binary()),
-                                   "sk": pa.array([bit_sketch(s).tobytes() for s in got], pa.binary())})
+            sk = np.array([bit_sketch(s) for s in got], np.uint64).reshape(len(got), FOLD).view(np.int64)
+            yield pa.record_batch({"id": b.column("doc_id"), "n": pa.array([len(s) for s in got], pa.int64()),
+                                   "s": pa.array([s.tobytes() for s in got], pa.binary()),
+                                   **{f"w{j}": pa.array(sk[:, j]) for j in range(FOLD)}})
     return run
 
 
 def _decide(spec: JoinSpec):
-    """Pairs whose sketches and then whose shingle sets meet the threshold."""
+    """Pairs whose shingle sets meet the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = np.zeros(b.num_rows, bool)
-            for i, row in enumerate(zip(*(b.column(c) for c in ("sa", "sb", "ka", "kb")), strict=True)):
-                sa, sb, ka, kb = (np.frombuffer(x.as_buffer(), "<u8") for x in row)
-                total = len(sa) + len(sb)
-                if np.bitwise_count(ka ^ kb).sum() > spec.differ(total):
-                    continue
-                inter = len(np.intersect1d(sa, sb, assume_unique=True))
-                keep[i] = spec.den * inter >= spec.num * (total - inter)
+            for i, (sa, sb) in enumerate(zip(b.column("sa"), b.column("sb"), strict=True)):
+                x, y = np.frombuffer(sa.as_buffer(), "<u8"), np.frombuffer(sb.as_buffer(), "<u8")
+                inter = len(np.intersect1d(x, y, assume_unique=True))
+                keep[i] = spec.den * inter >= spec.num * (len(x) + len(y) - inter)
             yield b.select(["a", "b"]).filter(pa.array(keep))
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, spec: JoinSpec, name: str) -> DataFrame:
-    """The pairs (a, b) of document ids that link, decided on whole shingle sets."""
+def _near(spec: JoinSpec):
+    """Length filter and Hamming bound of the sketches x0.. and y0.. of sets of na and nb shingles."""
+    apart = sum((F.bit_count(F.col(f"x{j}").bitwiseXOR(F.col(f"y{j}"))) for j in range(FOLD)), F.lit(0))
+    return ((F.least("na", "nb") * spec.den >= F.greatest("na", "nb") * spec.num)
+            & (apart * (spec.den + spec.num) <= (F.col("na") + F.col("nb")) * (spec.den - spec.num)))
+
+
+def _side(sets: DataFrame, key: str, size: str, word: str) -> DataFrame:
+    """Sketches under the names of one side of a pair."""
+    return sets.select(F.col("id").alias(key), F.col("n").alias(size), *[F.col(f"w{j}").alias(f"{word}{j}") for j in range(FOLD)])
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, spec: JoinSpec, name: str) -> DataFrame:
+    """The pairs (a, b) of ids that link, decided on whole shingle sets."""
     pairs = cut(pairs, f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = cut(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(spec), "id long, s binary, sk binary"),
-               f"{name}-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"), F.col("sk").alias("ka"))
-    right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"), F.col("sk").alias("kb"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(_decide(spec), "a long, b long")
+    left, right = (sets.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
+    return pairs.join(right, "b").join(left, "a").mapInArrow(_decide(spec), "a long, b long").distinct()
 
 
 def parity_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id",
@@ -207,11 +214,14 @@ def parity_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc
     many = cut(blocks.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi"),
                "parity-buckets")
     held = cut(blocks.join(many, "key"), "parity-held")
-    # One text per id for the exact check; a repeated id keeps the set of its first class.
-    texts = docs.where("doc_id is not null")
+    # Whole sets of the documents that share a block with another, for every later check.
+    sets = cut(docs.join(held.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+               .mapInArrow(_sets(spec), "id long, n long, s binary, " + ", ".join(f"w{j} long" for j in range(FOLD))),
+               "parity-sets")
     stars = (held.select(F.col("lo").alias("a"), F.col("rep").alias("b"))
              .union(held.select(F.col("rep").alias("a"), F.col("hi").alias("b"))).where("a < b").distinct())
-    links = cut(_verified(texts, stars, spec, "parity-star").distinct(), "parity-links")
+    stars = stars.join(_side(sets, "b", "nb", "y"), "b").join(_side(sets, "a", "na", "x"), "a").where(_near(spec))
+    links = cut(_verified(sets, stars.select("a", "b").distinct(), spec, "parity-star"), "parity-links")
     label = components(links, "parity-stars")
     open_rows = (held.select("key", "rep").distinct()
                  .join(label.withColumnRenamed("node", "rep"), "rep", "left")
@@ -222,7 +232,7 @@ def parity_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc
     rest = cut(open_rows.join(unsettled, "key"), "parity-rest")
     left = rest.select("key", F.col("rep").alias("a"), F.col("c").alias("ca"))
     right = rest.select("key", F.col("rep").alias("b"), F.col("c").alias("cb"))
-    more = _residual(texts, left, right, spec)
+    more = _residual(sets, left, right, spec)
     links = links.union(more)
     same = feats.where("n > 0 and doc_id is not null").join(classes, ["sig_a", "sig_b", "n"])
     same = cut(same.select("doc_id", "n", "rep"), "parity-members")
@@ -234,31 +244,13 @@ def parity_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc
                     F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def _residual(docs: DataFrame, left: DataFrame, right: DataFrame, spec: JoinSpec) -> DataFrame:
+def _residual(sets: DataFrame, left: DataFrame, right: DataFrame, spec: JoinSpec) -> DataFrame:
     """Links among bucket members that the stars left in different components.
 
     Each row carries its set's size and folded sketch, and the join itself
     keeps only pairs within the Hamming bound.
     """
-    ids = left.select(F.col("a").alias("doc_id")).distinct()
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [shingles(t.as_py(), spec.words) for t in b.column("text")]
-            sk = np.array([bit_sketch(s) for s in got], np.uint64).reshape(len(got), FOLD).view(np.int64)
-            yield pa.record_batch({"id": b.column("doc_id"), "n": pa.array([len(s) for s in got], pa.int64()),
-                                   **{f"w{j}": pa.array(sk[:, j]) for j in range(FOLD)}})
-
-    sk = cut(docs.join(ids, "doc_id", "left_semi")
-             .mapInArrow(fold, "id long, n long, " + ", ".join(f"w{j} long" for j in range(FOLD))), "parity-folds")
-    one = sk.select(F.col("id").alias("a"), F.col("n").alias("na"),
-                    *[F.col(f"w{j}").alias(f"x{j}") for j in range(FOLD)])
-    two = sk.select(F.col("id").alias("b"), F.col("n").alias("nb"),
-                    *[F.col(f"w{j}").alias(f"y{j}") for j in range(FOLD)])
-    x, y = cut(left.join(one, "a"), "parity-left"), cut(right.join(two, "b"), "parity-right")
-    apart = sum((F.bit_count(F.col(f"x{j}").bitwiseXOR(F.col(f"y{j}"))) for j in range(FOLD)), F.lit(0))
-    near = ((x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"])
-            & (F.least("na", "nb") * spec.den >= F.greatest("na", "nb") * spec.num)
-            & (apart * (spec.den + spec.num) <= (F.col("na") + F.col("nb")) * (spec.den - spec.num)))
-    pairs = x.join(y, near).select("a", "b").distinct()
-    return _verified(docs, pairs, spec, "parity-rest").distinct()
+    x = cut(left.join(_side(sets, "a", "na", "x"), "a"), "parity-left")
+    y = cut(right.join(_side(sets, "b", "nb", "y"), "b"), "parity-right")
+    near = (x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _near(spec)
+    return _verified(sets, x.join(y, near).select("a", "b").distinct(), spec, "parity-rest")
