@@ -28,7 +28,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pricescope.plans import registry  # noqa: E402
 from pricescope.session import build_session, checkpoint_root  # noqa: E402
-from pricescope.sources.fixtures import AS_OF  # noqa: E402
 from pricescope.sources.tables import from_testdata, write_parquet  # noqa: E402
 
 SKIP_PREFIX = ("stream_",)
@@ -48,7 +47,7 @@ def main() -> None:
     root = f"{checkpoint_root(spark)}/bench-{uuid.uuid4().hex[:8]}"
 
     t0 = time.time()
-    wh = write_parquet(from_testdata(spark, sf_dir, persist=True), root, as_of=AS_OF)
+    wh = write_parquet(from_testdata(spark, sf_dir, persist=True), root)
     build = time.time() - t0
 
     cold, warm, failed = {}, {}, {}
@@ -66,18 +65,12 @@ def main() -> None:
             failed[name] = str(e)[:200]
     streams = {}
     if os.environ.get("BENCH_STREAMS", "1") != "0" and not only:
-        from pricescope.plans.registry import _run_stream
-        from pricescope.session import checkpoint_root as _root
-        from pricescope.streaming import pipeline as sp
+        from pricescope.plans.registry import _run_prob_stream, _run_stream
         t = time.time()
         _run_stream(wh, alerts=True)
         streams["tick_stream_end_to_end"] = round(time.time() - t, 3)
         t = time.time()
-        store = sp.ProbStore(f"{_root(spark)}/bench-prob-{uuid.uuid4().hex[:8]}/tables")
-        store.initialise(spark, wh.prob_state, wh.prob_events, wh.alerts)
-        land = f"{store.root}/../landing"
-        sp.land_pages(wh.prob_pages, land)
-        sp.start_prob_stream(spark, land, store, f"{store.root}/../checkpoint").awaitTermination()
+        _run_prob_stream(wh, alerts=True)
         streams["prob_stream_end_to_end"] = round(time.time() - t, 3)
     total = round(sum(warm.values()), 3)
     out = {"metric": "total_warm_query_sec", "value": total, "unit": "sec", "queries": warm,

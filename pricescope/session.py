@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,14 +67,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    operator (a shared filesystem path).  Only when it is unset -- local
-    runs and tests -- a per-user folder under the local temp directory is
-    registered (stable across sessions, so materialised test tables can be
-    reused).
+    operator (a shared filesystem path); without it a cluster session is an
+    error.  Only a session of this one machine -- local runs and tests --
+    falls back to a per-user folder under the local temp directory (stable
+    across sessions, so materialised test tables can be reused).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = os.path.join(tempfile.gettempdir(), f"pricescope-ckpt-{os.getuid()}")
         os.makedirs(d, exist_ok=True)
