@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents by 3-word shingle Jaccard of at least 0.9, per document."""
-    spec = pj.JoinSpec(words=3, num=90, den=100)
+    spec = pj.JoinSpec(words=3, num=90, den=100, slack=0.0)
     return pj.parity_join(table(spark, sf_dir, "documents"), spec)
 
 
@@ -60,6 +60,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = labels.where("toxic = 1").select(F.lit("delete").alias("op"), "doc_id", *[F.lit(None).cast("string").alias(c) for c in ("text", "source", "lang")])
     low = labels.where("quality = 0 and toxic = 0").select("doc_id").distinct()
     plain = F.btrim(F.regexp_replace("text", r"\s+", " "))
+    # Up to a million ids of 8 bytes are broadcast; beyond that the join deals the texts out by id.
+    low = F.broadcast(low) if low.count() <= 1_000_000 else low
     revise = docs.join(low, "doc_id", "left_semi").select(F.lit("revise").alias("op"), "doc_id", plain.alias("text"), "source", "lang")
     store = tc.CountStore(spark, scratch(spark, "token-counts"), {"byte_bpe_50k": public_tokenizers.path("byte_bpe_50k.tiktoken")})
     for batch, changes in ((1, insert), (2, gone.unionByName(revise)), (1, insert)):
