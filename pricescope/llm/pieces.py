@@ -1,19 +1,23 @@
-"""SentencePiece encoding and decoding by Aho-Corasick and Viterbi (operator 8).
+"""SentencePiece encoding and decoding by Aho-Corasick, with Viterbi or merges by the model's kind (operator 8).
 
 The vocabulary's pieces form an Aho-Corasick automaton.  One pass over the
 text meets, at each position, every piece that ends there (the state's own
-piece and those along its output links) and relaxes the best score of a
-segmentation up to that position: the single-pass Viterbi search for the
-pieces with the greatest sum of scores.  Characters that no piece covers are
-spelt by byte pieces.
+piece and those along its output links).  The scores of a unigram model are
+log-probabilities: the pass relaxes the best score of a segmentation up to
+each position, the single-pass Viterbi search for the pieces with the
+greatest sum of scores.  Those of a BPE model are minus merge ranks, whose
+sum means nothing: there the pass finds the places that no piece spans, and
+the characters between are merged in the order of the ranks.  Characters
+that no piece covers are spelt by byte pieces.
 
 No piece joins a character to a following space mark, so a text is cut
 before each run of marks and around line ends, and the best segmentation of
-the text is that of its parts in order; short parts are remembered.
+the text is that of its parts in order, by either method; short parts are remembered.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -30,7 +34,7 @@ REMEMBER, SHORT = 400_000, 48
 
 
 class PieceCoder(dict):
-    """Encodes texts to ids and back; a dict of parts already encoded (ids as int32 bytes)."""
+    """Encodes texts to ids by Viterbi and back; a dict of parts already encoded (ids as int32 bytes)."""
 
     def __init__(self, path: str):
         import ahocorasick
@@ -83,8 +87,12 @@ class PieceCoder(dict):
                 n -= size
         return out[::-1]
 
+    def segment(self, part: str) -> list[int]:
+        """Ids of a part by the method of this coder."""
+        return self.viterbi(part)
+
     def __missing__(self, part: str) -> bytes:
-        got = np.array(self.viterbi(part), "<i4").tobytes()
+        got = np.array(self.segment(part), "<i4").tobytes()
         if len(part) <= SHORT:
             if len(self) >= REMEMBER:
                 self.clear()
@@ -104,9 +112,69 @@ class PieceCoder(dict):
         return b"".join(self.raw[ids].tolist())[1:].decode("utf-8", "replace")
 
 
+class MergeCoder(PieceCoder):
+    """Encodes by merges as SentencePiece does for BPE: the adjacent pair of the greatest score first, of equal ones the leftmost."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.piece = {p: (-score, i) for p, (i, _, score) in self.auto.items()}
+
+    def segment(self, part: str) -> list[int]:
+        n = len(part)
+        inside = bytearray(n + 1)  # 1 where a piece holds the character and the one before
+        for last, (_, size, _) in self.auto.iter(part):
+            if size > 1:
+                inside[last - size + 2:last + 1] = b"\1" * (size - 1)
+        out, start = [], 0
+        while start < n:
+            end = inside.find(0, start + 1)
+            out.extend(self.merge(part[start:end]))
+            start = end
+        return out
+
+    def merge(self, run: str) -> list[int]:
+        """Ids of a run of characters merged until no adjacent pair is a piece."""
+        n, piece = len(run), self.piece
+        size, before = [1] * n, list(range(-1, n - 1))
+        heap = [(piece[run[k:k + 2]][0], k, 2) for k in range(n - 1) if run[k:k + 2] in piece]
+        heapq.heapify(heap)
+        while heap:
+            _, at, whole = heapq.heappop(heap)
+            right = at + size[at]
+            if not size[at] or right >= n or size[at] + size[right] != whole:
+                continue  # one of the pair has been merged otherwise
+            size[at], size[right] = whole, 0
+            after = at + whole
+            if after < n:
+                before[after] = at
+                if got := piece.get(run[at:after + size[after]]):
+                    heapq.heappush(heap, (got[0], at, whole + size[after]))
+            if at:
+                left = before[at]
+                if got := piece.get(run[left:after]):
+                    heapq.heappush(heap, (got[0], left, after - left))
+        out, at = [], 0
+        while at < n:
+            if got := piece.get(run[at:at + size[at]]):
+                out.append(got[1])
+            else:
+                out.extend(self.byte[x] for x in run[at].encode())
+            at += size[at]
+        return out
+
+
+def piece_coder(path: str) -> PieceCoder:
+    """The coder for a model: merges for BPE, else Viterbi."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    model = pb.ModelProto()
+    with open(path, "rb") as f:
+        model.ParseFromString(f.read())
+    return (MergeCoder if model.trainer_spec.model_type == pb.TrainerSpec.BPE else PieceCoder)(path)
+
+
 def _coder(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(model)
+        coder = piece_coder(model)
         spelt = np.zeros(len(coder.raw), bool)
         spelt[list(coder.byte.values())] = True
         for b in batches:
@@ -135,7 +203,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 def decode_pieces(rows: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, text) of rows of ids; null ids give a null text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(model)
+        coder = piece_coder(model)
         for b in batches:
             text = [None if x is None else coder.decode(np.array(x, np.int64)) for x in b.column("ids").to_pylist()]
             yield pa.record_batch({"doc_id": b.column("doc_id"), "text": pa.array(text, pa.string())})

@@ -77,3 +77,38 @@ def test_nulls_repeats_and_empty_table(spark):
     out = sorted((tuple(r) for r in pc.encode_pieces(df, MODEL).collect()), key=str)
     assert (1, None, 0, 0, None) in out and (1, [], 0, 0, True) in out and len(out) == 4
     assert pc.encode_pieces(df.limit(0), MODEL).collect() == []
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def merger():
+    return pc.piece_coder(MODEL)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_bpe_ids_are_the_librarys(merger, library, text):
+    text = text.replace("▁", "")  # a space mark in the text is spelt by bytes here, so that decoding is exact
+    assert isinstance(merger, pc.MergeCoder)
+    assert merger.encode(text).tolist() == library.encode(text)
+
+
+def test_bpe_documents_have_the_librarys_ids(spark, merger, library):
+    from pricescope.llm import queries
+    assert [library.id_to_piece(int(i)) for i in merger.encode("The Device is working")] == ["▁The", "▁Device", "▁is", "▁working"]
+    texts = {r[0]: r[1] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    out = {r["doc_id"]: r["ids"] for r in queries.op8_pieces(spark, SF).collect()}
+    assert all(out[i] == library.encode(t) for i, t in texts.items() if "▁" not in t)
+
+
+def test_long_runs_and_marks_merge_exactly(merger, library):
+    for text in ("a" * 5000, " " * 3001, "abcdéfghij🙂" * 2000, "the" * 3000 + "  \n\n   x", "日本語の文" * 500):
+        assert merger.encode(text).tolist() == library.encode(text)
+        assert merger.decode(merger.encode(text)) == text
+    text = "a▁b ▁▁"
+    assert merger.decode(merger.encode(text)) == text
