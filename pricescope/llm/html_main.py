@@ -38,6 +38,16 @@ DROPPED_WORDS = set("nav navbar navigation menu header footer sidebar aside noti
                     "advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus replies "
                     "share sharing social related breadcrumb breadcrumbs subscribe subscription newsletter popup modal login "
                     "signup widget masthead toolbar pagination pager skip".split())
+#: Words that may stand beside a dropped word in a class or id; with any other word ("has-sidebar") the name says something else.
+PLACE_WORDS = set("site page main top bottom left right upper lower primary secondary global local inner outer container wrapper wrap "
+                  "box bar list area block section region item content links menus buttons icons text".split())
+#: Elements that the share of the running text cannot save.
+NEVER_MAIN = set("nav footer menu dialog button select notice notices cookie cookies consent gdpr banner ad ads advert adverts "
+                 "advertisement advertising sponsor sponsored promo promotion comment comments disqus replies share sharing social "
+                 "related breadcrumb breadcrumbs subscribe subscription newsletter popup modal login signup navbar navigation "
+                 "pagination pager".split())
+#: A block of at least so many characters outside links is running text.
+PROSE = 40
 CONTAINERS = set("article main section div td body".split())
 #: An open element of the value set ends when the key opens.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -87,34 +97,45 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             i = j + 1
 
 
-def _named(tag: str, attrs: str) -> tuple[str, bool]:
-    """(path step, dropped): the tag with its generalised classes, and whether the element is not main text."""
+def _furniture(name: str) -> set[str]:
+    """The dropped words a class or id consists of, besides words of place and shape; empty if it has any other word."""
+    if (whole := name.lower().strip("-_0123456789")) in DROPPED_WORDS:
+        return {whole}
+    words = {w.lower() for w in _WORD.findall(name) if not w.isdigit()}
+    return words & DROPPED_WORDS if words <= DROPPED_WORDS | PLACE_WORDS else set()
+
+
+def _named(tag: str, attrs: str) -> tuple[str, bool, bool]:
+    """(path step, dropped, never main text): the tag with its generalised classes, and what its tag and attributes say."""
     if not attrs or "=" not in attrs:
-        return tag, tag in DROPPED or attrs.strip().lower() == "hidden"
+        return tag, tag in DROPPED or attrs.strip().lower() == "hidden", tag in NEVER_MAIN
     got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     classes = got.get("class", "").split()
     step = ".".join([tag, *sorted({_NUMBER.sub("#", c) for c in classes})])
     if tag in ("html", "body", "article", "main"):
-        return step, False
-    named = f"{got.get('class', '')} {got.get('id', '')}"
-    words = {w.lower() for w in _WORD.findall(named)} | set(re.split("[^a-z]+", named.lower()))
-    return step, bool(tag in DROPPED or words & DROPPED_WORDS or got.get("role", "").lower() in DROPPED_ROLES or "hidden" in got)
+        return step, False, False
+    words = set().union(*map(_furniture, [*classes, *got.get("id", "").split()]))
+    dropped = bool(tag in DROPPED or words or got.get("role", "").lower() in DROPPED_ROLES or "hidden" in got)
+    return step, dropped, tag in NEVER_MAIN or bool(words & NEVER_MAIN) or "hidden" in got
 
 
-def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
-    """(path, text, characters inside links) of every block outside dropped elements, in page order."""
-    stack: list[tuple[str, str, bool]] = []  # tag, step, dropped here or above
-    buf: list[str] = []
-    linked = links = 0
-    path: tuple[str, ...] = ()
-
-    def flush():
-        nonlocal linked
-        text = " ".join("".join(buf).split())
-        got = (path, text, linked)
-        buf.clear()
-        linked = 0
-        return got if text else None
+def _scan(page: str) -> tuple[list[tuple], list[list[bool]], bool]:
+    """Blocks, dropped elements, and whether an article or main stands outside these.
+
+    A block is (path, [(text, characters inside links, dropped elements
+    around it)]); a dropped element is [never main text, holds an article,
+    holds a main].
+    """
+    stack: list[tuple[str, str, tuple[int, ...]]] = []  # tag, step, dropped elements here and above
+    buf: list[tuple[str, int, tuple[int, ...]]] = []
+    found: list[tuple] = []
+    gone: list[list[bool]] = []
+    links, outside = 0, False
+
+    def flush() -> None:
+        if buf:
+            found.append((tuple(s[1] for s in stack if s[0] not in INLINE), buf.copy()))
+            buf.clear()
 
     def leave(at: int) -> None:
         nonlocal links
@@ -122,21 +143,16 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         del stack[at:]
 
     for kind, what, attrs in tokens(page):
+        above = stack[-1][2] if stack else ()
         if kind == "text":
-            if not (stack and stack[-1][2]):
-                if not buf:
-                    path = tuple(s[1] for s in stack if s[0] not in INLINE)
-                text = entities.unescape(what) if "&" in what else what
-                buf.append(text)
-                if links:
-                    linked += len(text.strip())
+            text = entities.unescape(what) if "&" in what else what
+            buf.append((text, len(text.strip()) if links else 0, above))
             continue
-        if what not in INLINE or what == "br":
-            if what == "br":
-                buf.append(" ")
-                continue
-            if got := flush():
-                yield got
+        if what == "br":
+            buf.append((" ", 0, above))
+            continue
+        if what not in INLINE:
+            flush()
         if kind == "open":
             if what not in INLINE:
                 ends = CLOSES.get(what, set()) | {"p"}
@@ -148,8 +164,16 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
                         break
             if what in VOID or attrs.endswith("/") and what not in CONTAINERS | {"p"}:
                 continue
-            step, dropped = _named(what, attrs)
-            stack.append((what, step, dropped or bool(stack and stack[-1][2])))
+            step, dropped, never = _named(what, attrs)
+            above = stack[-1][2] if stack else ()
+            if what in ("article", "main"):
+                outside |= not above
+                for i in above:
+                    gone[i][1 if what == "article" else 2] = True
+            if dropped:
+                gone.append([never, False, False])
+                above = (*above, len(gone) - 1)
+            stack.append((what, step, above))
             links += what == "a"
         else:
             for at in range(len(stack) - 1, -1, -1):
@@ -158,8 +182,39 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
                     break
                 if what in INLINE and stack[at][0] not in INLINE:
                     break
-    if got := flush():
-        yield got
+    flush()
+    return found, gone, outside
+
+
+def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
+    """(path, text, characters inside links) of every block outside dropped elements, in page order.
+
+    An element is not dropped after all if it holds a main, or the page's
+    articles while none stands outside, or, on a page with neither outside,
+    more than half of the running text; what is never main text (comments,
+    notices, adverts, menus) only goes by the first two.
+    """
+    found, gone, outside = _scan(page)
+    lost = {i for i, (_, article, main) in enumerate(gone) if not (main or article and not outside)}
+    if lost and not outside:
+        total, inside = 0, [0] * len(gone)
+        for _, parts in found:
+            prose = _prose(" ".join("".join(p[0] for p in parts).split()), sum(p[1] for p in parts))
+            total += prose
+            for i in parts[0][2] if prose else ():
+                inside[i] += prose
+        lost -= {i for i in lost if not gone[i][0] and 2 * inside[i] > total}
+    for path, parts in found:
+        if lost:
+            parts = [p for p in parts if not p[2] or lost.isdisjoint(p[2])]
+        if text := " ".join("".join(p[0] for p in parts).split()):
+            yield path, text, sum(p[1] for p in parts)
+
+
+def _prose(text: str, linked: int) -> int:
+    """Characters of running text of a block: none below ``PROSE``."""
+    worth = len(text) - 2 * linked
+    return worth if worth >= PROSE else 0
 
 
 def best_path(page: str | None) -> tuple[str, float]:

@@ -74,3 +74,23 @@ def test_given_pages_keep_their_articles(spark):
         body = pages[r["page_id"]].split("<article>")[1].split("</article>")[0]
         plain = html.unescape(__import__("re").sub("<[^>]*>", " ", body))
         assert "".join(r["text"].split()) == "".join(plain.split())
+
+
+LONG = "A sentence of running text that belongs to the page's own article. "
+
+
+def test_names_with_a_dropped_word_inside_keep_the_article():
+    for open_, close in (("<div class='content has-sidebar'>", "</div>"), ("<div id='page-with-header'>", "</div>"),
+                         ("<div class='post-ad-free'>", "</div>"), ("<form>", "</form>"), ("<div class=sidebar>", "</div>")):
+        for inner in (f"<article><p>{LONG * 3}</p></article>", f"<div class=text><p>{LONG * 3}</p></div>"):
+            page = f"<html><body><nav><p>{LONG}</p></nav>{open_}<div class='site-header'>Name</div>{inner}{close}</body></html>"
+            assert hm.extract(page, hm.best_path(page)[0]) == (LONG * 3).strip(), page
+
+
+def test_comments_and_notices_stay_dropped_beside_an_article():
+    for noise in (f"<section id=comments><article class=comment>{LONG * 9}</article></section>", f"<aside><p>{LONG * 9}</p></aside>",
+                  f"<div class=cookie-bar>{LONG * 9}</div>", f"<div class='site-footer'>{LONG * 9}</div>"):
+        page = f"<body><article><p>{LONG}</p></article>{noise}</body>"
+        assert [t for _, t, _ in hm.blocks(page)] == [LONG.strip()]
+    page = f"<body><div class=post><p>{LONG}</p></div><div class='comment-list'>{LONG * 9}</div></body>"
+    assert hm.extract(page, None) == LONG.strip()
