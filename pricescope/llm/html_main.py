@@ -5,6 +5,9 @@ best one's path, tags and classes with numbers generalised, is the page's
 vote.  Spark counts the votes per host, and every page is extracted again at
 its host's winning path; a page without that path uses its own best one.
 
+A container is widened to the one around it while the text that adds is
+running text, so an introduction or an end in containers of their own stays.
+
 Main text leaves out menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments.  Character references are
 decoded, white space inside a block becomes one space, and the blocks are
@@ -218,9 +221,10 @@ def _prose(text: str, linked: int) -> int:
 
 
 def best_path(page: str | None) -> tuple[str, float]:
-    """Path of the container whose blocks hold the most running text, and its score."""
+    """Path of the container whose blocks hold the most running text, widened to what it is part of, and its score."""
     score: dict[tuple[str, ...], float] = defaultdict(float)
-    for path, text, linked in blocks(page or ""):
+    got = list(blocks(page or ""))
+    for path, text, linked in got:
         at = [i for i, s in enumerate(path) if s.split(".")[0] in CONTAINERS]
         worth = max(0, len(text) - 2 * linked)
         for rank, i in enumerate(reversed(at[-3:])):  # the nearest container counts most
@@ -230,7 +234,24 @@ def best_path(page: str | None) -> tuple[str, float]:
     top, worth = min(score.items(), key=lambda x: (-x[1], x[0]))
     # An article or main element around the densest container is the whole of what it is part of.
     whole = [i for i, s in enumerate(top) if s.split(".")[0] in ("article", "main")]
-    return ">".join(top[:whole[-1] + 1] if whole else top), worth
+    return ">".join(top[:whole[-1] + 1] if whole else _widened(top, got)), worth
+
+
+def _widened(top: tuple[str, ...], got: list[tuple[tuple[str, ...], str, int]]) -> tuple[str, ...]:
+    """The outermost container around ``top`` whose text outside of what is inside it so far is running text.
+
+    That is: more of it stands outside links than inside, and it has a block
+    of ``PROSE`` characters, or below body any block of the container's own
+    (a heading beside the containers, say).
+    """
+    for i in range(len(top) - 2, -1, -1):
+        if (tag := top[i].split(".")[0]) not in CONTAINERS:
+            continue
+        rest = [(p, t, linked) for p, t, linked in got if p[:i + 1] == top[:i + 1] and p[:len(top)] != top]
+        own = [p for p, t, linked in rest if tag != "body" and linked == 0 and not any(s.split(".")[0] in CONTAINERS for s in p[i + 1:])]
+        if sum(len(t) - 2 * linked for _, t, linked in rest) > 0 and (own or any(_prose(t, linked) for _, t, linked in rest)):
+            top = top[:i + 1]
+    return top
 
 
 def extract(page: str | None, path: str | None, own: str | None = None) -> str:

@@ -94,3 +94,15 @@ def test_comments_and_notices_stay_dropped_beside_an_article():
         assert [t for _, t, _ in hm.blocks(page)] == [LONG.strip()]
     page = f"<body><div class=post><p>{LONG}</p></div><div class='comment-list'>{LONG * 9}</div></body>"
     assert hm.extract(page, None) == LONG.strip()
+
+
+def test_split_articles_without_article_or_main_stay_whole(spark):
+    lead, rest, end = "An introduction of the article " * 4, LONG * 15, "The end of the article comes here. " * 3
+    split = (f"<div class=post><h1>Title</h1><div class=intro><p>{lead}</p></div><div class=body><p>{rest}</p></div>"
+             f"<div class=end><p>{end}</p></div></div>")
+    links = "<div class=more><a href=/a>One more page of this site to read</a><a href=/b>Another page of this site to read</a></div>"
+    want = "\n".join(x.strip() for x in ("Title", lead, rest, end))
+    rows = [(1, "http://a/1", f"<body>{split}{links}</body>"), (2, "http://b/1", f"<body><div class=page>{links}{split}</div></body>"),
+            (3, "http://c/1", f"<body><p>{lead}</p><div class=x><p>{rest}</p></div></body>")]
+    out = {r["page_id"]: r["text"] for r in hm.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {1: want, 2: want, 3: f"{lead.strip()}\n{rest.strip()}"}
