@@ -7,9 +7,11 @@ counted over the corpus by grouped aggregation of what the row's own evidence
 says, and smoothed hierarchically: a host towards its domain, a domain
 towards the corpus.  A row's own evidence is left out of its prior.
 
-The trigram models are fitted on a bounded sample of labelled rows
-(``Settings.rows_per_language`` expected rows of each language); everything
-else covers all rows and whole texts.  ``und`` is a language of its own with
+Every label has a trigram model, fitted on a bounded sample of its labelled
+rows: the first ``Settings.sample_chars`` characters of at most
+``Settings.rows_per_language`` distinct texts, those of the smallest hashes.
+Everything else covers all rows and whole texts; a row's evidence is one
+number a label, so time and memory grow with the number of labels.  ``und`` is a language of its own with
 uniform trigrams: texts without letters, or in no language known, end there.
 """
 
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricescope.llm.common import cut
@@ -96,26 +98,51 @@ class TextModels:
         return (total - total.max()) * min(1.0, settings.grams / len(g))
 
 
-def fit(labelled: DataFrame, text_col: str, lang_col: str, settings: Settings) -> TextModels:
-    """Trigram models of the languages labelled, from a sample of whole rows chosen by a hash of their text."""
+def sample(labelled: DataFrame, text_col: str, lang_col: str, settings: Settings) -> DataFrame:
+    """(lang, text): of every label the ``rows_per_language`` distinct texts of the smallest hashes, cut to ``sample_chars``.
+
+    A group of copies is one text, and the same rows give the same sample.
+    """
     rows = labelled.select(F.col(f"`{text_col}`").alias("text"), F.lower(F.trim(F.col(f"`{lang_col}`"))).alias("lang"))
-    rows = rows.where(f"text is not null and lang is not null and lang not in ('', '{UND}')")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
-    langs = sorted(counts)
+    rows = rows.where(f"text is not null and lang is not null and lang not in ('', '{UND}')").withColumn("h", F.xxhash64("text"))
+    counts = cut(rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).groupBy("lang").agg(F.count("*").alias("n")), "language-labels")
+    # Twice the rows wanted are expected to pass, so that the order below sees few rows of any label.
+    share = F.least(F.lit(1.0), 2.0 * settings.rows_per_language / F.col("n"))
+    picked = rows.join(F.broadcast(counts), "lang").where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    texts = picked.groupBy("lang", "h").agg(F.min(F.substring("text", 1, settings.sample_chars)).alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")
+    return texts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= settings.rows_per_language).select("lang", "text")
+
+
+def _slots(slots: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: dict[str, np.ndarray] = {}
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
+                n = np.bincount(grams(text, slots), minlength=slots)
+                found[lang] = found[lang] + n if lang in found else n
+            for lang, n in found.items():
+                at = np.flatnonzero(n)
+                yield pa.record_batch({"lang": pa.array([lang] * len(at), pa.string()), "slot": pa.array(at, pa.int32()),
+                                       "n": pa.array(n[at], pa.int64())})
+    return run
+
+
+def fit(labelled: DataFrame, text_col: str, lang_col: str, settings: Settings) -> TextModels:
+    """Trigram models of all labels, each from its ``sample``; trigrams are counted in Spark, the driver holds ``slots`` numbers a label."""
+    texts = cut(sample(labelled, text_col, lang_col, settings), "language-sample")
+    langs = sorted(r["lang"] for r in texts.select("lang").distinct().collect())
     if not langs:
         return TextModels([UND], np.full((1, settings.slots), -np.log(settings.slots), np.float32))
-    share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, settings.rows_per_language / counts[k]))])
-    pick = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.get(F.array(share), F.lit(0))[F.col("lang")] * (1 << 20)
-    sample = (rows.where(F.col("lang").isin(langs)).where(pick).select("lang", F.substring("text", 1, settings.sample_chars).alias("text"))
-              .limit(2 * settings.rows_per_language * len(langs)).collect())
-    found = np.zeros((len(langs), settings.slots))
-    for lang, text in sample:
-        g = grams(text, settings.slots)
-        found[langs.index(lang)] += np.bincount(g, minlength=settings.slots)
-    found += settings.smooth
-    logp = np.log(found / found.sum(axis=1, keepdims=True))
-    uniform = np.full((1, settings.slots), -np.log(settings.slots))
-    return TextModels([*langs, UND], np.vstack([logp, uniform]).astype(np.float32))
+    at = {lang: i for i, lang in enumerate(langs)}
+    logp = np.full((len(langs) + 1, settings.slots), settings.smooth, np.float32)
+    counts = texts.mapInArrow(_slots(settings.slots), "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    for b in counts.toArrow().to_batches():
+        logp[[at[x] for x in b.column("lang").to_pylist()], b.column("slot").to_numpy()] += b.column("n").to_numpy()
+    logp[-1] = 1.0
+    for row in logp:
+        row[:] = np.log(row / row.sum(dtype=np.float64))
+    return TextModels([*langs, UND], logp)
 
 
 def _scores(models: TextModels, settings: Settings):
@@ -135,9 +162,15 @@ def _says(code: Column, langs: list[str], right: float) -> Column:
     return F.when(code.isin(known), factors).otherwise(F.array(*[F.lit(0.0)] * len(langs)))
 
 
+def _let(x: Column, f) -> Column:
+    """f of x, with x evaluated once and not again for each element that f goes through."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def _softmax(x: Column) -> Column:
-    e = F.transform(x, lambda v: F.exp(v - F.array_max(x)))
-    return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, y: a + y)
+    powers = _let(x, lambda y: _let(F.array_max(y), lambda m: F.transform(y, lambda v: F.exp(v - m))))
+    return _let(powers, lambda e: _let(total(e), lambda t: F.transform(e, lambda v: v / t)))
 
 
 def _plus(*xs: Column) -> Column:
@@ -175,8 +208,9 @@ def identify(rows: DataFrame, models: TextModels, settings: Settings = Settings(
     pull = settings.pull
     # The domain's counts less the host's, then pulled towards the corpus; the host's are pulled towards that.
     def pulled(counts: Column, above: Column) -> Column:
-        total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(counts, above, lambda n, p: (F.greatest(n, F.lit(0.0)) + pull * p) / (F.greatest(total, F.lit(0.0)) + pull))
+        total = _let(counts, lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x))
+        return _let(F.greatest(total, F.lit(0.0)) + pull,
+                    lambda t: F.zip_with(counts, above, lambda n, p: (F.greatest(n, F.lit(0.0)) + pull * p) / t))
     priors = cut(hosts.join(domains, "domain").withColumn("d", pulled(F.zip_with("n_domain", "n_host", lambda a, b: a - b), base))
                  .select("host", "n_host", "d"), "language-priors")
     out = rows.join(priors, "host").withColumn("prior", pulled(F.zip_with("n_host", "own", lambda a, b: a - b), F.col("d")))

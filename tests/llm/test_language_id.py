@@ -67,3 +67,36 @@ def test_empty_null_and_clashing_columns(spark):
     out = li.document_languages(df).collect()
     assert sorted((str(r["doc_id"]), r["kept"]) for r in out) == [("1", False), ("1", False), ("2", True), ("None", False)]
     assert li.document_languages(df.limit(0)).collect() == []
+
+
+def test_every_label_has_a_model_and_copies_count_once(spark):
+    s = li.Settings(rows_per_language=5, slots=1 << 10)
+    rows = [(f"text number {j} of label {i}", f"l{i:03d}") for i in range(230) for j in range(2)]
+    rows += [("one text copied very often", "copied")] * 500 + [(f"other text {j}", "copied") for j in range(40)]
+    rows.append(("the rarest label of all", "rare"))
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    got = [sorted(map(tuple, li.sample(d, "text", "lang", s).collect())) for d in (df, df.repartition(3))]
+    assert got[0] == got[1]
+    texts = {}
+    for lang, text in got[0]:
+        texts.setdefault(lang, []).append(text)
+    assert len(texts) == 232 and texts["rare"] == ["the rarest label of all"] and len(texts["l007"]) == 2
+    assert len(texts["copied"]) == len(set(texts["copied"])) == 5
+    models = li.fit(df, "text", "lang", s)
+    assert models.languages == [*sorted(texts), li.UND]
+    assert np.allclose(np.exp(models.logp).sum(axis=1), 1, atol=1e-3)
+    n = sum(np.bincount(li.grams(t, s.slots), minlength=s.slots) for t in texts["copied"]) + s.smooth
+    assert np.allclose(models.logp[models.languages.index("copied")], np.log(n / n.sum()), atol=1e-4)
+
+
+def test_documents_of_rare_labels_are_identified(spark):
+    from functools import reduce
+    words = [f"{a}{b}{c}" for a in "kmpt" for b in "aeiou" for c in "lnrsvz"]
+    rows, n = [], 210
+    for i in range(n):
+        mine = [words[(7 * i + 11 * j) % len(words)] + chr(0x4e00 + i) for j in range(12)]
+        rows += [(1000 * i + j, reduce(lambda x, y: f"{x} {y}", mine[j:] + mine[:j]), f"x{chr(97 + i // 26)}{chr(97 + i % 26)}", "s")
+                 for j in range(3 if i < 200 else 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r["doc_id"]: r for r in li.document_languages(df, li.Settings(slots=1 << 12)).collect()}
+    assert all(out[r[0]]["lang"] == r[2] and out[r[0]]["kept"] for r in rows)
