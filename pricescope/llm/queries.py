@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricescope.llm import decontaminate as dc
+from pricescope.llm import exact_dedup as ed
+from pricescope.llm import filter_audit as fa
 from pricescope.llm import html_main, pieces, secrets
 from pricescope.llm import language_id as li
 from pricescope.llm import line_dedup as ld
 from pricescope.llm import parity_join as pj
+from pricescope.llm import spelling as sp
 from pricescope.llm import token_counts as tc
 from pricescope.llm import token_files as tf
 from pricescope.llm import vector_dedup as vd
@@ -94,6 +97,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, size and digest of every document's text after lower-casing A-Z; the largest doc_id stays."""
+    return ed.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters take out of every language's documents, in all 120 orders and steps."""
+    return fa.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Words of five letters and three occurrences; one in 97 words of a document is misspelt by a deletion.
+SPELLING = sp.Variants(typos=97)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its most frequent near word and the root of its chain of forms."""
+    return sp.variants(table(spark, sf_dir, "documents"), SPELLING)
+
+
 QUERIES = {
     "op1_parity_join": op1_parity_join,
     "op2_decontaminate": op2_decontaminate,
@@ -105,6 +127,9 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_token_files": op10_token_files,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_spelling_variants": op13_spelling_variants,
     "page_languages": page_languages,
 }
 
@@ -112,4 +137,7 @@ ORACLE: dict[str, str] = {
     "op2_decontaminate": dc.oracle(),
     "op4_line_dedup": ld.oracle(),
     "op6_secrets": secrets.oracle(),
+    "op11_exact_dedup": ed.oracle(),
+    "op12_filter_audit": fa.oracle(),
+    "op13_spelling_variants": sp.oracle(SPELLING),
 }
