@@ -3,8 +3,8 @@
     query    run a registered plan over stored tables; write Parquet or show rows
     init     create a stream store (state, events, alerts) from stored tables
     stream   run a venue's ingest / snapshot / alert stream (once, or every interval)
-    maintain prune old state versions
-    retain   delete the snapshot dates older than the retention periods
+    maintain forget the state history that late runs can no longer need
+    retain   delete the snapshot dates and run log rows older than the retention periods
 """
 
 from __future__ import annotations
@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     m = sub.add_parser("maintain")
     m.add_argument("--venue", choices=["tick", "prob"], required=True)
     m.add_argument("--store", required=True)
+    m.add_argument("--late-days", type=int, default=7, help="runs up to this many days before the newest one are still placed")
     r = sub.add_parser("retain")
     r.add_argument("--venue", choices=["tick", "prob"], required=True)
     r.add_argument("--store", required=True)
@@ -82,9 +83,7 @@ def main(argv: list[str] | None = None) -> int:
         q_.awaitTermination()
     elif a.cmd == "maintain":
         from pricescope.streaming import pipeline as sp
-        store = _store(a.venue, a.store)
-        for path in ("state", "alerts", "runs") + (("events",) if a.venue == "prob" else ()):
-            sp.prune_versions(spark, getattr(store, path))
+        print(sp.forget_before(spark, _store(a.venue, a.store), a.late_days))
     elif a.cmd == "retain":
         import datetime as dt
 
@@ -95,6 +94,8 @@ def main(argv: list[str] | None = None) -> int:
                            ("series_snapshots", "series" if a.venue == "tick" else "event_snaps")):
             before = dt.date.fromisoformat(a.as_of) - dt.timedelta(days=RETENTION_DAYS[kind])
             print(name, sp.drop_dates(spark, getattr(store, name), before.isoformat()))
+        before = dt.date.fromisoformat(a.as_of) - dt.timedelta(days=RETENTION_DAYS["export_runs"])
+        print("runs", sp.drop_runs_before(spark, store, before))
     return 0
 
 

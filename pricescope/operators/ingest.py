@@ -1,8 +1,8 @@
 """Ingest transforms and current-state maintenance.
 
-Keyed upserts are written as a latest-version-wins aggregate:
-``union(existing, incoming)`` then ``max_by(row, version)`` per key.  This
-is a declarative aggregate, so Spark combines map-side before the shuffle;
+Keyed upserts reduce the incoming rows to the latest version per key
+(``max_by(row, version)``) and join them with the stored rows once.  The
+aggregate is declarative, so Spark combines map-side before the shuffle;
 a key repeated in a third of all pages costs one partial row per task,
 never a third of the data in one task.  The version is ``(run, page_ts,
 page_no, pos)`` -- explicit page order, never row arrival -- and stored
@@ -178,18 +178,17 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: list[str],
                      *[(F.col(c).cast("string") if i == 0 else F.col(c).cast("bigint" if i == 1 else "int"))
                        .alias(f"_o{i}") for i, c in enumerate(order)],
                      *[F.lit(None).cast("int").alias(f"_o{i}") for i in range(len(order), 4)])
-    new = incoming.select(key, *payload, ts_lit(run_ts).alias("updated_at"), new_v.cast(vtype).alias("_v"))
+    new = incoming.select(key, F.struct(*payload, ts_lit(run_ts).alias("updated_at")).alias("_new"), new_v.cast(vtype).alias("_nv"))
+    won = new.groupBy(key).agg(F.max_by("_new", "_nv").alias("_new"), F.max("_nv").alias("_nv"))
     zero = F.struct(F.lit(0).alias("_run"), *[F.lit(None).alias(f"_o{i}") for i in range(4)]).cast(vtype)
     old_v = F.coalesce(F.col("_v").cast(vtype), zero) if "_v" in existing.columns else zero
-    old = existing.select(key, *payload, "updated_at", old_v.alias("_v"))
-    # Only the incoming rows and the stored rows they touch are reduced; the
-    # rest of the stored table is passed through by an anti-join on the key.
-    touched = new.select(key).distinct()
-    both = old.join(touched, key, "left_semi").unionByName(new)
-    g = both.groupBy(key).agg(F.max_by(F.struct(*payload, "updated_at", "_v"), "_v").alias("r"))
-    out = (g.select(key, *[F.col(f"r.{c}").alias(c) for c in payload + ["updated_at", "_v"]])
-           .unionByName(old.join(touched, key, "left_anti")))
-    return out.select(*cols, "_v") if keep_version else out.select(*cols)
+    old = existing.select(key, F.struct(*payload, "updated_at").alias("_old"), old_v.alias("_ov"))
+    # One aggregate over the incoming rows, one pass over the stored ones.
+    both = old.join(won, key, "full_outer")
+    later = F.col("_ov").isNull() | (F.col("_nv") > F.col("_ov")) | (F.col("_nv") == F.col("_ov"))
+    pick = lambda n, o: F.when(F.col("_nv").isNotNull() & later, F.col(n)).otherwise(F.col(o))
+    out = both.select(key, pick("_new", "_old").alias("r"), pick("_nv", "_ov").alias("_v"))
+    return out.select(*[F.col(c) if c == key else F.col(f"r.{c}").alias(c) for c in cols], *(["_v"] if keep_version else []))
 
 
 # ------------------------------------------------------------------ K4, K11

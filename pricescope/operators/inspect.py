@@ -161,12 +161,12 @@ def retain(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
 
 
 def expired_partitions(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
-    """K7: the snapshot dates a retention would drop (partition values)."""
-    cut = ts_lit(as_of) - F.make_dt_interval(days=F.lit(int(days)))
-    if "snap_date" in df.columns:   # partition values: all older dates hold expired rows only
-        df = df.where(F.col("snap_date") <= F.to_date(cut))
-    return (df.where(F.col(ts_col) < cut).select(F.to_date(F.col(ts_col)).alias("snap_date"))
-            .distinct().orderBy("snap_date"))
+    """K7: the snapshot dates that a retention drops whole.  The date the cut falls into still holds
+    kept rows and is not among them."""
+    cut = F.to_date(ts_lit(as_of) - F.make_dt_interval(days=F.lit(int(days))))
+    # A partition value needs no file of its date to be opened.
+    date = F.col("snap_date") if "snap_date" in df.columns else F.to_date(F.col(ts_col))
+    return df.select(date.alias("snap_date")).where(F.col("snap_date") < cut).distinct().orderBy("snap_date")
 
 
 def housekeeping(market_snaps: DataFrame, series_snaps: DataFrame, runs: DataFrame, as_of,

@@ -16,6 +16,8 @@ Conventions
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +37,16 @@ def top(df: DataFrame, limit: int, *order: Column) -> DataFrame:
 def attach(topk: DataFrame, dim: DataFrame, key: str, cols: list[str], order: list[Column],
            select: list) -> DataFrame:
     """Left-join display columns of ``dim`` onto an already-limited frame.
-    The key set is broadcast (bounded by the limit) as a semi-join filter
-    so only matching dimension rows leave the scan.  Nothing is cached: a
-    call always sees the tables as they are."""
-    wanted = dim.select(key, *cols).join(F.broadcast(topk.select(key)), key, "left_semi")
-    return topk.join(wanted, key, "left").orderBy(*order).select(*select)
+    The frame is broadcast (bounded by the limit) into the scan of ``dim``,
+    so only matching dimension rows leave it, and then joined with what came
+    back.  Its one exchange, of the same columns in both uses, is planned
+    once and reused: the frame itself is evaluated once.  Nothing is cached:
+    a call always sees the tables as they are."""
+    topk = topk.repartition(1)
+    names = topk.columns
+    found = dim.select(key, *cols).join(F.broadcast(topk), key).select(*[F.col(c).alias(f"_{c}") for c in names], *cols)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
+    return topk.join(F.broadcast(found), reduce(lambda a, b: a & b, same), "left").orderBy(*order).select(*select)
 
 
 def _scan(state: DataFrame, scan: int | None, key: str) -> DataFrame:

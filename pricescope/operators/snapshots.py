@@ -10,7 +10,7 @@ and never gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricescope.functions.exprs import event_from_raw, ts_lit
@@ -133,11 +133,122 @@ def prob_events_by_time(snaps: DataFrame) -> DataFrame:
             .groupBy("snap_ts", "run_id", "event_id").agg(*prob_event_aggs()))
 
 
+# --------------------------------------------- several runs at once, N1-N4
+def _with_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """``rows`` with their run's number; ``runs(snap_ts, run_id)`` has one row a run."""
+    return rows.join(F.broadcast(runs), "snap_ts")
+
+
+def _global_by_run(state: DataFrame, runs: DataFrame, aggs: list[Column], mean: str) -> DataFrame:
+    g = state.groupBy("snap_ts").agg(*aggs)
+    rest = [c for c in g.columns if c != "snap_ts"]
+    # As without grouping, a run without active rows has a row of zeros.
+    return runs.join(g, "snap_ts", "left").select(
+        "run_id", "snap_ts", *[F.col(c) if c == mean else F.coalesce(c, F.lit(0)).cast(g.schema[c].dataType).alias(c) for c in rest])
+
+
+def global_by_run_tick(state: DataFrame, runs: DataFrame) -> DataFrame:
+    """N1 over the state as of several runs (``snap_ts``)."""
+    return _global_by_run(state.where(F.col("status") == "active"), runs, tick_global_aggs(), "avg_spread_ticks")
+
+
+def global_by_run_prob(state: DataFrame, runs: DataFrame) -> DataFrame:
+    """N2 over the state as of several runs."""
+    return _global_by_run(state.where(F.col("active")), runs, prob_global_aggs(), "avg_yes_price")
+
+
+def series_by_run_tick(state: DataFrame, runs: DataFrame) -> DataFrame:
+    """N3 over the state as of several runs."""
+    ev = event_from_raw("raw")
+    g = (state.where((F.col("status") == "active") & ev.isNotNull() & _priced())
+         .groupBy("snap_ts", ev.alias("series_ticker")).agg(*tick_series_aggs()))
+    rest = [c for c in g.columns if c != "snap_ts"]
+    return _with_run(_series_having(g), runs).select("snap_ts", "run_id", *rest)
+
+
+def events_by_run_prob(state: DataFrame, runs: DataFrame) -> DataFrame:
+    """N4 over the state as of several runs."""
+    g = state.where(F.col("active") & F.col("event_id").isNotNull()).groupBy("snap_ts", "event_id").agg(*prob_event_aggs())
+    rest = [c for c in g.columns if c != "snap_ts"]
+    return _with_run(g, runs).select("snap_ts", "run_id", *rest)
+
+
 # ------------------------------------------------------- market picks, N5-N7
-def _top(df: DataFrame, cap: int, *order: Column) -> DataFrame:
-    # Bounded top-k: Spark plans TakeOrderedAndProject (per-partition top-k,
-    # then a merge of at most cap x partitions rows).
-    return df.orderBy(*order).limit(int(cap))
+#: Quantiles a list is cut by before its rows are ranked, and the sketch's accuracy (rank error 1 / accuracy).
+_STEPS, _ACCURACY = 256, 10_000
+
+
+def _lists(c: DataFrame, cap: int, key: str, orders: dict[str, tuple]) -> DataFrame:
+    """The rows of ``c`` that are among the first ``cap`` of their run (``snap_ts``) in any of the lists
+    ``orders``: name -> (column, descending, condition).  Nulls rank last, ties by ``key``.
+
+    One pass takes a mergeable quantile sketch of every list per run.  The
+    quantile that is sure to leave ``cap`` rows cuts the list, so what one
+    task ranks exactly is the cap and one part in ``_STEPS`` of the run (and
+    rows that tie with the quantile), not ``cap`` rows of every partition.
+    """
+    steps = F.expr(f"array({', '.join(f'{i / _STEPS}D' for i in range(1, _STEPS))})")
+    aggs = []
+    for name, (col, _, ok) in orders.items():
+        v = F.when(ok, F.col(col)) if ok is not None else F.col(col)
+        aggs += [F.count(v).alias(f"n_{name}"), F.call_function("percentile_approx", v, steps, F.lit(_ACCURACY)).alias(f"q_{name}")]
+    sketch = c.groupBy("snap_ts").agg(*aggs)
+    cuts = []
+    for name, (_, desc, _) in orders.items():
+        # One step more than the cap's share covers the sketch's error.
+        share = F.ceil(F.lit(_STEPS) * cap / F.when(F.col(f"n_{name}") > 0, F.col(f"n_{name}"))).cast("int") + 1
+        at = (F.lit(_STEPS) - share) if desc else share
+        cuts.append(F.when((at >= 1) & (at < _STEPS), F.get(f"q_{name}", at - 1)).alias(f"cut_{name}"))
+    # One row a run on the broadcast side.
+    c_cut = c.join(F.broadcast(sketch.select("snap_ts", *cuts)), "snap_ts")
+    parts = []
+    for name, (col, desc, ok) in orders.items():
+        v, cut = F.col(col), F.col(f"cut_{name}")
+        some = c_cut.where(cut.isNull() | (v >= cut if desc else v <= cut))
+        some = (some.where(ok) if ok is not None else some).select(*c.columns)
+        at = F.row_number().over(Window.partitionBy("snap_ts").orderBy(v.desc_nulls_last() if desc else v.asc(), F.col(key)))
+        parts.append(some.withColumn("_at", at).where(F.col("_at") <= int(cap)).drop("_at"))
+    pick = parts[0]
+    for other in parts[1:]:
+        pick = pick.unionByName(other)
+    # SQL UNION removes duplicate rows; the key is unique in a run, so
+    # de-duplicating by key is the same and also works with map columns.
+    return pick.dropDuplicates(["snap_ts", key])
+
+
+def _tick_candidates(state: DataFrame) -> DataFrame:
+    return (state.where((F.col("status") == "active") & _priced())
+            .select("snap_ts", "market_ticker", event_from_raw("raw").alias("series_ticker"),
+                    "expiration_time", "yes_bid", "yes_ask", "volume", "open_interest",
+                    (F.col("yes_ask") - F.col("yes_bid")).alias("spread_ticks"),
+                    ((F.col("yes_bid") + F.col("yes_ask")) / 2.0).alias("mid")))
+
+
+def picks_by_run_tick(state: DataFrame, runs: DataFrame, cap: int | None = PICK_CAP, wide: int = WIDE_SPREAD,
+                      horizon_hours: int = EXPIRY_HORIZON_H) -> DataFrame:
+    """N5 over the state as of several runs: ``state`` has a row per run (``snap_ts``) and market."""
+    c = _tick_candidates(state)
+    horizon = F.col("snap_ts") + F.make_dt_interval(hours=F.lit(horizon_hours))
+    pick = c if cap is None else _lists(c, cap, "market_ticker", {
+        "volume": ("volume", True, None), "interest": ("open_interest", True, None),
+        "spread": ("spread_ticks", True, F.col("spread_ticks") >= wide),
+        "expiry": ("expiration_time", False, F.col("expiration_time") <= horizon)})
+    return _with_run(pick, runs).select("snap_ts", "run_id", *[x for x in c.columns if x != "snap_ts"])
+
+
+def picks_by_run_prob(state: DataFrame, runs: DataFrame, cap: int | None = PICK_CAP) -> DataFrame:
+    """N6 over the state as of several runs."""
+    c = state.where(F.col("active")).select("snap_ts", "condition_id", "event_id", "end_date", "volume", "volume_24hr",
+                                            "liquidity", "outcome_yes_price", "outcome_no_price")
+    pick = c if cap is None else _lists(c, cap, "condition_id", {m: (m, True, None) for m in ("volume", "liquidity", "volume_24hr")})
+    return _with_run(pick, runs).select("snap_ts", "run_id", *[x for x in c.columns if x != "snap_ts"])
+
+
+def _one_run(state: DataFrame, snap_ts, run_id: int) -> tuple[DataFrame, DataFrame]:
+    """The state and the run in the form of the functions for several runs."""
+    ts = ts_lit(snap_ts).alias("snap_ts")
+    runs = state.sparkSession.range(1, numPartitions=1).select(ts, F.lit(run_id).cast("long").alias("run_id"))
+    return state.select("*", ts), runs
 
 
 def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int | None = PICK_CAP,
@@ -146,46 +257,14 @@ def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int | None =
     markets -- top volume, top open interest, widest spreads (>= ``wide``),
     soonest expiry within ``horizon_hours`` of the run (no lower bound, so
     already-expired markets qualify) -- written as snapshot rows.  With
-    ``cap=None`` the first list holds every such market."""
-    key = F.col("market_ticker")
-    c = (state.where((F.col("status") == "active") & _priced())
-         .select("market_ticker", event_from_raw("raw").alias("series_ticker"),
-                 "expiration_time", "yes_bid", "yes_ask", "volume", "open_interest",
-                 (F.col("yes_ask") - F.col("yes_bid")).alias("spread_ticks"),
-                 ((F.col("yes_bid") + F.col("yes_ask")) / 2.0).alias("mid")))
-    horizon = ts_lit(snap_ts) + F.make_dt_interval(hours=F.lit(horizon_hours))
-    lists = [c] if cap is None else [
-        _top(c, cap, F.col("volume").desc_nulls_last(), key),
-        _top(c, cap, F.col("open_interest").desc_nulls_last(), key),
-        _top(c.where(F.col("spread_ticks") >= wide), cap, F.col("spread_ticks").desc(), key),
-        _top(c.where(F.col("expiration_time").isNotNull() & (F.col("expiration_time") <= horizon)),
-             cap, F.col("expiration_time").asc(), key),
-    ]
-    pick = lists[0]
-    for other in lists[1:]:
-        pick = pick.unionByName(other)
-    # SQL UNION removes duplicate rows; the key is unique in the input, so
-    # de-duplicating by key is the same and also works with map columns.
-    if len(lists) > 1:
-        pick = pick.dropDuplicates(["market_ticker"])
-    return pick.select(ts_lit(snap_ts).alias("snap_ts"), F.lit(run_id).cast("long").alias("run_id"),
-                       "market_ticker", "series_ticker", "expiration_time", "yes_bid", "yes_ask",
-                       "volume", "open_interest", "spread_ticks", "mid")
+    ``cap=None`` every such market."""
+    return picks_by_run_tick(*_one_run(state, snap_ts, run_id), cap, wide, horizon_hours)
 
 
 def pick_markets_prob(state: DataFrame, snap_ts, run_id: int, cap: int | None = PICK_CAP) -> DataFrame:
     """Union of the top-``cap`` active markets by volume, liquidity and
     24h volume (nulls last), as snapshot rows; all of them with ``cap=None``."""
-    key = F.col("condition_id")
-    c = state.where(F.col("active"))
-    pick = c
-    if cap is not None:
-        lists = [_top(c, cap, F.col(m).desc_nulls_last(), key)
-                 for m in ("volume", "liquidity", "volume_24hr")]
-        pick = lists[0].unionByName(lists[1]).unionByName(lists[2]).dropDuplicates(["condition_id"])
-    return pick.select(ts_lit(snap_ts).alias("snap_ts"), F.lit(run_id).cast("long").alias("run_id"),
-                       "condition_id", "event_id", "end_date", "volume", "volume_24hr",
-                       "liquidity", "outcome_yes_price", "outcome_no_price")
+    return picks_by_run_prob(*_one_run(state, snap_ts, run_id), cap)
 
 
 def snapshot_full_tick(state: DataFrame, snap_ts, run_id: int) -> DataFrame:

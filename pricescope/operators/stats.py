@@ -20,6 +20,9 @@ number of runs in 7 days, so a window partition never grows with data.
 
 from __future__ import annotations
 
+import datetime as dt
+from bisect import bisect_right
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,14 +75,45 @@ def move_stats(snaps: DataFrame, venue: Venue, as_of, lookback_days: int = LOOKB
         F.avg(F.when(in_24h, F.col("abs_move"))).alias("a24"),
         F.avg("abs_move").alias("a7"),
         F.stddev_samp(F.when(in_24h, F.col("abs_move"))).alias("s24"))
-    d = venue.stat_digits
-    return g.select(
-        venue.key,
-        F.round("a24", d).cast("double").alias("avg_move_24h"),
-        F.round("a7", d).cast("double").alias("avg_move_7d"),
-        F.round("s24", d).cast("double").alias("std_move_24h"),
-        F.round(safe_div(F.col("s24"), F.col("a24").cast("double")), SCORE_DIGITS).alias("volatility_score"),
-        ts_lit(as_of).alias("updated_at"))
+    return g.select(venue.key, *_rounded(venue.stat_digits), ts_lit(as_of).alias("updated_at"))
+
+
+def stats_by_run(snaps: DataFrame, venue: Venue, runs: list, times: list, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """M1/M2 as of each of several runs: ``snap_ts`` (the run) and the columns of ``move_stats``.
+
+    ``times`` are all snapshot times up to the last run (one a run), sorted.
+    A market's step between neighbouring times counts for a run if both
+    times are in its lookback, so each step goes to the runs of the
+    following week among ``runs``; for one run that is each step once.
+    """
+    spark, day = snaps.sparkSession, dt.timedelta(days=1)
+    near = [t for t in times if t > runs[0] - lookback_days * day] if runs else []
+    order = spark.createDataFrame(list(zip(near, range(len(near)))), "snap_ts timestamp_ntz, i int")
+    newest = [(r, times[i - 1]) for r in runs if (i := bisect_right(times, r))]
+    asked = F.array(*[F.struct(F.lit(r).cast("timestamp_ntz").alias("run"), F.lit(t).cast("timestamp_ntz").alias("newest"))
+                      for r, t in newest])
+    if not near or not newest:
+        return snaps.sparkSession.createDataFrame([], f"snap_ts timestamp_ntz, {venue.key} string, avg_move_24h double, "
+                                                  "avg_move_7d double, std_move_24h double, volatility_score double, updated_at timestamp_ntz")
+    w = Window.partitionBy(venue.key).orderBy("i")
+    steps = (snaps.select("snap_ts", venue.key, F.col(venue.price).cast("decimal(18,6)").alias("px"))
+             .where("px is not null").join(F.broadcast(order), "snap_ts")
+             .withColumns({"prev_px": F.lag("px").over(w), "prev_i": F.lag("i").over(w), "prev_ts": F.lag("snap_ts").over(w)})
+             .where(F.col("prev_i") == F.col("i") - 1))
+    back = F.make_dt_interval(days=F.lit(lookback_days))
+    for_run = F.filter(asked, lambda a: (a["run"] >= F.col("snap_ts")) & (F.col("prev_ts") > a["run"] - back))
+    m = steps.select(venue.key, "snap_ts", F.abs(F.col("px") - F.col("prev_px")).alias("abs_move"), F.explode(for_run).alias("a"))
+    recent = F.when(F.col("snap_ts") > F.col("a.newest") - hours(MOVE_RECENT_HOURS), F.col("abs_move"))
+    g = m.groupBy(F.col("a.run").alias("snap_ts"), venue.key).agg(
+        F.avg(recent).alias("a24"), F.avg("abs_move").alias("a7"), F.stddev_samp(recent).alias("s24"))
+    return g.select("snap_ts", venue.key, *_rounded(venue.stat_digits), F.col("snap_ts").alias("updated_at"))
+
+
+def _rounded(d: int) -> list:
+    return [F.round("a24", d).cast("double").alias("avg_move_24h"),
+            F.round("a7", d).cast("double").alias("avg_move_7d"),
+            F.round("s24", d).cast("double").alias("std_move_24h"),
+            F.round(safe_div(F.col("s24"), F.col("a24").cast("double")), SCORE_DIGITS).alias("volatility_score")]
 
 
 def upsert_move_stats(existing: DataFrame, fresh: DataFrame, key: str) -> DataFrame:

@@ -204,11 +204,9 @@ CTES.update({
                event_id, lower(event_title) AS event_slug, event_title, ev_category AS event_category,
                ev_end AS event_end, page_ts, snap_ts AS page_time, page_no, ev_pos, pos, user_id
         FROM prob_feed"""),
-    # The newest four runs, which the stream queries land.
-    "tick_landed": (["tick_feed"], """
-        SELECT * FROM tick_feed QUALIFY dense_rank() OVER (ORDER BY page_time DESC) <= 4"""),
-    "prob_landed": (["prob_flat"], """
-        SELECT * FROM prob_flat QUALIFY dense_rank() OVER (ORDER BY page_time DESC) <= 4"""),
+    # The runs that the stream queries land: all of them.
+    "tick_landed": (["tick_feed"], "SELECT * FROM tick_feed"),
+    "prob_landed": (["prob_flat"], "SELECT * FROM prob_flat"),
 })
 
 

@@ -261,13 +261,6 @@ def _is_last():
     return F.max("page_no").over(Window.partitionBy("snap_ts")) == F.col("page_no")
 
 
-def newest_runs(pages: DataFrame, n: int) -> DataFrame:
-    """Pages of the ``n`` newest runs, for queries that land a few runs only."""
-    ts = F.get_json_object("value", "$.page_ts")
-    keep = pages.select(ts.alias("_t")).distinct().orderBy(F.col("_t").desc()).limit(n)
-    return pages.withColumn("_t", ts).join(F.broadcast(keep), "_t", "left_semi").drop("_t")
-
-
 def tick_pages(tick_u: DataFrame) -> DataFrame:
     """B10, tick venue: one JSON page per (run, user div 25) for all runs, markets ordered by ``user % 25``.  Variations by user id:
     u%7=0 empty ``ticker`` (key in ``market_ticker``), u%19=0 empty

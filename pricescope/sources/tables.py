@@ -127,7 +127,7 @@ def from_testdata(spark: SparkSession, sf_dir: str, persist: bool = False) -> Wa
 def from_parquet(spark: SparkSession, root: str, as_of=None) -> Warehouse:
     """Read the stored tables from ``root/<table>`` Parquet directories."""
     root = root.rstrip("/")
-    return Warehouse(spark, {n: spark.read.parquet(f"{root}/{n}") for n in TABLES}, as_of)
+    return Warehouse(spark, {n: _read(spark, root, n) for n in TABLES}, as_of)
 
 
 def from_store(spark: SparkSession, tick=None, prob=None, as_of=None) -> Warehouse:
@@ -136,23 +136,23 @@ def from_store(spark: SparkSession, tick=None, prob=None, as_of=None) -> Warehou
     from pricescope.streaming import pipeline as sp
     t = {}
     for store, v, group, shapes in (
-            (tick, "tick", ("series", "tick_series"), (sc.TICK_SNAPSHOT, sc.TICK_GLOBAL, sc.TICK_SERIES, sc.MOVE_STATS_TICK)),
+            (tick, "tick", ("series", "tick_series"), (sc.TICK_SNAPSHOT, sc.TICK_GLOBAL, sc.TICK_SERIES)),
             (prob, "prob", ("event_snaps", "prob_event_snapshots"),
-             (sc.PROB_SNAPSHOT, sc.PROB_GLOBAL, sc.PROB_EVENT_SNAPSHOT, sc.MOVE_STATS_PROB))):
+             (sc.PROB_SNAPSHOT, sc.PROB_GLOBAL, sc.PROB_EVENT_SNAPSHOT))):
         if store is None:
             continue
-        snaps, glob, grouped, moves = shapes
+        snaps, glob, grouped = shapes
         t |= {f"{v}_snapshots": sp.read_partitioned(spark, store.snapshots, snaps),
               f"{v}_snapshot_times": sp.read_times(spark, store),
               f"{v}_global": sp.read_partitioned(spark, store.global_snap, glob).drop("snap_date"),
               group[1]: sp.read_partitioned(spark, getattr(store, group[0]), grouped),
-              f"{v}_state": sp.read_current(spark, store.state).drop("_v"),
-              f"{v}_runs": sp.read_current(spark, store.runs, sc.EXPORT_RUNS),
-              f"{v}_move_stats": sp.read_current(spark, store.move_stats, moves)}
-        alerts = sp.read_current(spark, store.alerts).where(f"platform = '{v}'")
+              f"{v}_state": store.state.current(spark),
+              f"{v}_runs": sp.read_runs(spark, store),
+              f"{v}_move_stats": store.move_stats.current(spark)}
+        alerts = sp.read_alerts(spark, store).where(f"platform = '{v}'")
         t["alerts"] = t["alerts"].unionByName(alerts) if "alerts" in t else alerts
     if prob is not None:
-        t["prob_events"] = sp.read_current(spark, prob.events).drop("_v")
+        t["prob_events"] = prob.events.current(spark)
     t["ingest_log"] = spark.createDataFrame([], sc.INGEST_LOG)
     return Warehouse(spark, t, as_of)
 
@@ -160,16 +160,58 @@ def from_store(spark: SparkSession, tick=None, prob=None, as_of=None) -> Warehou
 # Tables that are append-only time series and are written partitioned by
 # snapshot date (the unit of retention and of partition pruning), with the
 # key that clusters rows inside a date.
-PARTITIONED = {"tick_snapshots": ("snap_ts", "market_ticker"),
-               "prob_snapshots": ("snap_ts", "condition_id"),
-               "tick_series": ("snap_ts", "series_ticker"),
+PARTITIONED = {"tick_series": ("snap_ts", "series_ticker"),
                "prob_event_snapshots": ("snap_ts", "event_id")}
+# Market snapshots are also bucketed by the market key: the two snapshot times
+# of a pair query meet bucket by bucket, without an exchange.
+BUCKETED = {"tick_snapshots": "market_ticker", "prob_snapshots": "condition_id"}
+#: Buckets of a date's market snapshots; a bucket of a run should be a few hundred MB at most.
+BUCKETS = 4
 
 
-def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None) -> Warehouse:
+def _table_name(path: str) -> str:
+    import hashlib
+    return f"pricescope_{hashlib.sha1(path.encode()).hexdigest()[:16]}"
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Write market snapshots to ``path``: a folder a date, a file a bucket of the key, sorted by key and time.
+    The buckets' key and number stand beside the files."""
+    from pyspark.sql import functions as F
+    spark, name = df.sparkSession, _table_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # Rows are dealt out as the buckets are, so that a task writes one file a date.
+    (df.withColumn("snap_date", F.to_date("snap_ts")).repartition(buckets, key)
+     .write.format("parquet").mode("overwrite").option("path", path)
+     .partitionBy("snap_date").bucketBy(buckets, key).sortBy(key, "snap_ts").saveAsTable(name))
+    spark.createDataFrame([(key, buckets)], "key string, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}_buckets")
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by ``write_bucketed``, as a catalog table of this session; a plain one if it has no buckets."""
+    from pyspark.errors import AnalysisException
+    try:
+        key, buckets = spark.read.schema("key string, buckets int").parquet(f"{path}_buckets").first()
+    except AnalysisException:
+        return spark.read.parquet(path)
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY (snap_date) "
+                  f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`, snap_ts) INTO {buckets} BUCKETS LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)
+
+
+def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_bucketed(spark, f"{root}/{name}") if name in BUCKETED else spark.read.parquet(f"{root}/{name}")
+
+
+def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None, buckets: int = BUCKETS) -> Warehouse:
     """Materialise a warehouse as Parquet and return it read back: snapshot
     tables partitioned by ``snap_date`` (the retention and pruning unit),
-    optionally with move statistics stored as of ``as_of``."""
+    those of markets also bucketed by key, optionally with move statistics
+    stored as of ``as_of``."""
     from pyspark.sql import functions as F
     root = root.rstrip("/")
     tables = dict(wh.tables)
@@ -179,6 +221,9 @@ def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None)
             tables[f"{v.name}_move_stats"] = wh.move_stats(v, as_of)
     for name, df in tables.items():
         w = df
+        if name in BUCKETED:
+            write_bucketed(df, f"{root}/{name}", BUCKETED[name], buckets)
+            continue
         if name in PARTITIONED:
             # Range partitioning on (time, key): each task writes a
             # contiguous slice, so a busy day is spread over many tasks
@@ -192,7 +237,7 @@ def write_parquet(wh: Warehouse, root: str, mode: str = "overwrite", as_of=None)
             w = df.write
         w.mode(mode).parquet(f"{root}/{name}")
     wh.release()
-    return Warehouse(wh.spark, {n: wh.spark.read.parquet(f"{root}/{n}") for n in tables}, wh.as_of)
+    return Warehouse(wh.spark, {n: _read(wh.spark, root, n) for n in tables}, wh.as_of)
 
 
 _MATERIALISED: dict = {}
@@ -222,7 +267,7 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 def _read_back(spark: SparkSession, root: str) -> Warehouse:
     names = TABLES + ["tick_pages", "prob_pages"]
-    return Warehouse(spark, {n: spark.read.parquet(f"{root}/{n}") for n in names}, fx.AS_OF)
+    return Warehouse(spark, {n: _read(spark, root, n) for n in names}, fx.AS_OF)
 
 
 def materialised(spark: SparkSession, sf_dir: str) -> Warehouse:
