@@ -1,9 +1,11 @@
 """Secret scan with corpus-wide ownership frequency (operator 6), DataFrame functions only.
 
 Candidates are found by pattern in every whole text.  Their value hashes are
-then counted over the corpus by distinct repositories and owners: a value
-that many owners share is a copied example, one that belongs to few owners
-and looks random is treated as live.  Opaque runs that no pattern names are
+then counted over the corpus by distinct owners and repositories: a value
+that several owners share is a copied example, one that belongs to one owner
+and looks random is treated as live, in however many of that owner's
+repositories it stands.  Without a repository column, documents of equal text
+are one repository.  Opaque runs that no pattern names are
 added as spans of kind ``opaque`` when they are that owner-specific.
 
 Spans are code-point offsets, end exclusive.  A null text counts as empty.
@@ -33,10 +35,10 @@ RUN = 256
 
 @dataclass(frozen=True)
 class Ownership:
-    """A value is live if at most this many owners and repositories have it and it mixes enough characters."""
+    """A value is live if at most this many owners (and, if set, repositories) have it and it mixes enough characters."""
 
     owners: int = 1
-    repos: int = 3
+    repos: int | None = None
     distinct_chars: int = 8
 
 
@@ -85,7 +87,7 @@ def _written(spans_: Column) -> Column:
 
 
 def secret_scan(docs: DataFrame, rule: Ownership = Ownership(), id_col: str = "doc_id", text_col: str = "text",
-                owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
+                owner_col: str = "source", repo_col: str | None = None) -> DataFrame:
     """One row per input row: counts and digest of the base spans, all spans, and verdict counts.
 
     Columns: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live
@@ -94,7 +96,8 @@ def secret_scan(docs: DataFrame, rule: Ownership = Ownership(), id_col: str = "d
     counts as one owner or repository of its own.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"),
-                       F.col(f"`{owner_col}`").cast("string").alias("owner"), F.col(f"`{repo_col}`").cast("string").alias("repo"))
+                       F.col(f"`{owner_col}`").cast("string").alias("owner"),
+                       (F.col(f"`{repo_col}`") if repo_col else F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).cast("string").alias("repo"))
     for kind in KINDS:
         rows = spans(rows, "t", kind, kind)
     base = F.sort_array(F.concat("assign", "access", "hex"))
@@ -115,7 +118,9 @@ def secret_scan(docs: DataFrame, rule: Ownership = Ownership(), id_col: str = "d
     n_owners = held.select("value", "owner").distinct().groupBy("value").agg(F.count("*").alias("owners"))
     n_repos = held.select("value", "repo").distinct().groupBy("value").agg(F.count("*").alias("repos"))
     known = cut(n_owners.join(n_repos, "value"), "secret-owners")
-    live = F.col("mixed") & (F.col("owners") <= rule.owners) & (F.col("repos") <= rule.repos)
+    live = F.col("mixed") & (F.col("owners") <= rule.owners)
+    if rule.repos is not None:
+        live &= F.col("repos") <= rule.repos
     judged = (held.drop("owner", "repo").distinct().join(known, "value").withColumn("live", live)
               .where("live or kind <> 'opaque'")
               .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "o", "end", "kind"))).alias("kept"),
@@ -150,8 +155,8 @@ WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text,
   base AS (SELECT * FROM assign_s UNION ALL SELECT * FROM access_s UNION ALL SELECT * FROM hex_s),
   cand AS (SELECT * FROM base UNION ALL SELECT * FROM opaque_s q
     WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = q.rid AND b.s < q.e AND b.e > q.s)),
-  owned AS (SELECT v, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repos FROM cand GROUP BY v),
-  judged AS (SELECT c.*, owners <= {rule.owners} AND repos <= {rule.repos}
+  owned AS (SELECT v, count(DISTINCT coalesce('s' || source, '')) AS owners FROM cand GROUP BY v),
+  judged AS (SELECT c.*, owners <= {rule.owners}
       AND len(list_distinct(string_split(v, ''))) >= {rule.distinct_chars} AS live FROM cand c JOIN owned USING (v)),
   b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
       count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS base

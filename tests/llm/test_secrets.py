@@ -49,3 +49,16 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert by[5][0][5] == "" and by[6][0][5] == "opaque:27:54"
     assert by[8][0][1:] == (0, 0, 0, hashlib.sha256(b"").hexdigest(), "", 0, 0)
     assert sc.secret_scan(df.limit(0)).collect() == []
+
+
+def test_a_value_of_one_owner_is_live_in_however_many_documents(spark):
+    value, odd = "password=q8Zr5Lk2Vw9x", "q7Rt9Lm2Xk4Vb8Nc3Zp6Wd1Fh5"
+    rows = [(i, f"{value} and {odd} in {i}", "a") for i in range(4)] + [(9, "password=Example123", "a"), (10, "password=Example123", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in sc.secret_scan(df).collect()}
+    assert all((out[i].n_live, out[i].n_example) == (2, 0) and "opaque" in out[i].spans for i in range(4))
+    assert (out[9].n_live, out[9].n_example) == (0, 1)
+    strict = {r.doc_id: r for r in sc.secret_scan(df, sc.Ownership(repos=3)).collect()}
+    assert (strict[0].n_live, strict[0].n_example) == (0, 1)
+    copies = spark.createDataFrame([(i, value, "a") for i in range(9)], df.schema)
+    assert {r.n_live for r in sc.secret_scan(copies, sc.Ownership(repos=1)).collect()} == {1}
