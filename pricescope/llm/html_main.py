@@ -3,7 +3,8 @@
 Each page's containers are scored by the running text their blocks hold; the
 best one's path, tags and classes with numbers generalised, is the page's
 vote.  Spark counts the votes per host, and every page is extracted again at
-its host's winning path; a page without that path uses its own best one.
+its host's winning path; a page without that path, or with little of its text
+there, uses its own best one.
 
 A container is widened to the one around it while the text that adds is
 running text, so an introduction or an end in containers of their own stays.
@@ -16,6 +17,7 @@ joined by a newline in page order.  A null or empty html gives an empty text.
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from collections import defaultdict
@@ -40,15 +42,21 @@ DROPPED_ROLES = set("navigation banner contentinfo complementary search alert al
 DROPPED_WORDS = set("nav navbar navigation menu header footer sidebar aside notice notices cookie cookies consent gdpr banner ad ads "
                     "advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus replies "
                     "share sharing social related breadcrumb breadcrumbs subscribe subscription newsletter popup modal login "
-                    "signup widget masthead toolbar pagination pager skip".split())
-#: Words that may stand beside a dropped word in a class or id; with any other word ("has-sidebar") the name says something else.
+                    "signup widget masthead toolbar pagination pager skip adsense commenter commenters response responses discussion".split())
+#: Words of place and shape: beside a dropped word, or grown together with one ("commentlist"), they say no more than it.
 PLACE_WORDS = set("site page main top bottom left right upper lower primary secondary global local inner outer container wrapper wrap "
-                  "box bar list area block section region item content links menus buttons icons text".split())
-#: Elements that the share of the running text cannot save.
-NEVER_MAIN = set("nav footer menu dialog button select notice notices cookie cookies consent gdpr banner ad ads advert adverts "
-                 "advertisement advertising sponsor sponsored promo promotion comment comments disqus replies share sharing social "
-                 "related breadcrumb breadcrumbs subscribe subscription newsletter popup modal login signup navbar navigation "
-                 "pagination pager".split())
+                  "box bar list area block section region item content links menus buttons icons text slot unit card thread".split())
+#: A name with one of these words is about what the page has or how it is, not about what the element is ("has-sidebar", "ad-free").
+STATE_WORDS = set("has have with without no not non free less open opened closed enabled disabled active visible ready loaded on off".split())
+#: What an article has of its own: its header or footer is not the site's.
+ARTICLE_WORDS = set("post entry article story title chapter".split())
+#: Names of what readers add.
+READER_WORDS = set("comment comments commenter commenters disqus replies response responses discussion".split())
+#: Elements that the share of the running text cannot save, if their name says nothing else.
+NEVER_MAIN = READER_WORDS | set("nav footer menu dialog button select notice notices cookie cookies consent gdpr banner ad ads advert "
+                                "adverts advertisement advertising sponsor sponsored promo promotion share sharing social "
+                                "related breadcrumb breadcrumbs subscribe subscription newsletter popup modal login signup navbar "
+                                "navigation pagination pager adsense".split())
 #: A block of at least so many characters outside links is running text.
 PROSE = 40
 CONTAINERS = set("article main section div td body".split())
@@ -100,12 +108,30 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             i = j + 1
 
 
-def _furniture(name: str) -> set[str]:
-    """The dropped words a class or id consists of, besides words of place and shape; empty if it has any other word."""
+def _root(word: str) -> str | None:
+    """The dropped word that ``word`` is, or begins or ends with where the rest is a word of place ("commentlist")."""
+    if word in DROPPED_WORDS:
+        return word
+    for k in range(3, len(word) - 2):
+        for part, rest in ((word[:k], word[k:]), (word[k:], word[:k])):
+            if part in DROPPED_WORDS and rest in PLACE_WORDS:
+                return part
+    return None
+
+
+@functools.lru_cache(maxsize=65536)
+def _furniture(name: str) -> tuple[frozenset[str], bool]:
+    """The dropped words in a class or id (none if it tells of a state, or of an article's own header), and whether
+    it says nothing else."""
+    words = [w.lower() for w in _WORD.findall(name) if not w.isdigit()]
     if (whole := name.lower().strip("-_0123456789")) in DROPPED_WORDS:
-        return {whole}
-    words = {w.lower() for w in _WORD.findall(name) if not w.isdigit()}
-    return words & DROPPED_WORDS if words <= DROPPED_WORDS | PLACE_WORDS else set()
+        words = [whole]
+    if not STATE_WORDS.isdisjoint(words):
+        return frozenset(), False
+    roots = {w: r for w in words if (r := _root(w))}
+    if not ARTICLE_WORDS.isdisjoint(words):
+        roots = {w: r for w, r in roots.items() if r not in ("header", "footer", "menu", "nav", "skip", "widget")}
+    return frozenset(roots.values()), all(w in roots or w in PLACE_WORDS for w in words)
 
 
 def _named(tag: str, attrs: str) -> tuple[str, bool, bool]:
@@ -117,9 +143,11 @@ def _named(tag: str, attrs: str) -> tuple[str, bool, bool]:
     step = ".".join([tag, *sorted({_NUMBER.sub("#", c) for c in classes})])
     if tag in ("html", "body", "article", "main"):
         return step, False, False
-    words = set().union(*map(_furniture, [*classes, *got.get("id", "").split()]))
+    said = [_furniture(name) for name in [*classes, *got.get("id", "").split()]]
+    words = set().union(*(w for w, _ in said))
+    never = set().union(*(w if only else w & READER_WORDS for w, only in said)) & NEVER_MAIN
     dropped = bool(tag in DROPPED or words or got.get("role", "").lower() in DROPPED_ROLES or "hidden" in got)
-    return step, dropped, tag in NEVER_MAIN or bool(words & NEVER_MAIN) or "hidden" in got
+    return step, dropped, tag in NEVER_MAIN or bool(never) or "hidden" in got
 
 
 def _scan(page: str) -> tuple[list[tuple], list[list[bool]], bool]:
@@ -222,8 +250,11 @@ def _prose(text: str, linked: int) -> int:
 
 def best_path(page: str | None) -> tuple[str, float]:
     """Path of the container whose blocks hold the most running text, widened to what it is part of, and its score."""
+    return _best(list(blocks(page or "")))
+
+
+def _best(got: list[tuple[tuple[str, ...], str, int]]) -> tuple[str, float]:
     score: dict[tuple[str, ...], float] = defaultdict(float)
-    got = list(blocks(page or ""))
     for path, text, linked in got:
         at = [i for i, s in enumerate(path) if s.split(".")[0] in CONTAINERS]
         worth = max(0, len(text) - 2 * linked)
@@ -254,15 +285,27 @@ def _widened(top: tuple[str, ...], got: list[tuple[tuple[str, ...], str, int]])
     return top
 
 
-def extract(page: str | None, path: str | None, own: str | None = None) -> str:
-    """Main text inside the elements of a path, of the page's own best path if it has none there, else of the page."""
+def extract(page: str | None, path: str | None) -> str:
+    """Main text inside the elements of a path.
+
+    A path that holds less than half of the page's running text gives way
+    to an article or main element that is the page's own best path and holds
+    more than twice as much (a container of another name does not outvote
+    the host); a page without either gives all its blocks.
+    """
     got = list(blocks(page or ""))
-    for want in (path, own if own is not None else best_path(page)[0]):
-        if want:
-            steps = tuple(want.split(">"))
-            if inside := [t for p, t, _ in got if p[:len(steps)] == steps]:
-                return "\n".join(inside)
-    return "\n".join(t for _, t, _ in got)
+
+    def inside(want: str | None) -> list[tuple]:
+        steps = tuple(want.split(">")) if want else None
+        return [x for x in got if x[0][:len(steps)] == steps] if steps else []
+
+    worth = lambda rows: sum(_prose(t, linked) for _, t, linked in rows)
+    mine = inside(path)
+    if not mine or 2 * worth(mine) < worth(got):
+        best = _best(got)[0]
+        if not mine or best.split(">")[-1].split(".")[0] in ("article", "main") and 2 * worth(mine) < worth(inside(best)):
+            mine = inside(best)
+    return "\n".join(t for _, t, _ in mine or got)
 
 
 def host(url: Column) -> Column:

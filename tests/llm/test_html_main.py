@@ -106,3 +106,61 @@ def test_split_articles_without_article_or_main_stay_whole(spark):
             (3, "http://c/1", f"<body><p>{lead}</p><div class=x><p>{rest}</p></div></body>")]
     out = {r["page_id"]: r["text"] for r in hm.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert out == {1: want, 2: want, 3: f"{lead.strip()}\n{rest.strip()}"}
+
+
+FURNITURE = """reader-comments user-comments comment-thread post-comments commentlist responses ad-slot adsense advert-unit related-posts
+related-articles share-this blog-sidebar cookie-policy-bar promo-card breaking-banner legal-notice readerComments comment_area
+story-comments sponsored-story newsletter-form social-icons entry-related sidebarleft footerlinks login-box article-sharing""".split()
+
+
+def test_furniture_inside_the_article_goes_by_any_dropped_word():
+    text = "\n".join([LONG.strip()] * 6)
+    for name in FURNITURE:
+        for box in (f"<div class='{name}'><p>{LONG * 2}</p></div>", f"<section id='{name}'>{LONG * 2}</section>"):
+            page = f"<html><body><article>{f'<p>{LONG}</p>' * 6}{box}</article></body></html>"
+            assert hm.extract(page, "html>body>article") == text, name
+
+
+def test_names_that_tell_of_a_state_or_of_the_articles_own_parts_stay():
+    for name in ("no-comments", "with-sidebar", "comments-closed", "menu-open", "adfree ad-free", "commentary", "socialism", "entry-header",
+                 "article-footer", "shareholders", "admin", "download", "formation", "navigator"):
+        page = f"<body><div class='{name}'><p>{LONG * 2}</p></div><div class=text><p>{LONG * 3}</p></div></body>"
+        assert len([t for _, t, _ in hm.blocks(page)]) == 2, name
+
+
+def test_long_comments_never_outweigh_a_short_article():
+    page = f"<body><div class=post><p>{LONG}</p></div><div class='reader-comments'><p>{LONG * 20}</p></div></body>"
+    assert hm.extract(page, None) == LONG.strip()
+    page = f"<body><div class='social-story'><p>{LONG * 9}</p></div><p>{LONG}</p></body>"
+    assert hm.extract(page, None).startswith((LONG * 9).strip())
+
+
+def test_an_article_is_not_lost_to_a_little_text_at_the_hosts_path(spark):
+    rows = [(i, f"http://a/{i}", f"<body><div class=content><p>{LONG * 4}</p></div></body>") for i in range(3)]
+    rows += [(3, "http://a/3", f"<body><div class=content><p>Short teaser.</p></div><article><p>{LONG * 5}</p></article></body>")]
+    out = {r["page_id"]: r["text"] for r in hm.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {0: (LONG * 4).strip(), 1: (LONG * 4).strip(), 2: (LONG * 4).strip(), 3: (LONG * 5).strip()}
+
+
+def test_known_articles_of_generated_pages_without_article_elements(spark):
+    """A whole table: hosts with a template each, furniture with made-up names, articles of one to twelve blocks."""
+    rng = random.Random(11)
+    words = "river stone quiet under morning seven paper lamp border winter signal copper orchard thread".split()
+    kinds = ["comments", "related", "promo", "sidebar", "cookie", "share", "ad", "newsletter", "breadcrumbs", "footer", "sponsor"]
+    rows, want = [], {}
+    for i in range(300):
+        h = i % 12
+        blocks = [" ".join(rng.choices(words, k=rng.randint(12, 60))) for _ in range(rng.randint(1, 12))]
+
+        def extra(tag):
+            kind = rng.choice(kinds)
+            name = rng.choice([f"{kind}-{rng.choice(words)}", f"{rng.choice(words)}_{kind}", f"{rng.choice(words)}{kind.title()}"])
+            return f"<{tag} class='{name} x{rng.randint(1, 9)}'><p>{' '.join(rng.choices(words, k=rng.randint(3, 40)))}</p></{tag}>"
+
+        body = "".join(f"<p>{b}</p>" + (extra("div") if rng.random() < 0.2 else "") for b in blocks)
+        box = f"<div class='{words[h]}-text n{i}'>{body}{extra('section')}</div>"
+        wrap = f"<div class=wrap{h}>{extra('div')}{box}{extra('div')}</div>"
+        rows.append((i, f"https://h{h}.example.org/{i}", f"<html><body><nav><a href=/>Home</a></nav>{wrap}{extra('div')}</body></html>"))
+        want[i] = "\n".join(blocks)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    assert {r["page_id"]: r["text"] for r in hm.main_text(df).collect()} == want
