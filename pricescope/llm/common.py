@@ -34,6 +34,14 @@ def only(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, or a longer form of it that is no column of ``frames`` (Spark compares names without case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` as (node, component).
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricescope.llm.common import cut
+from pricescope.llm.common import cut, unused
 
 #: The searched values are broadcast only up to this many rows of 16 bytes; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -86,10 +86,15 @@ def contained(docs: DataFrame, items: DataFrame, rule: Containment = Containment
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, rule: Containment = Containment(), **cols) -> DataFrame:
-    """The rows of ``docs`` whose document contains no item; all columns stay."""
-    id_col = cols.get("id_col", "doc_id")
-    bad = cut(contained(docs, items, rule, **cols).select(F.col("doc_id").alias("_bad")).distinct(), "item-leaks")
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of ``docs`` whose document contains no item; all columns stay, whatever their names.
+
+    A null or empty text contains nothing and stays.  Rows that repeat an id
+    (null ids among themselves) go together if the text of one of them
+    contains an item.  An empty table on either side removes nothing.
+    """
+    id_col, bad = cols.get("id_col", "doc_id"), unused("bad_id", docs)
+    leaks = cut(contained(docs, items, rule, **cols).select(F.col("doc_id").alias(bad)).distinct(), "item-leaks")
+    return docs.join(leaks, F.col(f"`{id_col}`").eqNullSafe(F.col(bad)), "left_anti")
 
 
 def oracle(rule: Containment = Containment()) -> str:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricescope.llm.common import cut
+from pricescope.llm.common import cut, unused
 
 UND = "und"
 _SPACE = np.uint32(32)
@@ -244,11 +244,13 @@ def document_languages(docs: DataFrame, settings: Settings = Settings(), id_col:
 
 def keep_known(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
                declared_col: str = "lang", host_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` in a known language, all columns as they are; rows of one id and text stay or go together."""
+    """The rows of ``docs`` in a known language, all columns as they are, whatever their names; rows of one id and text
+    stay or go together.  A null or empty text is judged by declaration and host alone; an empty table stays empty."""
     key = F.struct(F.col(f"`{id_col}`").alias("d"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"))
+    d, h = unused("lost_id", docs), unused("lost_hash", docs)
     out = _documents(docs, key, settings, text_col, declared_col, host_col)
-    lost = cut(out.where("not kept").select(F.col("id.d").alias("_d"), F.col("id.h").alias("_h")).distinct(), "language-rejects")
-    return docs.join(lost, F.col(f"`{id_col}`").eqNullSafe(F.col("_d")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_h")), "left_anti")
+    lost = cut(out.where("not kept").select(F.col("id.d").alias(d), F.col("id.h").alias(h)).distinct(), "language-rejects")
+    return docs.join(lost, F.col(f"`{id_col}`").eqNullSafe(F.col(d)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(h)), "left_anti")
 
 
 def _visible(html: Column) -> Column:

@@ -63,3 +63,12 @@ def test_null_ids_repeats_and_empty_tables(spark):
     assert [r["doc_id"] for r in dc.decontaminate(d, q).collect()] == [5]
     assert dc.contained(d.limit(0), q).collect() == [] and dc.contained(d, q.limit(0)).collect() == []
     assert dc.decontaminate(d, q.limit(0)).count() == 5
+
+
+def test_columns_of_any_name_flow_through(spark):
+    cols = ["bad_id", "_bad", "row", "hash", "item", "s", "d", "item_id", "n_common", "c", "m"]
+    item = "one two three four five six seven eight nine ten"
+    rows = [(i, t, *[f"{c}{i}" for c in cols]) for i, t in enumerate([item, "clean text of five words only", None, "x " * 50_000])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *cols])
+    got = dc.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == sorted(rows[1:])

@@ -100,3 +100,11 @@ def test_documents_of_rare_labels_are_identified(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     out = {r["doc_id"]: r for r in li.document_languages(df, li.Settings(slots=1 << 12)).collect()}
     assert all(out[r[0]]["lang"] == r[2] and out[r[0]]["kept"] for r in rows)
+
+
+def test_keep_known_lets_columns_of_any_name_through(spark):
+    cols = ["_d", "_h", "lost_id", "lost_hash", "id", "address", "domain", "declared", "host", "confidence", "kept"]
+    rows = [(i, f"the river and the house of the old man number {i}", "en", "a.example", *[f"{c}{i}" for c in cols]) for i in range(30)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *cols])
+    got = li.keep_known(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == sorted(rows)
