@@ -22,6 +22,18 @@ def hours(n) -> Column:
     return F.make_dt_interval(hours=n if isinstance(n, Column) else F.lit(int(n)))
 
 
+def local_rows(spark, rows: list[tuple], schema: str):
+    """A few driver-side rows as a local relation, which plans read without a job (``createDataFrame`` of a list
+    makes an RDD)."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+    fields = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+    cols = list(zip(*rows, strict=True)) or [[] for _ in arrow]
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow), fields)
+
+
 def nullif(c: Column, v) -> Column:
     return F.when(c != F.lit(v), c)
 

@@ -19,18 +19,18 @@ from pricescope.functions.exprs import empty_to_null, ts_lit
 
 # ----------------------------------------------------------------- helpers
 def parse_ts(c: Column) -> Column:
-    """``_parse_ts``: empty -> null; ISO text (with or without zone) -> UTC
+    """Feed times: empty -> null; ISO text (with or without zone) -> UTC
     wall time as TIMESTAMP_NTZ; unparsable -> null."""
     return F.try_to_timestamp(empty_to_null(c)).cast("timestamp_ntz")
 
 
 def _try_double(c: Column) -> Column:
-    """``_safe_numeric``: string or number -> double, null on failure."""
+    """Feed numbers: text or number -> double, null if it is neither."""
     return F.trim(c.cast("string")).try_cast("double")
 
 
 def json_array(c: Column) -> Column:
-    """``_maybe_parse_json_string`` for list-valued fields: parse text that
+    """List-valued feed fields: parse text that
     looks like a JSON array into array<string>; anything else -> null."""
     t = F.trim(c)
     return F.when(t.startswith("[") & t.endswith("]"), F.from_json(t, "array<string>"))

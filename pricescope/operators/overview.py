@@ -81,14 +81,46 @@ def overview_chunks(flat: DataFrame, pages_per_chunk: int = 4) -> DataFrame:
     return g.select("series_id", "event_id", "chunk", F.to_json(doc).alias("value"))
 
 
-def write_overview(flat: DataFrame, path: str, pages_per_chunk: int = 4) -> None:
-    """Write the chunked nested overview as JSON lines (text)."""
-    overview_chunks(flat, pages_per_chunk).select("value").write.mode("overwrite").text(path)
+_PLACE = ["series_id", "event_id", "chunk"]
+
+
+def write_overview(flat: DataFrame, path: str, generated_at=None, pages_per_chunk: int = 4) -> None:
+    """Write the nested overview as one JSON document, in parallel.
+
+    The part files, in the order of their names, are one document: a head
+    with the metadata, the records of ``overview_chunks`` as the list
+    ``events``, and an end.  Every record but the first has its comma, so no
+    task needs to know its neighbours, and no part holds more than its range.
+    """
+    place = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in _PLACE])
+    chunks = overview_chunks(flat, pages_per_chunk).withColumn("at", place)
+    first = chunks.agg(F.min("at")).scalar()
+    record = F.concat(F.when(F.col("at") == first, F.lit("")).otherwise(F.lit(",")), F.col("value"))
+    meta = overview_metadata(flat, generated_at if generated_at is not None else F.current_timestamp())
+    none = F.lit(None).cast(chunks.schema["at"].dataType).alias("at")
+    head = meta.select(F.lit(0).alias("k"), none, F.concat(F.regexp_replace(F.to_json(F.struct("*")), r"\}$", ""),
+                                                           F.lit(',"events":[')).alias("value"))
+    end = flat.sparkSession.range(1, numPartitions=1).select(F.lit(2).alias("k"), none, F.lit("]}").alias("value"))
+    rows = head.unionByName(chunks.select(F.lit(1).alias("k"), "at", record.alias("value"))).unionByName(end)
+    # Parts are ranges of (k, at); their files are numbered in that order.
+    (rows.repartitionByRange("k", "at").sortWithinPartitions("k", "at").select("value")
+     .write.mode("overwrite").text(path))
+
+
+def read_overview(spark, path: str) -> DataFrame:
+    """The markets of a written document: series_id, event_id, event_title, event_close_ts and the market fields."""
+    market = ", ".join(f"{c}:{'int' if c in ('yes_ask', 'no_ask') else 'bigint' if c in ('volume', 'open_interest') else 'string'}"
+                       for c in MARKET_FIELDS)
+    doc = f"struct<series_id:string, event:struct<event_id:string, event_title:string, close_ts:string>, markets:array<struct<{market}>>>"
+    lines = spark.read.text(path).where(F.col("value").rlike(r"^,?\{") & ~F.col("value").endswith('"events":['))
+    d = lines.select(F.from_json(F.regexp_replace("value", "^,", ""), doc).alias("d"))
+    return d.select("d.series_id", "d.event.event_id", "d.event.event_title", F.col("d.event.close_ts").alias("event_close_ts"),
+                    F.inline("d.markets"))
 
 
 def overview_payload(flat: DataFrame, generated_at, payload_path: str) -> DataFrame:
     """K9: the payload-snapshot row (counts and the location of the
-    document) to append to the snapshot table."""
+    document, see ``write_overview``) to append to the snapshot table."""
     return overview_metadata(flat, generated_at).withColumn("payload_path", F.lit(payload_path))
 
 

@@ -134,15 +134,10 @@ def prob_events_by_time(snaps: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------- several runs at once, N1-N4
-def _with_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
-    """``rows`` with their run's number; ``runs(snap_ts, run_id)`` has one row a run."""
-    return rows.join(F.broadcast(runs), "snap_ts")
-
-
 def _global_by_run(state: DataFrame, runs: DataFrame, aggs: list[Column], mean: str) -> DataFrame:
     g = state.groupBy("snap_ts").agg(*aggs)
     rest = [c for c in g.columns if c != "snap_ts"]
-    # As without grouping, a run without active rows has a row of zeros.
+    # ``runs(snap_ts, run_id)`` has one row a run.  As without grouping, a run without active rows has a row of zeros.
     return runs.join(g, "snap_ts", "left").select(
         "run_id", "snap_ts", *[F.col(c) if c == mean else F.coalesce(c, F.lit(0)).cast(g.schema[c].dataType).alias(c) for c in rest])
 
@@ -157,20 +152,18 @@ def global_by_run_prob(state: DataFrame, runs: DataFrame) -> DataFrame:
     return _global_by_run(state.where(F.col("active")), runs, prob_global_aggs(), "avg_yes_price")
 
 
-def series_by_run_tick(state: DataFrame, runs: DataFrame) -> DataFrame:
+def series_by_run_tick(state: DataFrame) -> DataFrame:
     """N3 over the state as of several runs."""
     ev = event_from_raw("raw")
     g = (state.where((F.col("status") == "active") & ev.isNotNull() & _priced())
-         .groupBy("snap_ts", ev.alias("series_ticker")).agg(*tick_series_aggs()))
-    rest = [c for c in g.columns if c != "snap_ts"]
-    return _with_run(_series_having(g), runs).select("snap_ts", "run_id", *rest)
+         .groupBy("snap_ts", "run_id", ev.alias("series_ticker")).agg(*tick_series_aggs()))
+    return _series_having(g)
 
 
-def events_by_run_prob(state: DataFrame, runs: DataFrame) -> DataFrame:
+def events_by_run_prob(state: DataFrame) -> DataFrame:
     """N4 over the state as of several runs."""
-    g = state.where(F.col("active") & F.col("event_id").isNotNull()).groupBy("snap_ts", "event_id").agg(*prob_event_aggs())
-    rest = [c for c in g.columns if c != "snap_ts"]
-    return _with_run(g, runs).select("snap_ts", "run_id", *rest)
+    g = state.where(F.col("active") & F.col("event_id").isNotNull()).groupBy("snap_ts", "run_id", "event_id").agg(*prob_event_aggs())
+    return g
 
 
 # ------------------------------------------------------- market picks, N5-N7
@@ -178,7 +171,7 @@ def events_by_run_prob(state: DataFrame, runs: DataFrame) -> DataFrame:
 _STEPS, _ACCURACY = 256, 10_000
 
 
-def _lists(c: DataFrame, cap: int, key: str, orders: dict[str, tuple]) -> DataFrame:
+def _lists(c: DataFrame, cap: int, key: str, orders: dict[str, tuple], one_run: bool = False) -> DataFrame:
     """The rows of ``c`` that are among the first ``cap`` of their run (``snap_ts``) in any of the lists
     ``orders``: name -> (column, descending, condition).  Nulls rank last, ties by ``key``.
 
@@ -199,8 +192,11 @@ def _lists(c: DataFrame, cap: int, key: str, orders: dict[str, tuple]) -> DataFr
         share = F.ceil(F.lit(_STEPS) * cap / F.when(F.col(f"n_{name}") > 0, F.col(f"n_{name}"))).cast("int") + 1
         at = (F.lit(_STEPS) - share) if desc else share
         cuts.append(F.when((at >= 1) & (at < _STEPS), F.get(f"q_{name}", at - 1)).alias(f"cut_{name}"))
-    # One row a run on the broadcast side.
-    c_cut = c.join(F.broadcast(sketch.select("snap_ts", *cuts)), "snap_ts")
+    if one_run:  # the run is a constant: its cuts are one scalar subquery
+        found = sketch.select(F.struct(*cuts)).scalar()
+        c_cut = c.select("*", *[found[f"cut_{name}"].alias(f"cut_{name}") for name in orders])
+    else:        # one row a run on the broadcast side
+        c_cut = c.join(F.broadcast(sketch.select("snap_ts", *cuts)), "snap_ts")
     parts = []
     for name, (col, desc, ok) in orders.items():
         v, cut = F.col(col), F.col(f"cut_{name}")
@@ -218,37 +214,33 @@ def _lists(c: DataFrame, cap: int, key: str, orders: dict[str, tuple]) -> DataFr
 
 def _tick_candidates(state: DataFrame) -> DataFrame:
     return (state.where((F.col("status") == "active") & _priced())
-            .select("snap_ts", "market_ticker", event_from_raw("raw").alias("series_ticker"),
+            .select("snap_ts", "run_id", "market_ticker", event_from_raw("raw").alias("series_ticker"),
                     "expiration_time", "yes_bid", "yes_ask", "volume", "open_interest",
                     (F.col("yes_ask") - F.col("yes_bid")).alias("spread_ticks"),
                     ((F.col("yes_bid") + F.col("yes_ask")) / 2.0).alias("mid")))
 
 
-def picks_by_run_tick(state: DataFrame, runs: DataFrame, cap: int | None = PICK_CAP, wide: int = WIDE_SPREAD,
-                      horizon_hours: int = EXPIRY_HORIZON_H) -> DataFrame:
-    """N5 over the state as of several runs: ``state`` has a row per run (``snap_ts``) and market."""
+def picks_by_run_tick(state: DataFrame, cap: int | None = PICK_CAP, wide: int = WIDE_SPREAD,
+                      horizon_hours: int = EXPIRY_HORIZON_H, one_run: bool = False) -> DataFrame:
+    """N5 over the state as of several runs: ``state`` has a row per run (``snap_ts``, ``run_id``) and market."""
     c = _tick_candidates(state)
     horizon = F.col("snap_ts") + F.make_dt_interval(hours=F.lit(horizon_hours))
-    pick = c if cap is None else _lists(c, cap, "market_ticker", {
+    return c if cap is None else _lists(c, cap, "market_ticker", {
         "volume": ("volume", True, None), "interest": ("open_interest", True, None),
         "spread": ("spread_ticks", True, F.col("spread_ticks") >= wide),
-        "expiry": ("expiration_time", False, F.col("expiration_time") <= horizon)})
-    return _with_run(pick, runs).select("snap_ts", "run_id", *[x for x in c.columns if x != "snap_ts"])
+        "expiry": ("expiration_time", False, F.col("expiration_time") <= horizon)}, one_run)
 
 
-def picks_by_run_prob(state: DataFrame, runs: DataFrame, cap: int | None = PICK_CAP) -> DataFrame:
+def picks_by_run_prob(state: DataFrame, cap: int | None = PICK_CAP, one_run: bool = False) -> DataFrame:
     """N6 over the state as of several runs."""
-    c = state.where(F.col("active")).select("snap_ts", "condition_id", "event_id", "end_date", "volume", "volume_24hr",
+    c = state.where(F.col("active")).select("snap_ts", "run_id", "condition_id", "event_id", "end_date", "volume", "volume_24hr",
                                             "liquidity", "outcome_yes_price", "outcome_no_price")
-    pick = c if cap is None else _lists(c, cap, "condition_id", {m: (m, True, None) for m in ("volume", "liquidity", "volume_24hr")})
-    return _with_run(pick, runs).select("snap_ts", "run_id", *[x for x in c.columns if x != "snap_ts"])
+    return c if cap is None else _lists(c, cap, "condition_id", {m: (m, True, None) for m in ("volume", "liquidity", "volume_24hr")}, one_run)
 
 
-def _one_run(state: DataFrame, snap_ts, run_id: int) -> tuple[DataFrame, DataFrame]:
-    """The state and the run in the form of the functions for several runs."""
-    ts = ts_lit(snap_ts).alias("snap_ts")
-    runs = state.sparkSession.range(1, numPartitions=1).select(ts, F.lit(run_id).cast("long").alias("run_id"))
-    return state.select("*", ts), runs
+def _one_run(state: DataFrame, snap_ts, run_id: int) -> DataFrame:
+    """The state in the form of the functions for several runs."""
+    return state.select("*", ts_lit(snap_ts).alias("snap_ts"), F.lit(run_id).cast("long").alias("run_id"))
 
 
 def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int | None = PICK_CAP,
@@ -258,13 +250,13 @@ def pick_markets_tick(state: DataFrame, snap_ts, run_id: int, cap: int | None =
     soonest expiry within ``horizon_hours`` of the run (no lower bound, so
     already-expired markets qualify) -- written as snapshot rows.  With
     ``cap=None`` every such market."""
-    return picks_by_run_tick(*_one_run(state, snap_ts, run_id), cap, wide, horizon_hours)
+    return picks_by_run_tick(_one_run(state, snap_ts, run_id), cap, wide, horizon_hours, one_run=True)
 
 
 def pick_markets_prob(state: DataFrame, snap_ts, run_id: int, cap: int | None = PICK_CAP) -> DataFrame:
     """Union of the top-``cap`` active markets by volume, liquidity and
     24h volume (nulls last), as snapshot rows; all of them with ``cap=None``."""
-    return picks_by_run_prob(*_one_run(state, snap_ts, run_id), cap)
+    return picks_by_run_prob(_one_run(state, snap_ts, run_id), cap, one_run=True)
 
 
 def snapshot_full_tick(state: DataFrame, snap_ts, run_id: int) -> DataFrame:

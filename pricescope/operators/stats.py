@@ -26,7 +26,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricescope.functions.exprs import hours, safe_div, ts_lit
+from pricescope.functions.exprs import hours, local_rows, safe_div, ts_lit
 from pricescope.venues import Venue
 
 from pricescope.constants import MOVE_LOOKBACK_DAYS as LOOKBACK_DAYS  # noqa: E402
@@ -88,7 +88,7 @@ def stats_by_run(snaps: DataFrame, venue: Venue, runs: list, times: list, lookba
     """
     spark, day = snaps.sparkSession, dt.timedelta(days=1)
     near = [t for t in times if t > runs[0] - lookback_days * day] if runs else []
-    order = spark.createDataFrame(list(zip(near, range(len(near)))), "snap_ts timestamp_ntz, i int")
+    order = local_rows(spark, list(zip(near, range(len(near)))), "snap_ts timestamp_ntz, i int")
     newest = [(r, times[i - 1]) for r in runs if (i := bisect_right(times, r))]
     asked = F.array(*[F.struct(F.lit(r).cast("timestamp_ntz").alias("run"), F.lit(t).cast("timestamp_ntz").alias("newest"))
                       for r, t in newest])

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricescope.functions.exprs import epoch_micros, ts_lit
+from pricescope.functions.exprs import epoch_micros, local_rows, ts_lit
 
 #: The segment that the rows a table starts with are in.
 FIRST = -1
@@ -74,7 +74,7 @@ class KeyHistory:
         return self.segments(spark) if self._open is None else self._open
 
     def _log(self, spark: SparkSession, segs: list[int]) -> None:
-        rows = spark.createDataFrame([(1, s) for s in segs], "n long, seg int").coalesce(1)
+        rows = local_rows(spark, [(1, s) for s in segs], "n long, seg int").coalesce(1)
         _replace(rows, f"{self.path}/segments", "seg")
         if self._open is not None:
             self._open = sorted({*self._open, *segs})
@@ -163,8 +163,8 @@ class KeyHistory:
         rows = self.versions(spark).where((F.col("bucket") == bucket) & (F.col(self.key) == F.lit(key)))
         return self._newest(rows).select(*self.columns.names)
 
-    def at_runs(self, spark: SparkSession, runs: list[dt.datetime]) -> DataFrame:
-        """The table as of each of ``runs``: its rows with ``snap_ts`` and their ``_from``.
+    def at_runs(self, spark: SparkSession, runs: dict[dt.datetime, int]) -> DataFrame:
+        """The table as of each of ``runs`` (time -> number): its rows with ``snap_ts``, ``run_id`` and their ``_from``.
 
         Every version gets the time its key's next version starts, and goes
         to the runs in between; runs meet the versions of their own segment
@@ -172,13 +172,13 @@ class KeyHistory:
         """
         open_ = self._segments(spark)
         read = {t: open_[bisect_left(open_, self.segment(t) + 1) - 1] for t in runs}
-        times = spark.createDataFrame([(s, t) for t, s in read.items()], "seg int, snap_ts timestamp_ntz")
+        times = local_rows(spark, [(s, t, runs[t]) for t, s in read.items()], "seg int, snap_ts timestamp_ntz, run_id long")
         w = Window.partitionBy("seg", self.key).orderBy(F.col("_from").asc_nulls_first(), *ORDER[1:])
         rows = self._rows(spark, sorted(set(read.values()))).withColumn("_until", F.lead("_from").over(w))
         held = ((F.col("_from").isNull() | (F.col("_from") <= F.col("snap_ts")))
                 & (F.col("_until").isNull() | (F.col("snap_ts") < F.col("_until"))))
         # One row a run of the batch: their number is the caller's list.
-        return rows.join(F.broadcast(times), "seg").where(held).select("snap_ts", *self.columns.names, "_from")
+        return rows.join(F.broadcast(times), "seg").where(held).select("snap_ts", "run_id", *self.columns.names, "_from")
 
 
 def _ints(values: list[int]) -> Column:

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
 from pricescope.constants import COOLDOWN_HOURS, MOVE_LOOKBACK_DAYS, MOVER_LOOKBACK_HOURS, PICK_CAP
-from pricescope.functions.exprs import ts_lit
+from pricescope.functions.exprs import local_rows, ts_lit
 from pricescope.operators import alerts as al
 from pricescope.operators import ingest as ig
 from pricescope.operators import snapshots as sn
@@ -249,8 +249,8 @@ def _log_runs(spark: SparkSession, store, label: str, runs: list[tuple], closed:
     """K4: the batch's runs, open before the upsert and closed after it, one file each for all of them.  A batch
     that dies in between leaves its runs open -- the failed-runs query (C8) finds them -- until its replay closes
     them.  Times come from the pages, so a replay writes the same rows."""
-    rows = spark.createDataFrame([(i, t, t if closed else None, "stream", "spark", n, None, int(closed), done, seq)
-                                  for i, t, n, done, seq in runs], _LOGGED)
+    rows = local_rows(spark, [(i, t, t if closed else None, "stream", "spark", n, None, int(closed), done, seq)
+                              for i, t, n, done, seq in runs], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _LOGGED))
     _replace(rows.coalesce(1).withColumn("batch", F.lit(f"{label}-{'closed' if closed else 'open'}")), store.runs, "batch")
 
 
@@ -304,7 +304,7 @@ def _runs(job: VenueJob, store, batch_id: int, rows: DataFrame, runs: dict[dt.da
     changed = sorted(ids)                 # the batch's runs and all later ones
     for at in range(0, len(changed), RUNS_AT_ONCE):
         some = changed[at:at + RUNS_AT_ONCE]
-        held = store.state.at_runs(spark, some).persist()
+        held = store.state.at_runs(spark, {t: ids[t] for t in some}).persist()
         try:
             counts = {r.snap_ts: r.n for r in held.where(F.col("_from") == F.col("snap_ts")).groupBy("snap_ts")
                       .agg(F.count("*").alias("n")).collect()}
@@ -322,10 +322,10 @@ def _runs(job: VenueJob, store, batch_id: int, rows: DataFrame, runs: dict[dt.da
 def _snapshots(spark: SparkSession, job: VenueJob, store, held: DataFrame, ids: dict[dt.datetime, int], known: list,
                market_snapshot: bool, pick_cap: int | None) -> None:
     """R2: the snapshots of runs ``ids`` (time -> number) from the state as of each of them."""
-    runs = spark.createDataFrame(sorted(ids.items()), "snap_ts timestamp_ntz, run_id long").coalesce(1)
-    parts = [(store.global_snap, job.take_global(held, runs)), (getattr(store, job.group), job.take_group(held, runs))]
+    runs = local_rows(spark, sorted(ids.items()), "snap_ts timestamp_ntz, run_id long")
+    parts = [(store.global_snap, job.take_global(held, runs)), (getattr(store, job.group), job.take_group(held))]
     if market_snapshot:
-        parts.append((store.snapshots, job.take_markets(held, runs, cap=pick_cap)))
+        parts.append((store.snapshots, job.take_markets(held, cap=pick_cap)))
 
     def write(part):
         drop_runs(spark, part[0], known)  # a run may have no rows any more

@@ -93,3 +93,30 @@ def test_overview_rules(spark):
     chunks = ov.overview_chunks(flat).collect()
     doc = json.loads([c.value for c in chunks if c.series_id == "S1"][0])
     assert [m["ticker"] for m in doc["markets"]] == ["A", "B"]
+
+
+def test_overview_parts_are_one_valid_document(spark, tmp_path):
+    import json
+
+    from pricescope.constants import OVERVIEW_MARKET_FIELDS
+    fields = ("series_id string, event_id string, event_title string, event_close_ts string, ticker string, title string, status string, "
+              "yes_ask int, no_ask int, volume long, open_interest long, close_ts string, page_ts string, page_no long, pos int")
+    rows = [(f"S{i % 3}" if i % 5 else None, f"E{i % 4}", f'T"{i % 4}"', "c", f"M{i}", "t,\n", "active", i, None, i, 2, "z", "p", i // 4, i % 4)
+            for i in range(60)]
+    flat = spark.createDataFrame(rows, fields).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ov.write_overview(flat, str(tmp_path / "doc"), "2024-01-31 00:00:00", pages_per_chunk=2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(p for p in (tmp_path / "doc").iterdir() if p.name.startswith("part-"))
+    doc = json.loads("".join(p.read_text() for p in parts))
+    assert len(parts) > 1 and (doc["market_count"], doc["event_count"], doc["series_count"]) == (60, len({r[:2] for r in rows}), 4)
+    got = [(e.get("series_id"), e["event"]["event_id"], m["ticker"]) for e in doc["events"] for m in e["markets"]]
+    assert sorted(got, key=str) == sorted(((r[0], r[1], r[4]) for r in rows), key=str)
+    back = ov.read_overview(spark, str(tmp_path / "doc"))
+    assert back.columns == ["series_id", "event_id", "event_title", "event_close_ts", *OVERVIEW_MARKET_FIELDS]
+    assert sorted(map(str, back.collect())) == sorted(map(str, flat.select(*back.columns).collect()))
+    ov.write_overview(flat.limit(0), str(tmp_path / "none"), "2024-01-31 00:00:00")
+    none = "".join(p.read_text() for p in sorted((tmp_path / "none").iterdir()) if p.name.startswith("part-"))
+    assert json.loads(none)["events"] == []

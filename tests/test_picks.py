@@ -48,8 +48,8 @@ def test_prob_picks_equal_a_full_ranking_of_each_run(spark):
                    "liquidity": rnd.choice([1.0, 2.0]), "volume_24hr": float(i % 1000)}.get(c) for c in PROB_STATE.names) for i in range(2000)]
     state = spark.createDataFrame(rows, PROB_STATE)
     runs = [(RUN, 1), (RUN + dt.timedelta(hours=6), 2)]
-    both = state.withColumn("snap_ts", sn.ts_lit(runs[0][0])).unionByName(state.where("volume > 3").withColumn("snap_ts", sn.ts_lit(runs[1][0])))
-    got = sn.picks_by_run_prob(both, spark.createDataFrame(runs, "snap_ts timestamp_ntz, run_id long"), cap=15).collect()
+    both = sn._one_run(state, *runs[0]).unionByName(sn._one_run(state.where("volume > 3"), *runs[1]))
+    got = sn.picks_by_run_prob(both, cap=15).collect()
     i = {c: PROB_STATE.names.index(c) for c in PROB_STATE.names}
     for run, number in runs:
         c = [r for r in rows if r[i["active"]] and (number == 1 or (r[i["volume"]] or 0) > 3)]
@@ -63,7 +63,7 @@ def test_the_sketch_keeps_a_ranking_task_small(spark):
     state = spark.range(40_000).selectExpr("concat('M', id) as market_ticker", "'active' as status", "1 as yes_bid", "3 as yes_ask",
                                            "id * 7 % 40009 as volume", "id as open_interest", "cast(null as timestamp_ntz) as expiration_time",
                                            "'{}' as raw").repartition(8)
-    both = state.withColumn("snap_ts", sn.ts_lit(RUN)).unionByName(state.withColumn("snap_ts", sn.ts_lit("2024-01-31 00:00:00")))
+    both = sn._one_run(state, RUN, 1).unionByName(sn._one_run(state, "2024-01-31 00:00:00", 2))
     got = sn._lists(sn._tick_candidates(both), 100, "market_ticker", {"volume": ("volume", True, None)})
     assert got.count() == 200
     plan = got._jdf.queryExecution().optimizedPlan().toString()
