@@ -20,6 +20,7 @@ are ordered by their text; a null or empty text has the end id alone.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import struct
@@ -49,26 +50,31 @@ class WordIds(dict):
 
     The vocabulary's pre-tokenizer never joins across white space, nor a word
     of letters with the marks after it, so a text's ids are those of its
-    pieces in order, and frequent pieces are encoded once per worker.
+    pieces in order, and frequent pieces are encoded once per worker.  Letters
+    are judged after the vocabulary's normalisation, which splits some of
+    them (a dotted capital I) into a letter and a mark.
     """
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
         super().__init__()
-        self.dtype, self.tok = dtype, Tokenizer.from_file(path)
+        self.code, self.tok = {"<u2": "H", "<u4": "I"}[dtype], Tokenizer.from_file(path)
         self.model = self.tok.model
         self[""] = b""
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _letters(self, word: str) -> bool:
+        return word.isalpha() and (word.isascii() or self.tok.normalizer.normalize_str(word).isalpha())
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBER:
             self.clear()
             self[""] = b""
         stem = word.rstrip(MARKS)
-        if stem != word and stem.isalpha():
-            got = self[stem] + self._pack(self.tok.encode(word[len(stem):], add_special_tokens=False).ids)
+        if stem != word and self._letters(stem):
+            got = self[stem] + self[word[len(stem):]]
         elif word.isascii() and word.isalpha():
             low = word.lower()
             got = self[low] if low != word else self._pack([t.id for t in self.model.tokenize(word)])
@@ -85,6 +91,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
+@functools.cache
+def word_ids(path: str, dtype: str) -> WordIds:
+    """The worker process's own encoder, kept from task to task."""
+    return WordIds(path, dtype)
+
+
 def width_of(path: str, end_id: int) -> str:
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
@@ -101,7 +113,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, dtype: str):
         part = TaskContext.get().partitionId()
         fs, base = _fs(folder)
         tmp, name = f"{base}/_{part:05d}-{uuid.uuid4().hex}", f"{base}/part-{part:05d}"
-        words, end = WordIds(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+        words, end = word_ids(tokenizer, dtype), np.array([end_id], dtype).tobytes()
         size, ids, have, offsets = len(end), [], [], [0]
         with fs.open_output_stream(f"{tmp}.bin") as out:
             for b in batches:

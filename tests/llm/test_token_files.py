@@ -46,6 +46,18 @@ def test_pieces_give_the_ids_of_the_whole_text(parts, sep):
     assert np.frombuffer(_words.encode(text), "<u4").tolist() == _tok.encode(text, add_special_tokens=False).ids
 
 
+def test_every_word_with_every_mark_after_and_before_it():
+    words, tok = tf.WordIds(PATH, "<u4"), Tokenizer.from_file(PATH)
+    stems = [*PIECES, "İİ", "aİ", "ﬁ", "ŉ", "ǰ", "ẞ", "Å", "ﬃx", "ΐ", "한", "가", "e\u0301"]
+    marks = [*tf.MARKS, "'", "...", ",'", "—", "\u0307", "İ"]
+    for text in [x for w in stems for m in marks for x in (w + m, m + w, w + m + w)]:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
+def test_the_encoder_is_kept_in_the_worker():
+    assert tf.word_ids(PATH, "<u2") is tf.word_ids(PATH, "<u2")
+
+
 def test_query_matches_whole_text_encoding(spark, tok):
     from pricescope.llm import queries
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
