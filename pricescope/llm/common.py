@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,10 @@ from pyspark.sql import functions as F
 from pricescope.session import checkpoint_root
 
 
+#: Folders that ``cut`` wrote in the innermost ``cut_alone``.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder path under the session's shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
@@ -26,7 +32,40 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    _note(path)
+    return out
+
+
+def _note(path: str) -> None:
+    if (made := _made.get()) is not None:
+        made.append(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote; nothing that is still to be computed may read them."""
+    for df in frames:
+        _delete(df.sparkSession, df.scratch_path)
+
+
+def cut_alone(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Write ``build()``'s result and delete every other table that was cut on the way to it."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        out = cut(build(), name)
+    finally:
+        _made.reset(token)
+    for path in made[:-1]:
+        _delete(out.sparkSession, path)
+    _note(out.scratch_path)
+    return out
 
 
 def only(df: DataFrame, *cols: str) -> DataFrame:
