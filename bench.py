@@ -28,7 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pricescope.plans import registry  # noqa: E402
 from pricescope.session import build_session, checkpoint_root  # noqa: E402
-from pricescope.sources.tables import from_testdata, write_parquet  # noqa: E402
+from pricescope.sources.tables import BUCKETED, from_testdata, write_parquet  # noqa: E402
 
 SKIP_PREFIX = ("stream_",)
 
@@ -47,7 +47,7 @@ def main() -> None:
     root = f"{checkpoint_root(spark)}/bench-{uuid.uuid4().hex[:8]}"
 
     t0 = time.time()
-    wh = write_parquet(from_testdata(spark, sf_dir, persist=True), root)
+    wh = write_parquet(from_testdata(spark, sf_dir, stored=root), root, written=tuple(BUCKETED))
     build = time.time() - t0
 
     cold, warm, failed = {}, {}, {}
