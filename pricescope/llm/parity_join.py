@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricescope.llm.common import components, cut, only
+from pricescope.llm.common import components, cut, cut_alone, drop, only
 
 # Fixed odd multipliers and the finaliser of splitmix64 (public domain).
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: 64-bit words of the folded bit sketch that travels with leftover bucket rows.
 FOLD = 8
+#: Block keys are exchanged in as many parts, by key; each part's shuffle files go before the next.
+PARTS = 4
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -206,21 +209,36 @@ def parity_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc
     ``component_id`` the smallest id reachable by links, itself included.
     A null or empty text has no shingles and links with nothing.  Rows that
     share an id are one node of the link graph: their classes are joined.
-    A row with a null id is returned with its count and no component.
+    A row with a null id is returned with its count and no component.  Only
+    the result's table stays in the shared folder.
     """
+    return cut_alone(lambda: _classes(docs, spec, id_col, text_col), "parity-classes")
+
+
+def _held(reps: DataFrame, part: int) -> DataFrame:
+    """One part's (key, rep, lo, hi): blocks that several sets share, with the smallest and largest of these."""
+    blocks = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
+    # One exchange by key serves the groups and the join; neither holds a group's rows together.
+    blocks = blocks.where(F.pmod("key", F.lit(PARTS)) == part).repartition("key")
+    many = blocks.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
+    return cut(blocks.join(many.hint("shuffle_hash"), "key"), "parity-held")
+
+
+def _classes(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str) -> DataFrame:
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").alias("text"))
     feats = cut(docs.mapInArrow(_features(spec), "doc_id long, n long, sig_a long, sig_b long, keys array<long>"),
                 "parity-features")
-    some = feats.where("n > 0 and doc_id is not null")
+    all_keys = feats
+    feats = cut(feats.drop("keys"), "parity-sizes")
+    some = all_keys.where("n > 0 and doc_id is not null")
     classes = cut(some.groupBy("sig_a", "sig_b", "n").agg(F.min("doc_id").alias("rep")), "parity-classes")
     # The few ids that are repeated may stand for several texts: each text is looked at.
     reps = some.join(classes.select("sig_a", "sig_b", "n", F.col("rep").alias("doc_id")),
                      ["sig_a", "sig_b", "n", "doc_id"], "left_semi")
-    blocks = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
-    many = cut(blocks.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi"),
-               "parity-buckets")
-    held = cut(blocks.join(many, "key"), "parity-held")
+    parts = [_held(reps, i) for i in range(PARTS)]
+    drop(all_keys)
+    held = reduce(DataFrame.union, parts)
     # Whole sets of the documents that share a block with another, for every later check.
     sets = cut(docs.join(held.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                .mapInArrow(_sets(spec), "id long, n long, s binary, " + ", ".join(f"w{j} long" for j in range(FOLD))),
@@ -234,9 +252,11 @@ def parity_join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc
                  .join(label.withColumnRenamed("node", "rep"), "rep", "left")
                  .select("key", "rep", F.coalesce("component", "rep").alias("c")))
     open_rows = cut(open_rows, "parity-labelled")
+    drop(*parts)
     unsettled = cut(open_rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
                     .where("x < y").select("key"), "parity-unsettled")
     rest = cut(open_rows.join(unsettled, "key"), "parity-rest")
+    drop(open_rows)
     left = rest.select("key", F.col("rep").alias("a"), F.col("c").alias("ca"))
     right = rest.select("key", F.col("rep").alias("b"), F.col("c").alias("cb"))
     more = _residual(sets, left, right, spec)
