@@ -236,8 +236,10 @@ def _classes(docs: DataFrame, spec: JoinSpec, id_col: str, text_col: str) -> Dat
     # The few ids that are repeated may stand for several texts: each text is looked at.
     reps = some.join(classes.select("sig_a", "sig_b", "n", F.col("rep").alias("doc_id")),
                      ["sig_a", "sig_b", "n", "doc_id"], "left_semi")
-    parts = [_held(reps, i) for i in range(PARTS)]
+    reps = cut(reps.select("doc_id", "keys"), "parity-reps")
     drop(all_keys)
+    parts = [_held(reps, i) for i in range(PARTS)]
+    drop(reps)
     held = reduce(DataFrame.union, parts)
     # Whole sets of the documents that share a block with another, for every later check.
     sets = cut(docs.join(held.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")

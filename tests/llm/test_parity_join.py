@@ -96,3 +96,19 @@ def test_linked_sets_share_a_block_and_keep_the_hamming_bound(base, drop, add, t
     assert int(np.bitwise_count(pj.bit_sketch(a) ^ pj.bit_sketch(b)).sum()) <= diff
     if diff and spec.den * inter >= spec.num * (len(a) + len(b) - inter):
         assert set(pj.block_keys(a, spec).tolist()) & set(pj.block_keys(b, spec).tolist())
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark):
+    """What the join writes on its way is deleted (before, every table stayed)."""
+    import os
+
+    from pricescope.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    held = lambda: set(os.listdir(f"{root}/llm")) if os.path.isdir(f"{root}/llm") else set()
+    before = held()
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words), (2, words + " x"), (3, "other text"), (4, None)], "doc_id long, text string")
+    out = pj.parity_join(docs, pj.JoinSpec())
+    assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+    assert len(held() - before) == 1
