@@ -78,9 +78,11 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "stream":
         from pricescope.streaming import pipeline as sp
         start = sp.start_tick_stream if a.venue == "tick" else sp.start_prob_stream
-        q_ = start(spark, a.landing, _store(a.venue, a.store), a.checkpoint, available_now=a.once,
+        store = _store(a.venue, a.store)
+        q_ = start(spark, a.landing, store, a.checkpoint, available_now=a.once,
                    alerts=not a.no_alerts, **({} if a.pick_cap is None else {"pick_cap": a.pick_cap or None}))
         q_.awaitTermination()
+        sp.check_whole(spark, store)
     elif a.cmd == "maintain":
         from pricescope.streaming import pipeline as sp
         print(sp.forget_before(spark, _store(a.venue, a.store), a.late_days))

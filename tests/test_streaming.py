@@ -330,6 +330,42 @@ def test_stream_run_log_and_tolerated_alert_failure(spark, tmp_path):
     assert runs == [(1, 2), (2, 1)]                # the run still completed
 
 
+def test_a_failed_alert_step_is_no_result_and_the_next_batch_does_it_again(spark, tmp_path, monkeypatch):
+    from pricescope.plans import registry
+    pages = [_pages(spark, f"2024-01-30T{6 * i:02d}:00:00Z", [_m("A", 20 + 15 * i * i), _m(f"K{i}", 9)]) for i in range(4)]
+    whole, store = _store(spark, tmp_path / "whole"), _store(spark, tmp_path / "broken")
+    for i, p in enumerate(pages):
+        sp.tick_batch(p, i, whole)
+    sp.tick_batch(pages[0], 0, store)
+    sp.check_whole(spark, store)
+    wh = type("Wh", (), {"spark": spark})()
+    monkeypatch.setattr(registry, "_streamed", lambda *a, **k: store)
+    with monkeypatch.context() as m:
+        m.setattr(sp, "_alerts", lambda *a: 1 / 0)
+        sp.tick_batch(pages[1], 1, store)                # tolerated, but written down
+        sp.tick_batch(pages[2], 2, store)
+    assert sorted({r.run.hour for r in sp.read_failed(spark, store).collect()}) == [6, 12]
+    for name in ("stream_alerts", "stream_alerts_prob", "stream_move_stats_prob"):
+        with pytest.raises(RuntimeError, match="not whole.*2 runs.*ZeroDivisionError"):
+            registry.PLANS[name](wh)
+    sp.tick_batch(pages[3], 3, store)                    # does the failed runs again
+    assert _tables(spark, store) == _tables(spark, whole) and len(_tables(spark, whole)["history"]) == 3
+    assert sp.read_failed(spark, store).count() == 0 and registry.PLANS["stream_alerts"](wh).count() == 3
+
+
+def test_runs_left_out_are_written_down(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    for i, day in enumerate((1, 9)):
+        sp.tick_batch(_pages(spark, f"2024-01-{day:02d}T12:00:00Z", [_m("A", 20 + i)]), i, store)
+    sp.forget_before(spark, store, late_days=2)
+    sp.check_whole(spark, store)
+    for _ in range(2):
+        sp.tick_batch(_pages(spark, "2023-12-30T12:00:00Z", [_m("A", 1)]), 2, store)
+        assert [(r.run.day, r.step) for r in sp.read_failed(spark, store).collect()] == [(30, sp.LATE)]
+    with pytest.raises(RuntimeError, match="not whole.*1 runs"):
+        sp.check_whole(spark, store)
+
+
 def test_a_batch_that_dies_leaves_its_runs_open_until_the_replay(spark, tmp_path, monkeypatch):
     store = _store(spark, tmp_path)
     page = _pages(spark, "2024-01-30T12:00:00Z", [_m("A", 20)])
