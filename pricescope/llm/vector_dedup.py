@@ -9,28 +9,37 @@ distance to the border up to which a vector is a guest: with
 sqrt(2 - 2 * least) no pair can be missed; a smaller margin misses pairs
 that straddle a border along its normal, and the tests measure the recall.
 
-Cells are dealt into blocks of bounded size and compared block by block as
-matrix products.  A pair of blocks returns the number of links of each
-vector and a spanning forest of the links, never the links themselves, so a
-large group of near copies stays linear in what is shuffled.
+Vectors in the order of their home cells are dealt into bundles of bounded
+size: many small cells, or a part of a large one.  A vector goes once to each
+later bundle with a cell it is a guest in, however many cells that are, and a
+pair of bundles is compared there cell by cell, in tiles, as matrix products.
+A pair of bundles returns the number of links of each vector and a spanning
+forest of the links, never the links themselves, so a large group of near
+copies stays linear in what is shuffled.  The pairs are dealt into rounds that
+move each vector a few times each; a round's shuffle files go before the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricescope.llm.common import components, cut
+from pricescope.llm.common import components, cut, drop
 
 
 @dataclass(frozen=True)
 class Cells:
-    """``per_cell`` vectors a cell are aimed at, with at most ``most`` centres from ``sample`` rows at most."""
+    """``per_cell`` vectors a cell are aimed at, with at most ``most`` centres from ``sample`` rows at most.
+
+    A task holds two bundles of ``bundle`` vectors and compares ``block`` with
+    four times as many at once; a round moves a vector ``copies`` times or so.
+    """
 
     least: float = 0.9
     margin: float = 0.3
@@ -39,6 +48,8 @@ class Cells:
     sample: int = 20_000
     rounds: int = 8
     block: int = 1024
+    bundle: int = 32_768
+    copies: int = 4
 
 
 def normalised(v) -> bytes | None:
@@ -71,58 +82,146 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"vec_id": b.column("vec_id"), "v": pa.array(v, pa.binary())})
 
 
-def _assign(centres: dict[int, np.ndarray], cells: Cells):
-    """Home of each class and the later cells whose border it is near: (dims, cell, guest, cid, mult, v)."""
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of unit vectors of one length."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(len(column), -1)
+
+
+def _by_length(b: pa.RecordBatch, tile: int) -> Iterator[tuple[int, np.ndarray, pa.RecordBatch]]:
+    """The rows of each vector length, in tiles: (length, places in the batch, rows)."""
+    dims = np.fromiter((len(v) // 8 for v in b.column("v").to_pylist()), np.int64, b.num_rows)
+    for d in np.unique(dims):
+        at = np.flatnonzero(dims == d)
+        for i in range(0, len(at), tile):
+            yield int(d), at[i:i + tile], b.take(pa.array(at[i:i + tile]))
+
+
+def _apart(c: np.ndarray) -> np.ndarray:
+    """Distances between centres, which turn a difference of cosines into a distance to the border."""
+    return np.sqrt(np.maximum(2 - 2 * (c @ c.T), 1e-12))
+
+
+def _homes(centres: dict[int, np.ndarray], cells: Cells):
+    """Home cell of each class: (dims, cell)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Distances between centres turn a difference of cosines into a distance to the border.
-        apart = {d: np.sqrt(np.maximum(2 - 2 * (c @ c.T), 1e-12)) for d, c in centres.items()}
         for b in batches:
-            out = {k: [] for k in ("dims", "cell", "guest", "cid", "mult", "v")}
-            for cid, mult, v in zip(b.column("cid").to_pylist(), b.column("mult").to_pylist(), b.column("v").to_pylist(), strict=True):
-                x = np.frombuffer(v, "<f8")
-                if (c := centres.get(len(x))) is None:
-                    home, near = 0, []
+            for d, at, part in _by_length(b, cells.block):
+                home = (_matrix(part.column("v")) @ centres[d].T).argmax(axis=1) if d in centres else np.zeros(len(at), np.int64)
+                yield pa.record_batch({"dims": pa.array(np.full(len(at), d), pa.int32()), "cell": pa.array(home, pa.int32())})
+    return run
+
+
+def _bundles(sizes: list[tuple[int, int, int]], size: int) -> tuple[dict[int, dict[int, tuple[int, int]]], int]:
+    """Place of each cell, (first place, places), in the order of length and cell, and the number of bundles; the
+    bundle of a place is place // size, and no bundle holds two lengths."""
+    out, place, last = {}, 0, None
+    for dims, cell, n in sorted(sizes):
+        if dims != last and place % size:
+            place += size - place % size
+        out.setdefault(dims, {})[cell] = (place, n)
+        place, last = place + n, dims
+    return out, -(-place // size)
+
+
+def _placed(centres: dict[int, np.ndarray], places: dict[int, dict[int, tuple[int, int]]], cells: Cells):
+    """Bundle of each class and the later bundles (``to``) where it has to meet others: (bundle, to, cell, cid, mult, v)."""
+    # Cells with vectors, in order, and the first and last bundle of each.
+    held = {d: (np.array(sorted(p)), np.array([p[c] for c in sorted(p)])) for d, p in places.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart = {d: _apart(c) for d, c in centres.items()}
+        for b in batches:
+            for d, at, part in _by_length(b, cells.block):
+                names, spans = held[d]
+                low, high = spans[:, 0] // cells.bundle, (spans.sum(axis=1) - 1) // cells.bundle
+                cid = np.asarray(part.column("cid"))
+                if d in centres:
+                    s = _matrix(part.column("v")) @ centres[d].T
+                    # Only cells that were counted: a product of other shape may round a tie the other way.
+                    home = names[s[:, names].argmax(axis=1)]
+                    rows = np.arange(len(home))
+                    near = (s[rows, home][:, None] - s)[:, names] <= cells.margin * apart[d][home][:, names]
+                    near &= names > home[:, None]
+                    near[rows, np.searchsorted(names, home)] = True
                 else:
-                    s = c @ x
-                    home = int(s.argmax())
-                    near = np.flatnonzero(s[home] - s <= cells.margin * apart[len(x)][home])
-                for cell in [home, *[int(j) for j in near if j > home]]:
-                    for name, value in zip(out, (len(x), cell, cell != home, cid, mult, v), strict=True):
-                        out[name].append(value)
-            yield pa.record_batch({"dims": pa.array(out["dims"], pa.int32()), "cell": pa.array(out["cell"], pa.int32()),
-                                   "guest": pa.array(out["guest"], pa.bool_()), "cid": pa.array(out["cid"], pa.int64()),
-                                   "mult": pa.array(out["mult"], pa.int64()), "v": pa.array(out["v"], pa.binary())})
+                    home, near = np.zeros(len(at), np.int64), np.ones((len(at), 1), bool)
+                mine = spans[np.searchsorted(names, home)]
+                # Multiplied first: ids count up, and neighbours need not share a bundle.
+                scattered = (cid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                bundle = (mine[:, 0] + (scattered % mine[:, 1].astype(np.uint64)).astype(np.int64)) // cells.bundle
+                # A cell's bundles are low..high: marks at their ends, summed up along the bundles.
+                first = int(low[0])
+                marks = np.zeros((len(names), int(high[-1]) - first + 2), np.int32)
+                np.add.at(marks, (np.arange(len(names)), low - first), 1)
+                np.add.at(marks, (np.arange(len(names)), high - first + 1), -1)
+                meets = (near.astype(np.float32) @ marks.cumsum(axis=1)[:, :-1].astype(np.float32)) > 0
+                to = [(np.flatnonzero(m[g + 1 - first:]) + g + 1).tolist() for m, g in zip(meets, bundle.tolist(), strict=True)]
+                yield pa.record_batch({"bundle": pa.array(bundle, pa.int32()), "to": pa.array(to, pa.list_(pa.int32())),
+                                       "cell": pa.array(home, pa.int32()), "cid": part.column("cid"), "mult": part.column("mult"),
+                                       "v": part.column("v")})
     return run
 
 
-def _compare(least: float):
-    """Links between the two sides of a pair of blocks: rows (kind 0: cid, number of links) and (kind 1: forest edge)."""
+def _roots(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label``, the smallest member of each group, with the groups joined that the edges (a, b) link."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not ((up := label[label]) == label).all():
+            label = up
+
+
+def _linked(x: np.ndarray, short: np.ndarray, at: np.ndarray, left: int, right: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows ``at`` and ``left:right`` of ``x`` with a cosine of at least ``least``; ``short`` is x in single
+    precision, and only what it leaves open is worked out in double."""
+    doubt = max(1e-6, 2e-7 * x.shape[1])
+    cosine = short[at] @ short[left:right].T
+    a, b = np.nonzero(cosine >= least - doubt)
+    open_ = np.flatnonzero(cosine[a, b] < least + doubt)
+    keep = np.ones(len(a), bool)
+    for i in range(0, len(open_), 1 << 14):
+        some = open_[i:i + (1 << 14)]
+        keep[some] = (x[at[a[some]]] * x[left + b[some]]).sum(axis=1) >= least
+    return at[a[keep]], b[keep] + left
+
+
+def _compare(centres: dict[int, np.ndarray], cells: Cells):
+    """Links between the two sides of a pair of bundles: rows (kind 0: cid, number of links) and (kind 1: forest edge)."""
     def run(t: pa.Table) -> pa.Table:
-        side = np.asarray(t.column("side").combine_chunks())
-        order = np.argsort(side, kind="stable")
+        side, cell = (np.asarray(t.column(c).combine_chunks()) for c in ("side", "cell"))
+        order = np.lexsort((cell, side))
         cid, mult = (np.asarray(t.column(c).combine_chunks())[order] for c in ("cid", "mult"))
-        x = np.frombuffer(b"".join(t.column("v").take(pa.array(order)).to_pylist()), "<f8").reshape(len(order), -1)
-        n = int((side == 0).sum())
+        x, cell = _matrix(t.column("v"))[order], cell[order]
+        short = x.astype(np.float32)
         same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
-        if same:
-            n, hit = len(x), x @ x.T >= least
-            np.fill_diagonal(hit, False)
-            a, b = np.nonzero(hit)
-            links = hit @ mult
-        else:
-            hit = x[:n] @ x[n:].T >= least
-            a, b = np.nonzero(hit)
-            b = b + n
-            links = np.concatenate([hit @ mult[n:], hit.T @ mult[:n]])
-        label = np.arange(len(x))
-        while len(a):
-            low = np.minimum(label[a], label[b])
-            before = label.copy()
-            np.minimum.at(label, a, low)
-            np.minimum.at(label, b, low)
-            label = label[label]
-            if (label == before).all():
-                break
+        n = len(x) if same else int((side == 0).sum())
+        start = 0 if same else n                      # the later bundle's vectors are x[start:], by cell
+        names, first = np.unique(cell[start:], return_index=True)
+        ends = np.append(first[1:], len(x) - start) + start
+        c = centres.get(x.shape[1])
+        apart = None if c is None else _apart(c)
+        links, label = np.zeros(len(x), np.int64), np.arange(len(x))
+        for lo in range(0, n, cells.block):
+            tile, home = x[lo:min(lo + cells.block, n)], cell[lo:min(lo + cells.block, n)]
+            near = home[:, None] == names
+            if c is not None:
+                gap = (tile * c[home]).sum(axis=1)[:, None] - tile @ c[names].T
+                near |= (gap <= cells.margin * apart[home][:, names] + 1e-9) & (home[:, None] < names)
+            for k in np.flatnonzero(near.any(axis=0)):
+                at = np.flatnonzero(near[:, k]) + lo
+                for left in range(first[k] + start, ends[k], 4 * cells.block):
+                    right = min(left + 4 * cells.block, ends[k])
+                    a, b = _linked(x, short, at, left, right, cells.least)
+                    if same:                          # both orders and the vector itself meet in the home cell
+                        a, b = a[a < b], b[a < b]
+                    if len(a):
+                        np.add.at(links, a, mult[b])
+                        np.add.at(links, b, mult[a])
+                        label = _roots(label, a, b)
         counted, joined = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(x)))
         return pa.table({"kind": pa.array(np.repeat([0, 1], [len(counted), len(joined)]), pa.int32()),
                          "a": pa.array(np.concatenate([cid[counted], cid[joined]]), pa.int64()),
@@ -130,6 +229,40 @@ def _compare(least: float):
     return run
 
 
+def _found(classes: DataFrame, centres: dict[int, np.ndarray], cells: Cells) -> list[DataFrame]:
+    """What ``_compare`` returns for all pairs of bundles that can hold a link, by round."""
+    lone = classes.select("v").mapInArrow(_homes(centres, cells), "dims int, cell int").groupBy("dims", "cell").count()
+    places, bundles = _bundles([tuple(r) for r in lone.collect()], cells.bundle)      # a row a centre
+    placed = cut(classes.select("cid", "mult", "v").mapInArrow(
+        _placed(centres, places, cells), "bundle int, to array<int>, cell int, cid long, mult long, v binary"), "vector-bundles")
+    # The earlier bundles that a bundle's vectors meet.
+    pairs = placed.select("bundle", F.explode("to").alias("j")).distinct()
+    pairs = cut(pairs.groupBy(F.col("j").alias("bundle")).agg(F.collect_list(F.col("bundle")).alias("of")), "vector-pairs")
+    put = placed.join(pairs, "bundle", "left").withColumn("of", F.coalesce("of", F.array().cast("array<int>")))
+    rounds = max(1, -(-bundles // cells.copies))
+
+    def moves(r):
+        """The pairs of round ``r`` that a row goes to."""
+        me, none = F.col("bundle"), F.array().cast("array<struct<i:int,j:int,side:int>>")
+
+        def pair(i, j, side):
+            return F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+
+        def due(other):
+            return F.pmod(me + other, F.lit(rounds)) == r
+
+        return F.concat(F.when(due(me), F.array(pair(me, me, 0))).otherwise(none),
+                        F.transform(F.filter("to", due), lambda j: pair(me, j, 0)),
+                        F.transform(F.filter("of", due), lambda i: pair(i, me, 1)))
+
+    out = []
+    for r in range(rounds):
+        rows = put.select(F.explode(moves(r)).alias("p"), "cell", "cid", "mult", "v").select("p.*", "cell", "cid", "mult", "v")
+        out.append(cut(rows.groupBy("i", "j").applyInArrow(_compare(centres, cells), "kind int, a long, b long"), "vector-links"))
+    drop(placed, pairs)
+    return out
+
+
 def vector_dedup(vectors: DataFrame, cells: Cells = Cells(), id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector.
 
@@ -154,24 +287,13 @@ def vector_dedup(vectors: DataFrame, cells: Cells = Cells(), id_col: str = "vec_
         for size, got in by_size.items():
             x = np.frombuffer(b"".join(bytes(g) for g in got), "<f8").reshape(len(got), size)
             centres[size] = spherical_kmeans(x, min(k, len(x)), cells.rounds)
-    placed = cut(classes.select("cid", "mult", "v")
-                 .mapInArrow(_assign(centres, cells), "dims int, cell int, guest boolean, cid long, mult long, v binary"), "vector-cells")
-    sizes = placed.groupBy("dims", "cell").agg(F.count_if(~F.col("guest")).alias("h"), F.count_if("guest").alias("g"))
-    sizes = cut(sizes.select("dims", "cell", F.ceil(F.col("h") / cells.block).cast("int").alias("h"),
-                             F.ceil(F.col("g") / cells.block).cast("int").alias("g")), "vector-blocks")
-    put = placed.join(sizes, ["dims", "cell"]).where("h > 0")
-    # Home blocks are numbered 0..h-1 and guest blocks h..h+g-1; a home block meets every block from itself on, a guest block all home blocks.
-    mine = F.when(F.col("guest"), F.col("h") + F.pmod(F.xxhash64("cid"), F.col("g"))).otherwise(F.pmod(F.xxhash64("cid"), F.col("h"))).cast("int")
-    put = put.withColumn("me", mine)
-    others = F.when(F.col("guest"), F.sequence(F.lit(0), F.col("h") - 1)).otherwise(F.sequence(F.lit(0), F.col("h") + F.col("g") - 1))
-    put = (put.withColumn("other", F.explode(others))
-           .select("dims", "cell", F.least("me", "other").alias("i"), F.greatest("me", "other").alias("j"),
-                   (F.col("me") > F.col("other")).cast("int").alias("side"), "cid", "mult", "v"))
-    found = cut(put.groupBy("dims", "cell", "i", "j").applyInArrow(_compare(cells.least), "kind int, a long, b long"), "vector-links")
+    parts = _found(classes, centres, cells)
+    found = reduce(DataFrame.union, parts)
     links = found.where("kind = 0").groupBy(F.col("a").alias("cid")).agg(F.sum("b").alias("n"))
     joined = components(found.where("kind = 1").select("a", "b"), "vector-groups").withColumnRenamed("node", "cid")
     known = cut(classes.select("v", "cid", "mult", "rep").join(links, "cid", "left").join(joined, "cid", "left")
                 .withColumn("component", F.coalesce("component", "cid")), "vector-known")
+    drop(classes, *parts)
     first = cut(known.groupBy("component").agg(F.min("rep").alias("first")), "vector-firsts")
     known = cut(known.join(first, "component").select("v", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "first"),
                 "vector-results")

@@ -49,6 +49,43 @@ def test_full_margin_equals_brute_force_in_many_cells_and_blocks(spark):
     assert sorted(tuple(r) for r in vd.vector_dedup(df, cells).collect()) == brute(rows)
 
 
+def test_a_guest_of_many_cells_is_placed_once_a_bundle(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 24))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    cells = vd.Cells(per_cell=6, bundle=100, block=16)
+    centres = {24: vd.spherical_kmeans(x, 500, 3)}
+    df = spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "cid long, mult long, v binary")
+    homes = df.select("v").mapInArrow(vd._homes(centres, cells), "dims int, cell int").groupBy("dims", "cell").count().collect()
+    places, bundles = vd._bundles([tuple(r) for r in homes], cells.bundle)
+    got = df.mapInArrow(vd._placed(centres, places, cells), "bundle int, to array<int>, cell int, cid long, mult long, v binary").collect()
+    s = x @ centres[24].T
+    home = s.argmax(axis=1)
+    apart = vd._apart(centres[24])
+    assert sorted(r.cid for r in got) == list(range(3000)) and bundles == 30
+    at = {c: (p // 100, (p + n - 1) // 100) for c, (p, n) in places[24].items()}
+    guests = 0
+    for r in got:
+        i, h = r.cid, int(home[r.cid])
+        near = [c for c in at if c == h or c > h and s[i, h] - s[i, c] <= cells.margin * apart[h, c]]
+        guests += len(near)
+        assert r.cell == h and at[h][0] <= r.bundle <= at[h][1]
+        assert r.to == sorted({b for c in near for b in range(at[c][0], at[c][1] + 1) if b > r.bundle})
+    assert guests > 12 * len(x) and max(len(r.to) for r in got) < 30       # rows before: one for each cell
+    # A link at the very threshold is decided in double precision.
+    y = np.array([[1.0, 0.0], [0.9, (1 - 0.81) ** 0.5], [0.9 - 1e-9, (1 - (0.9 - 1e-9) ** 2) ** 0.5]])
+    assert [tuple(map(int, p)) for p in zip(*vd._linked(y, y.astype(np.float32), np.array([0]), 1, 3, 0.9))] == [(0, 1)]
+
+
+def test_bundles_rounds_and_lengths_equal_brute_force(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(y) for y in v]) for i, v in enumerate([*groups(rng, 330, 8), *groups(rng, 150, 6)])]
+    rows += [(900 + i, v) for i, (_, v) in enumerate(rows[:40])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    cells = vd.Cells(margin=2 ** 0.5 * 0.1 ** 0.5 * 1.01, per_cell=40, block=8, bundle=60, copies=3)
+    assert sorted(tuple(r) for r in vd.vector_dedup(df, cells).collect()) == brute(rows)
+
+
 def test_query_recall_on_the_given_table(spark):
     from pricescope.llm import queries
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
